@@ -58,6 +58,17 @@ def exact(column, digits=4):
     return value.cast(f"decimal(12,{digits})")
 
 
+def spread(df, *keys):
+    """Rows hashed over at least as many partitions as there are cores.
+
+    Adaptive execution merges small shuffles into one partition, which would leave the many
+    passes of a model fit on one core. A key hash gives the same partitions on every run.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def plain_types(df):
     """Integers as BIGINT, other numbers as DOUBLE and dates as text, for result tables."""
     def widen(field):

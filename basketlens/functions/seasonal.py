@@ -10,21 +10,30 @@ SEASON = 7
 NORMAL_95 = 1.959964
 
 
-def grid_search(loss, lows, highs, points, rounds):
-    """Coarse-to-fine minimum of ``loss``, which takes one row per candidate."""
-    lows, highs = np.asarray(lows, float), np.asarray(highs, float)
-    axes = [np.linspace(a, b, points) for a, b in zip(lows, highs)]
-    step = (highs - lows) / (points - 1)
-    best = None
+def grid_search(loss, low, high, size, points, rounds, starts):
+    """Coarse-to-fine minimum of ``loss``, which takes one row of ``size`` values per candidate.
+
+    The best ``starts`` points of the coarse grid are refined side by side, each within its
+    own neighbourhood, so that a poor basin does not decide the result.
+    """
+    axis = np.linspace(low, high, points)
+    mesh = np.stack([m.ravel() for m in np.meshgrid(*[axis] * size, indexing="ij")], axis=1)
+    values = loss(mesh)
+    order = np.argsort(values, kind="stable")[:starts]
+    best, value = mesh[order], values[order]
+    around = np.stack([m.ravel() for m in np.meshgrid(*[[-1, 0, 1]] * size, indexing="ij")],
+                      axis=1)
+    step = (high - low) / (points - 1)
     for _ in range(rounds):
-        mesh = np.stack([m.ravel() for m in np.meshgrid(*axes, indexing="ij")], axis=1)
-        if best is not None:
-            mesh = np.vstack([best[None, :], mesh])
-        best = mesh[int(np.argmin(loss(mesh)))]
         step = step / 2
-        axes = [np.unique(np.clip([x - s, x, x + s], a, b))
-                for x, s, a, b in zip(best, step, lows, highs)]
-    return best
+        near = np.clip(best[:, None, :] + step * around[None, :, :], low, high)
+        found = loss(near.reshape(-1, size)).reshape(len(best), -1)
+        pick = found.argmin(axis=1)
+        rows = np.arange(len(best))
+        better = found[rows, pick] < value
+        best = np.where(better[:, None], near[rows, pick], best)
+        value = np.where(better, found[rows, pick], value)
+    return best[int(np.argmin(value))]
 
 
 def smoothing_states(y, params, level, trend, season):
@@ -83,8 +92,8 @@ def smoothing_forecast(y, horizon, params=None):
     if len(y) < 2 * SEASON:
         return np.full(horizon, y[-SEASON:].mean())
     if params is None:
-        chosen = grid_search(lambda m: _start_states(y, m)[0],
-                             [0.01] * 3, [0.99] * 3, points=5, rounds=6)[None, :]
+        chosen = grid_search(lambda m: _start_states(y, m)[0], 0.01, 0.99, size=3,
+                             points=5, rounds=6, starts=4)[None, :]
         start = _start_states(y, chosen)[1][0]
     else:
         chosen, start = np.asarray([params], float), simple_start(y)
@@ -118,8 +127,8 @@ def arma_errors(w, params):
 
 def fit_arma(w):
     """Parameters with the least squared residuals, and those residuals."""
-    best = grid_search(lambda m: (arma_errors(w, m) ** 2).sum(axis=0),
-                       [-0.98] * 4, [0.98] * 4, points=5, rounds=10)
+    best = grid_search(lambda m: (arma_errors(w, m) ** 2).sum(axis=0), -0.98, 0.98, size=4,
+                       points=5, rounds=9, starts=12)
     return best, arma_errors(w, best[None, :])[:, 0]
 
 

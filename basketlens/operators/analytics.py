@@ -20,13 +20,11 @@ def with_taxonomy(rows, products, aisles, departments):
 
 
 def top_products(lines, products, aisles, departments, n=20, by="total_purchases"):
-    """Most purchased products with reorder rate (A1; by reorders: B11)."""
-    ranked = top_rows(product_counts(lines).join(products, "product_id"),
-                      [F.desc(by), "product_id"], n)
-    return (ranked.join(departments, "department_id").join(aisles, "aisle_id")
-            .select("product_id", "product_name", "department", "aisle",
-                    "total_purchases", "total_reorders",
-                    rate("total_reorders", "total_purchases").alias("reorder_rate")))
+    """Most purchased products with reorder rate, in order (A1; by reorders: B11)."""
+    named = with_taxonomy(product_counts(lines), products, aisles, departments).select(
+        "product_id", "product_name", "department", "aisle", "total_purchases", "total_reorders",
+        rate("total_reorders", "total_purchases").alias("reorder_rate"))
+    return top_rows(named, [F.desc(by), "product_id"], n)
 
 
 def volume_by_day_and_hour(orders):

@@ -36,7 +36,8 @@ def cross_sell_matrix(edges, products, n=250, order="support"):
     left = names.withColumnsRenamed({"product_id": "source", "product_name": "source_product"})
     right = names.withColumnsRenamed({"product_id": "target",
                                       "product_name": "recommended_product"})
-    return best.join(left, "source").join(right, "target").select(
+    named = best.join(left, "source").join(right, "target").orderBy(*keys[order])
+    return named.select(
         "source_product", "recommended_product",
         F.col("co_occurrence").alias("times_co_purchased"))
 

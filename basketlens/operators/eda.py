@@ -141,13 +141,14 @@ def lifetime_orders_histogram(customers, bins=50):
 
 
 def bestsellers(lines, products, departments, n=10):
-    """Best-selling products with department and reorder rate in percent."""
-    top = top_rows(product_counts(lines).join(products, "product_id"),
-                   [F.desc("total_purchases"), "product_id"], n)
-    return top.join(departments, "department_id").select(
-        "product_id", "product_name", "department",
-        F.col("total_purchases").alias("total_orders"),
-        share_pct(F.col("total_reorders"), F.col("total_purchases")).alias("reorder_rate_pct"))
+    """Best-selling products with department and reorder rate in percent, in order."""
+    named = (product_counts(lines).join(products, "product_id")
+             .join(departments, "department_id").select(
+                 "product_id", "product_name", "department",
+                 F.col("total_purchases").alias("total_orders"),
+                 share_pct(F.col("total_reorders"), F.col("total_purchases"))
+                 .alias("reorder_rate_pct")))
+    return top_rows(named, [F.desc("total_orders"), "product_id"], n)
 
 
 def department_breakdown(lines, products, departments):
@@ -200,14 +201,14 @@ def reorder_rate_by_cart_position(lines, limit=25):
 def top_pairs(lines, products, top_products=50, n=10):
     """Most frequent pairs among the most bought products, with a label."""
     best = top_rows(product_counts(lines), [F.desc("total_purchases"), "product_id"], top_products)
-    pairs = top_rows(pair_counts(lines, best.select("product_id")),
-                     [F.desc("co_occurrence"), "source", "target"], n)
+    pairs = pair_counts(lines, best.select("product_id"))
     names = products.select("product_id", "product_name")
     first = names.withColumnsRenamed({"product_id": "source", "product_name": "product_name_a"})
     second = names.withColumnsRenamed({"product_id": "target", "product_name": "product_name_b"})
-    return pairs.join(first, "source").join(second, "target").select(
+    named = pairs.join(first, "source").join(second, "target").select(
         F.concat("product_name_a", F.lit(" + "), "product_name_b").alias("pair_label"),
         "source", "target", "co_occurrence")
+    return top_rows(named, [F.desc("co_occurrence"), "source", "target"], n)
 
 
 def feature_correlation(customer_features, columns=tuple(CORRELATED)):

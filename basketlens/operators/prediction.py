@@ -1,5 +1,6 @@
 """Next-order purchase prediction."""
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -10,7 +11,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from basketlens.functions.columns import key_hash, pair_key
+from basketlens.functions.columns import key_hash, pair_key, spread
+from basketlens.functions.parallel import run_all
 from basketlens.functions.prefix import smallest_n
 from basketlens.operators.metrics import ranking_metrics, threshold_metrics
 
@@ -98,14 +100,23 @@ def score(model, rows, name="model"):
         vector_to_array("probability")[1].alias("score"))
 
 
-def train_models(train, trees=80, rounds=150):
-    """The three models by name; the training rows are held while they are fitted."""
-    held = train.select("target", *FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def held_rows(train):
+    """Training rows spread over the cluster and kept while models are fitted on them."""
+    rows = spread(train.select("user_id", "product_id", "target", *FEATURES),
+                  "user_id", "product_id").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {LOGISTIC: fit_logistic(held), FOREST: fit_forest(held, trees),
-                BOOSTED: fit_boosted(held, rounds)}
+        yield rows
     finally:
-        held.unpersist()
+        rows.unpersist()
+
+
+def train_models(train, trees=80, rounds=150):
+    """The three models by name, fitted side by side on the same held rows."""
+    with held_rows(train) as rows:
+        fits = {LOGISTIC: lambda: fit_logistic(rows), FOREST: lambda: fit_forest(rows, trees),
+                BOOSTED: lambda: fit_boosted(rows, rounds)}
+        return dict(zip(fits, run_all(train.sparkSession, list(fits.values()))))
 
 
 def score_all(models, rows):

@@ -1,12 +1,15 @@
 """Customer segments: scaling, k-means, personas and profiles."""
 
+from functools import partial
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from basketlens.functions.columns import first_match, share_pct
+from basketlens.functions.columns import first_match, share_pct, spread
+from basketlens.functions.parallel import run_all
 from basketlens.functions.prefix import exact_quantiles
 
 FEATURES = ["user_total_orders", "user_avg_order_interval", "user_avg_basket_size",
@@ -39,42 +42,54 @@ def _vectors(scaled, columns):
                            outputCol="features").transform(scaled)
 
 
-def _best_fit(data, k, n_init, max_iter, seed):
-    fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                   predictionCol="label").fit(data) for i in range(n_init)]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def _best_fits(data, ks, n_init, max_iter, seed, parallelism):
+    """The cheapest of ``n_init`` fits for every k; all fits are submitted side by side."""
+    def fit(k, start):
+        return KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features",
+                      predictionCol="label").fit(data)
+
+    runs = [(k, i) for k in ks for i in range(n_init)]
+    models = run_all(data.sparkSession, [partial(fit, *run) for run in runs], parallelism)
+    best = {}
+    for (k, _), model in zip(runs, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def evaluate_k(scaled, k_range=range(2, 8), n_init=3, max_iter=300, seed=42,
-               columns=tuple(FEATURES)):
+               parallelism=8, columns=tuple(FEATURES)):
     """Inertia and silhouette per k.
 
     The silhouette uses squared Euclidean distance, which needs only sums per cluster, so
     it covers all customers instead of a sample.
     """
-    data = _vectors(scaled, columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    data = (spread(_vectors(scaled, columns).select("user_id", "features"), "user_id")
+            .select("features").persist(StorageLevel.MEMORY_AND_DISK))
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="label")
-    rows = []
     try:
-        for k in k_range:
-            model = _best_fit(data, k, n_init, max_iter, seed)
-            rows.append((k, round(float(model.summary.trainingCost), 2),
-                         round(float(evaluator.evaluate(model.transform(data))), 4)))
+        best = _best_fits(data, list(k_range), n_init, max_iter, seed, parallelism)
+        rows = run_all(scaled.sparkSession, [
+            lambda k=k, m=model: (k, round(float(m.summary.trainingCost), 2),
+                                  round(float(evaluator.evaluate(m.transform(data))), 4))
+            for k, model in best.items()], parallelism)
     finally:
         data.unpersist()
     return scaled.sparkSession.createDataFrame(
         rows, "k bigint, inertia double, silhouette double")
 
 
-def fit_clusters(scaled, k=4, n_init=5, max_iter=300, seed=42, columns=tuple(FEATURES)):
+def fit_clusters(scaled, k=4, n_init=5, max_iter=300, seed=42, parallelism=8,
+                 columns=tuple(FEATURES)):
     """Assign a cluster to every customer.
 
     Clusters are renumbered by their centres, largest first feature first, so numbers do
     not depend on the fit's own order.
     """
-    data = _vectors(scaled, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    data = (spread(_vectors(scaled, columns).select("user_id", "features"), "user_id")
+            .select("features").persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        model = _best_fit(data.select("features"), k, n_init, max_iter, seed)
+        model = _best_fits(data, [k], n_init, max_iter, seed, parallelism)[k]
     finally:
         data.unpersist()
     centres = [tuple(c) for c in model.clusterCenters()]

@@ -153,24 +153,29 @@ def _models(r):
     return prediction.train_models(train), rest
 
 
-def p4_logistic(r):
+def _fit(r, fit):
     train, rest = prediction.split_by_user(r.matrix)
-    return prediction.score(prediction.fit_logistic(train), rest, prediction.LOGISTIC)
+    with prediction.held_rows(train) as rows:
+        return fit(rows), rest
+
+
+def p4_logistic(r):
+    model, rest = _fit(r, prediction.fit_logistic)
+    return prediction.score(model, rest, prediction.LOGISTIC)
 
 
 def p5_forest(r):
-    train, rest = prediction.split_by_user(r.matrix)
-    return prediction.score(prediction.fit_forest(train), rest, prediction.FOREST)
+    model, rest = _fit(r, prediction.fit_forest)
+    return prediction.score(model, rest, prediction.FOREST)
 
 
 def p6_boosted(r):
-    train, rest = prediction.split_by_user(r.matrix)
-    return prediction.score(prediction.fit_boosted(train), rest, prediction.BOOSTED)
+    model, rest = _fit(r, prediction.fit_boosted)
+    return prediction.score(model, rest, prediction.BOOSTED)
 
 
 def p11_importances(r):
-    train, _ = prediction.split_by_user(r.matrix)
-    return prediction.feature_importances(r.spark, prediction.fit_forest(train))
+    return prediction.feature_importances(r.spark, _fit(r, prediction.fit_forest)[0])
 
 
 def p12_leaderboard(r):
@@ -183,9 +188,8 @@ def p12_leaderboard_fixed(r):
 
 
 def p13_batch_scores(r):
-    """The customers' best unseen-order candidates by the fitted logistic model."""
-    train, _ = prediction.split_by_user(r.matrix)
-    return prediction.score(prediction.fit_logistic(train), r.matrix, prediction.LOGISTIC)
+    """Every candidate pair scored by the fitted logistic model."""
+    return prediction.score(_fit(r, prediction.fit_logistic)[0], r.matrix, prediction.LOGISTIC)
 
 
 # --- forecasting -------------------------------------------------------------------------
