@@ -136,8 +136,8 @@ def lifetime_orders_histogram(customers, bins=50):
     """Customers per bin of lifetime orders between the extremes."""
     counted = _counted(customers, "total_orders")
     return equal_width_histogram(counted, "v", "n", bins,
-                                 customers.agg(F.min("total_orders")).scalar(),
-                                 customers.agg(F.max("total_orders")).scalar())
+                                 counted.agg(F.min("v")).scalar(),
+                                 counted.agg(F.max("v")).scalar())
 
 
 def bestsellers(lines, products, departments, n=10):

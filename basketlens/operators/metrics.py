@@ -12,9 +12,13 @@ SCORE_CELLS = 4096
 
 
 def _per_score(scored):
-    """Positives and rows per model and distinct score, with running totals from below."""
-    counts = scored.groupBy("model", "score").agg(
+    """Positives and rows per model and distinct score."""
+    return scored.groupBy("model", "score").agg(
         F.sum("target").alias("pos"), F.count(F.lit(1)).alias("rows"))
+
+
+def _from_below(counts):
+    """Running totals of the counts by rising score."""
     cell = F.least(F.floor(F.col("score") * SCORE_CELLS), F.lit(SCORE_CELLS - 1))
     return running_totals(counts.withColumn("cell", cell), ["model"], "cell", ["score"],
                           {"pos_upto": F.col("pos"), "rows_upto": F.col("rows")})
@@ -26,9 +30,10 @@ def ranking_metrics(scored):
     Rows are counted per score first. Running totals are carried across score cells, so no
     window spans all scores. Both are null where one class is missing.
     """
-    ranked = _per_score(scored)
-    totals = scored.groupBy("model").agg(F.sum("target").alias("all_pos"),
-                                         F.count(F.lit(1)).alias("all_rows"))
+    counts = _per_score(scored)
+    ranked = _from_below(counts)
+    totals = counts.groupBy("model").agg(F.sum("pos").alias("all_pos"),
+                                         F.sum("rows").alias("all_rows"))
     neg = F.col("rows") - F.col("pos")
     neg_below = (F.col("rows_upto") - F.col("pos_upto")) - neg
     tp = F.col("all_pos") - F.col("pos_upto") + F.col("pos")

@@ -120,6 +120,9 @@ class Retail:
     @cached_property
     def scored(self):
         """Validation pairs with two fixed scores: the serving blend and the order rate."""
+        return self._staged(f"scored_{self.grain}", self._fixed_scores)
+
+    def _fixed_scores(self):
         blend = serving.heuristic_score(F.col("prod_reorder_rate"), F.col("user_reorder_rate"))
         names = F.explode(F.array(
             F.struct(F.lit("blend").alias("model"), blend.cast("double").alias("score")),
@@ -129,20 +132,15 @@ class Retail:
         return prediction.split_by_user(self.matrix)[1].select("target", names).select(
             "s.model", "target", "s.score")
 
-    @cached_property
-    def real_days(self):
-        """Orders by their own dates, in days without gaps."""
-        return forecasting.fill_days(forecasting.daily_volume(self.orders, None, None))
-
     @cached_property
     def timeline_days(self):
-        return forecasting.fill_days(forecasting.daily_volume(
-            forecasting.order_timeline(self.orders)))
+        return self._staged("timeline_days", lambda: forecasting.fill_days(
+            forecasting.daily_volume(forecasting.order_timeline(self.orders))))
 
     @cached_property
     def department_days(self):
-        return forecasting.fill_days(forecasting.daily_volume_by(
-            self.orders, self.lines, self.products))
+        return self._staged("department_days", lambda: forecasting.fill_days(
+            forecasting.daily_volume_by(self.orders, self.lines, self.products)))
 
     @cached_property
     def backtest(self):

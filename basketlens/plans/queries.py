@@ -406,7 +406,8 @@ CATALOGUE = {
     "t2_daily_volume": (PRODUCT, lambda r: forecasting.daily_volume(
         forecasting.order_timeline(r.orders))),
     "t2_real_dates": (PRODUCT, lambda r: forecasting.daily_volume(r.orders, None, None)),
-    "t3_filled_days": (PRODUCT, lambda r: r.real_days),
+    "t3_filled_days": (PRODUCT, lambda r: forecasting.fill_days(
+        forecasting.daily_volume(r.orders, None, None))),
     "t4_holdout": (PRODUCT, lambda r: forecasting.holdout_split(r.timeline_days).groupBy(
         "series_key", F.col("is_holdout").cast("int").alias("is_holdout")).agg(
             F.min("ds").alias("first_day"), F.max("ds").alias("last_day"),
@@ -421,7 +422,8 @@ CATALOGUE = {
     "t9_average_errors": (PRODUCT, lambda r: forecasting.forecast_errors(r.backtest)),
     "t10_leaderboard": (PRODUCT, t10_leaderboard),
     "t11_horizon": (PRODUCT, lambda r: serving.forecast_horizon(r.simple_forecast, 14)),
-    "t12_department_days": (PRODUCT, lambda r: r.department_days),
+    "t12_department_days": (PRODUCT, lambda r: forecasting.fill_days(
+        forecasting.daily_volume_by(r.orders, r.lines, r.products))),
     "t12_average_errors": (PRODUCT, lambda r: forecasting.forecast_errors(
         forecasting.average_backtest(_departments_split(r)))),
     "t12_leaderboard": (PRODUCT, t12_leaderboard),

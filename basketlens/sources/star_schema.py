@@ -93,7 +93,8 @@ def order_lines(spark, folder, order_table, grain="product"):
 
     Lines are reduced to one per (order, product) before any grouping by order, so an
     order's window is bounded by the catalogue. The reorder flag compares with the first
-    purchase per (user, product), a left join that Catalyst drops where it is not used.
+    purchase per (user, product): a minimum that needs no dedupe and combines before its
+    shuffle, and a left join whose hot keys adaptive execution can split.
     """
     lines = raw_lines(spark, folder)
     if grain == "aisle":
@@ -108,8 +109,9 @@ def order_lines(spark, folder, order_table, grain="product"):
         "order_id", "user_id", "order_number", "eval_set")
     placed = (single.withColumn("add_to_cart_order", cart).drop("position")
               .join(context, "order_id"))
-    first = placed.groupBy("user_id", "product_id").agg(
-        F.min("order_number").alias("first_number"))
+    first = (lines.select("order_id", "product_id").join(context.drop("eval_set"), "order_id")
+             .groupBy("user_id", "product_id")
+             .agg(F.min("order_number").alias("first_number")))
     return placed.join(first, ["user_id", "product_id"], "left").select(
         "order_id", "product_id", "add_to_cart_order",
         (F.col("order_number") > F.col("first_number")).cast("int").alias("reordered"),
