@@ -71,9 +71,13 @@ def customer_item_stats(lines, products):
 
 
 def customer_features(orders, lines, products, exclude_first=False):
-    """Order and item statistics per user with mean basket size."""
-    joined = customer_order_stats(orders, exclude_first).join(
-        customer_item_stats(lines, products), "user_id", "left")
+    """Order and item statistics per user with mean basket size.
+
+    A user whose orders have no lines counts 0 in every item column.
+    """
+    items = customer_item_stats(lines, products)
+    joined = customer_order_stats(orders, exclude_first).join(items, "user_id", "left").na.fill(
+        0, [c for c in items.columns if c != "user_id"])
     return joined.withColumn("user_avg_basket_size",
                              rate("user_total_items", "user_total_orders", 2))
 

@@ -4,9 +4,10 @@ from functools import cached_property
 
 from pyspark.sql import functions as F
 
-from basketlens.operators import cleaning, features, forecasting, graph, segmentation, serving
+from basketlens.operators import (cleaning, features, forecasting, graph, prediction,
+                                  segmentation, serving)
 from basketlens.sources import star_schema
-from basketlens.sources.stage import staged
+from basketlens.sources.stage import fingerprint, staged
 
 # Persona thresholds for the star-schema source, whose gaps are months rather than days.
 STAR_THRESHOLDS = {"loyal_orders": 9, "loyal_reorder": 0.05, "bulk_basket": 4,
@@ -23,8 +24,14 @@ class Retail:
     def __init__(self, spark, folder, grain="product"):
         self.spark, self.folder, self.grain = spark, str(folder), grain
 
+    @cached_property
+    def source(self):
+        """The folder with the state of its files, so that changed data is derived anew."""
+        return fingerprint(self.spark, [f"{self.folder}/{t}.parquet"
+                                        for t in ("orders", "lineitem", "part")])
+
     def _staged(self, name, build, partition_by=()):
-        return staged(self.spark, self.folder, name, build, partition_by)
+        return staged(self.spark, self.source, name, build, partition_by)
 
     @cached_property
     def at_aisle(self):
@@ -92,7 +99,7 @@ class Retail:
         """Customers with a cluster by a fixed rule: many orders, large baskets."""
         many = (F.col("user_total_orders") > 9).cast("int")
         large = (F.col("user_avg_basket_size") > 4).cast("int")
-        return self.customer_features.withColumn("cluster", many * 2 + F.coalesce(large, F.lit(0)))
+        return self.customer_features.withColumn("cluster", many * 2 + large)
 
     @cached_property
     def segments(self):
@@ -113,7 +120,6 @@ class Retail:
 
     @cached_property
     def matrix(self):
-        from basketlens.operators import prediction
         return prediction.training_matrix(prediction.sample_pairs(self.pair_features),
                                           self.customer_features, self.product_features)
 
@@ -128,7 +134,6 @@ class Retail:
             F.struct(F.lit("blend").alias("model"), blend.cast("double").alias("score")),
             F.struct(F.lit("order_rate").alias("model"),
                      F.least("up_order_rate", F.lit(1.0)).alias("score")))).alias("s")
-        from basketlens.operators import prediction
         return prediction.split_by_user(self.matrix)[1].select("target", names).select(
             "s.model", "target", "s.score")
 

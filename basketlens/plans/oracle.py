@@ -104,8 +104,15 @@ cf_items AS (
   FROM d_lines LEFT JOIN d_products USING (product_id) WHERE eval_set = 'prior'
   GROUP BY user_id),
 cf AS (
-  SELECT o.*, user_preferred_dow, user_preferred_hour, i.* EXCLUDE (user_id),
-    round(CAST(user_total_items AS DOUBLE) / user_total_orders, 2) AS user_avg_basket_size
+  SELECT o.*, user_preferred_dow, user_preferred_hour,
+    coalesce(user_total_items, 0) AS user_total_items,
+    coalesce(user_total_reorders, 0) AS user_total_reorders,
+    coalesce(user_reorder_rate, 0.0) AS user_reorder_rate,
+    coalesce(user_unique_products, 0) AS user_unique_products,
+    coalesce(user_unique_departments, 0) AS user_unique_departments,
+    coalesce(user_unique_aisles, 0) AS user_unique_aisles,
+    round(CAST(coalesce(user_total_items, 0) AS DOUBLE) / user_total_orders, 2)
+      AS user_avg_basket_size
   FROM cf_orders o JOIN cf_dow USING (user_id) JOIN cf_hour USING (user_id)
   LEFT JOIN cf_items i ON o.user_id = i.user_id),
 cohort AS (
@@ -468,6 +475,8 @@ ITEM_STATS = """SELECT user_id, user_total_items, user_total_reorders, user_reor
 
 SQL = {
     "src_csv_orders": "SELECT * EXCLUDE (order_date) FROM raw_orders",
+    "src_pruned_scan": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderstatus = 'F' AND o_totalprice > 100000""",
     "src_discover": _union([
         f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS file_count, "
         f"CAST(count(*) AS BIGINT) AS row_count FROM {t}"

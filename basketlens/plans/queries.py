@@ -14,18 +14,18 @@ def _rounded(df, digits, *columns):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def _raw_line_tables(r):
-    """All raw lines against the prior and the train split, so that orphans exist."""
-    lines = r.raw_lines
-    return lines, lines
+def _shared(r, name):
+    """A path in the shared folder for a query that writes before it reads."""
+    path = stage_path(r.spark, r.source, name)
+    if path is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return path
 
 
 # --- sources and sinks -------------------------------------------------------------------
 
 def src_csv_orders(r):
-    path = stage_path(r.spark, r.folder, "csv_orders")
-    if path is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    path = _shared(r, "csv_orders")
     raw = r.raw_orders.select("order_id", "user_id", "eval_set", "order_number", "order_dow",
                               "order_hour_of_day", "days_since_prior_order")
     sinks.write_csv(raw, path)
@@ -39,9 +39,7 @@ def src_discover(r):
 
 
 def src_report(r):
-    path = stage_path(r.spark, r.folder, "metrics_report")
-    if path is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    path = _shared(r, "metrics_report")
     sinks.write_metrics(path, models_benchmark=metrics.ranking_metrics(r.scored),
                         threshold_analysis=metrics.threshold_sweep(r.scored))
     return readers.read_report(r.spark, path, "threshold_analysis").select(
@@ -50,16 +48,14 @@ def src_report(r):
 
 def snk_upsert(r):
     """Merge prior purchase counts per product with those of the train orders."""
-    def counts(split, name):
+    def counts(split):
         return (r.lines.filter(F.col("eval_set") == split).groupBy("product_id")
                 .agg(F.count(F.lit(1)).alias("lines"), F.max("order_number").alias("latest")))
-    return graph.upsert(counts("prior", "p"), counts("train", "t"), ["product_id"])
+    return graph.upsert(counts("prior"), counts("train"), ["product_id"])
 
 
 def snk_table_load(r):
-    folder = stage_path(r.spark, r.folder, "processed")
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    folder = _shared(r, "processed")
     return sinks.load_tables({
         "departments": r.departments, "aisles": r.aisles, "products": r.products,
         "customers": r.customers, "orders": r.orders,
@@ -91,8 +87,9 @@ def v4_foreign_keys(r):
 
 
 def v5_split_foreign_keys(r):
-    prior, train = _raw_line_tables(r)
-    return quality.foreign_keys(r.products, r.aisles, r.departments, r.raw_orders, prior, train)
+    """All raw lines against the orders of each split, so that orphans exist."""
+    return quality.foreign_keys(r.products, r.aisles, r.departments, r.raw_orders,
+                                r.raw_lines, r.raw_lines)
 
 
 def v8_constraints(r):
@@ -188,8 +185,10 @@ def p12_leaderboard_fixed(r):
 
 
 def p13_batch_scores(r):
-    """Every candidate pair scored by the fitted logistic model."""
-    return prediction.score(_fit(r, prediction.fit_logistic)[0], r.matrix, prediction.LOGISTIC)
+    """Every candidate pair scored by a logistic model that was fitted, saved and loaded."""
+    path = _shared(r, "reorder_model")
+    prediction.save_model(_fit(r, prediction.fit_logistic)[0], path)
+    return prediction.score(prediction.load_model(path), r.matrix, prediction.LOGISTIC)
 
 
 # --- forecasting -------------------------------------------------------------------------
@@ -277,6 +276,11 @@ PRODUCT, AISLE = "product", "aisle"
 CATALOGUE = {
     # sources and sinks
     "src_csv_orders": (PRODUCT, src_csv_orders),
+    "src_pruned_scan": (PRODUCT, lambda r: readers.read_parquet(
+        r.spark, f"{r.folder}/orders.parquet",
+        ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"])
+        .filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 100000))
+        .drop("o_orderstatus")),
     "src_discover": (PRODUCT, src_discover),
     "src_optional_missing": (PRODUCT, lambda r: readers.read_optional(
         r.spark, f"{r.folder}/no_such_table.parquet", "source bigint, target bigint")
@@ -413,6 +417,8 @@ CATALOGUE = {
             F.min("ds").alias("first_day"), F.max("ds").alias("last_day"),
             F.count(F.lit(1)).alias("days"), F.sum("y").alias("volume"))),
     "t5_average_backtest": (PRODUCT, lambda r: _rounded(r.backtest, 4, "predicted")),
+    "t5_average_multi_step": (PRODUCT, lambda r: forecasting.model_backtest(
+        forecasting.holdout_split(r.timeline_days), (forecasting.AVERAGE,))),
     "t6_smoothing_fixed": (PRODUCT, t6_smoothing_fixed),
     "t6_smoothing_fitted": (PRODUCT, lambda r: forecasting.model_backtest(
         forecasting.holdout_split(r.timeline_days), (forecasting.SMOOTHING,))),

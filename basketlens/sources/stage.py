@@ -5,8 +5,10 @@ statistics and column pruning.
 """
 
 import hashlib
+import os
 import tempfile
 import threading
+from urllib.parse import unquote, urlparse
 
 _written = {}
 _local_root = {}
@@ -26,6 +28,18 @@ def shared_root(spark):
     return None
 
 
+def fingerprint(spark, paths):
+    """Names of the source files, with size and time where they are on this machine's disk."""
+    files = sorted(spark.read.schema("unused int").parquet(*paths).inputFiles())
+    marks = list(files)
+    for name in files:
+        local = unquote(urlparse(name).path)
+        if name.startswith("file:") and os.path.exists(local):
+            status = os.stat(local)
+            marks.append(f"{status.st_size}-{status.st_mtime_ns}")
+    return "|".join(marks)
+
+
 def stage_path(spark, source, name):
     """Place of a staged table, or None where the cluster names no shared folder."""
     root = shared_root(spark)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketlens.operators import cleaning, graph, quality
 from basketlens.sources import readers, sinks
-from basketlens.sources.stage import forget, staged
+from basketlens.sources.stage import fingerprint, forget, staged
 
 
 def test_clean_orders_tells_first_order_from_zero_gap(spark):
@@ -141,6 +141,15 @@ def test_staged_table_is_built_once(spark):
     assert len(calls) == 2
 
 
+def test_changed_source_has_another_fingerprint(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    before = fingerprint(spark, [path])
+    assert before == fingerprint(spark, [path])
+    spark.range(4).write.mode("overwrite").parquet(path)
+    assert before != fingerprint(spark, [path])
+
+
 def test_discover_counts_files(spark, tmp_path):
     spark.range(10).repartition(2).write.parquet(str(tmp_path / "t"))
     row = readers.discover(spark, {"t": str(tmp_path / "t")}).collect()[0]
