@@ -50,15 +50,19 @@ def customer_profiles(segments):
         labels("segment_name", STRATEGIES, DEFAULT_STRATEGY).alias("retention_action_strategy"))
 
 
-def heuristic_score(product_rate, user_rate):
-    """Fixed blend of product and user reorder rates, clipped to [.05, .95].
+def _tenths(rate, weight):
+    """A rate of four decimals times a weight of one, exact as a decimal."""
+    return exact(rate) * F.lit(weight).cast("decimal(2,1)")
 
-    Rates have four decimals, so the blend is exact as a decimal.
-    """
-    blend = (exact(product_rate) * F.lit(0.4).cast("decimal(2,1)")
-             + exact(user_rate) * F.lit(0.6).cast("decimal(2,1)"))
+
+def _clip(score):
     low, high = F.lit(0.05).cast("decimal(3,2)"), F.lit(0.95).cast("decimal(3,2)")
-    return F.least(F.greatest(blend, low), high)
+    return F.least(F.greatest(score, low), high)
+
+
+def heuristic_score(product_rate, user_rate):
+    """Fixed blend of product and user reorder rates, clipped to [.05, .95]."""
+    return _clip(_tenths(product_rate, 0.4) + _tenths(user_rate, 0.6))
 
 
 def reorder_list(segments, product_features, top_k=5, threshold=0.15, candidates=30):
@@ -74,22 +78,22 @@ def reorder_list(segments, product_features, top_k=5, threshold=0.15, candidates
                .limit(candidates)
                .agg(F.sort_array(F.collect_list(F.struct(
                    (-F.col("prod_total_orders")).alias("key"), "product_id", "product_name",
-                   "prod_reorder_rate"))).alias("popular")))
-    people = segments.select("user_id", "segment_name", "user_reorder_rate").withColumn(
+                   _tenths("prod_reorder_rate", 0.4).alias("part")))).alias("popular")))
+    people = segments.select("user_id", "segment_name",
+                             _tenths("user_reorder_rate", 0.6).alias("own")).withColumn(
         "popular", popular.scalar())
-
-    def score(item, place):
-        value = heuristic_score(item["prod_reorder_rate"], F.col("user_reorder_rate"))
-        return F.struct((-F.round(value, 4)).alias("order"), place.alias("place"),
-                        value.alias("score"), item["product_id"].alias("product_id"),
-                        item["product_name"].alias("product_name"))
-
-    scored = F.filter(F.transform("popular", score), lambda x: x["score"] >= threshold)
-    best = F.slice(F.array_sort(scored), 1, top_k)
-    rows = people.select("user_id", "segment_name", F.posexplode(best).alias("at", "x"))
+    scores = F.transform("popular", lambda item: _clip(item["part"] + F.col("own")))
+    ordered = F.sort_array(F.filter(
+        F.transform(scores, lambda score, at: F.struct(
+            (-F.round(score, 4)).alias("order"), at.alias("at"), score.alias("score"))),
+        lambda x: x["score"] >= threshold))
+    rows = people.select("user_id", "segment_name", "popular",
+                         F.posexplode(F.slice(ordered, 1, top_k)).alias("place", "x"))
+    item = F.get("popular", F.col("x.at"))
     return rows.select(
         "user_id", F.col("segment_name").alias("customer_segment"),
-        (F.col("at") + 1).alias("rank"), "x.product_id", "x.product_name",
+        (F.col("place") + 1).alias("rank"), item["product_id"].alias("product_id"),
+        item["product_name"].alias("product_name"),
         F.round("x.score", 4).cast("double").alias("reorder_probability"),
         F.when(F.col("x.score") >= 0.40, "High Priority").otherwise("Medium Priority")
         .alias("recommendation_tier"))
