@@ -47,26 +47,21 @@ def first_match(rules, otherwise):
     return chain.otherwise(F.lit(otherwise))
 
 
-def one_value(df):
-    """A one-row, one-column frame as a scalar subquery, so that no join is needed."""
-    return df.scalar()
-
-
 def exact(column, digits=4):
     """A rounded measure as an exact decimal, so that later rounding has no binary ties."""
     value = F.col(column) if isinstance(column, str) else column
     return value.cast(f"decimal(12,{digits})")
 
 
-def spread(df, *keys):
-    """Rows hashed over at least as many partitions as there are cores.
+def spread(df, *keys, most=250000, least=4096):
+    """Rows hashed over partitions of ``least`` to ``most`` rows, on all cores if they suffice.
 
     Adaptive execution merges small shuffles into one partition, which would leave the many
     passes of a model fit on one core. A key hash gives the same partitions on every run.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, -(-rows // most), min(cores, -(-rows // least))), *keys)
 
 
 def plain_types(df):

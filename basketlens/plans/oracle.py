@@ -703,7 +703,8 @@ ORDER BY pair_hash, user_id, product_id LIMIT 20000""",
     "t2_real_dates": "SELECT * REPLACE (CAST(ds AS VARCHAR) AS ds) FROM realvol",
     "t3_filled_days": "SELECT * REPLACE (CAST(ds AS VARCHAR) AS ds) FROM real_f",
     "t4_holdout": """SELECT series_key, CAST(is_holdout AS BIGINT) AS is_holdout,
-  CAST(min(ds) AS VARCHAR) AS first_day, CAST(max(ds) AS VARCHAR) AS last_day, CAST(count(*) AS BIGINT) AS days,
+  CAST(min(ds) AS VARCHAR) AS first_day, CAST(max(ds) AS VARCHAR) AS last_day,
+  CAST(count(*) AS BIGINT) AS days,
   CAST(sum(y) AS BIGINT) AS volume FROM vol_h GROUP BY 1, 2""",
     "t5_average_backtest": "SELECT * REPLACE (round(predicted, 4) AS predicted, "
                            "CAST(ds AS VARCHAR) AS ds) FROM sma",

@@ -1,8 +1,9 @@
 """Table readers (SRC1-SRC8)."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+from basketlens.functions.columns import key_hash
 
 # Columns and types of the raw tables.
 SCHEMAS = {
@@ -37,8 +38,7 @@ def read_optional(spark, path, schema, fmt="parquet"):
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        parsed = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-        return spark.createDataFrame([], parsed)
+        return spark.createDataFrame([], schema)
 
 
 def discover(spark, paths):
@@ -68,5 +68,4 @@ def read_report(spark, path, field):
 
 def key_sample(df, key, share):
     """A repeatable part of a table by key hash, in place of a file prefix (SRC4)."""
-    from basketlens.functions.columns import key_hash
     return df.filter(key_hash(key) < share)
