@@ -2,10 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import sharding, simhash
+from basketlens.llm import lm, quality, sharding, simhash
 from basketlens.llm.common import table
 
 
+def op1_lm_score(spark, folder):
+    return lm.score(table(spark, folder, "documents"))
+
+
+def op3_quality(spark, folder):
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_shards(spark, folder):
     return sharding.assign(table(spark, folder, "documents"))
 
@@ -16,6 +24,6 @@ def op5_simhash(spark, folder):
                         "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_shards, op5_simhash)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op3_quality, op4_shards, op5_simhash)}
 
 ORACLE_SQL = {}
