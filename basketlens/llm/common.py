@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 _LOCAL = {}
@@ -44,6 +45,15 @@ def written(df, name):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark, value):
+    """Broadcast of ``value`` with its class, so that executors need no import."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(shared):
+    return cloudpickle.loads(shared.value)
+
+
 def sliced(batch, column, most=8 << 20):
     """Slices of an Arrow batch whose ``column`` holds about ``most`` bytes, one row at least."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_pylist()

@@ -30,7 +30,7 @@ CONTEXTS = CLASSES + 1
 VECTOR, STEPS, PAIRS, NOISE = 32, 2500, 2048, 96
 FOLDS, HELD = 5, 1
 #: Distinct words a task counts or remembers at once.
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 def shape(word):
@@ -105,17 +105,18 @@ def _trigrams(batches, head):
     numbers = _Numbers({w: i for i, w in enumerate(head)}, HEAD)
     held = None
     for whole in batches:
-        for batch in sliced(whole, "text"):
+        for batch in sliced(whole, "text", 4 << 20):
             classes, sizes, _ = _sequence(raw_bytes(batch["text"]), numbers, END)
             one, two = _contexts(classes, sizes)
             key = (two * CONTEXTS + one) * CONTEXTS + classes
-            found = np.bincount(key, minlength=CONTEXTS ** 3)
-            held = found if held is None else np.add(held, found, out=held)
+            if held is None:
+                held = np.zeros(CONTEXTS ** 3, np.int32)
+            np.add.at(held, key, np.int32(1))
     if held is not None:
         key = np.flatnonzero(held)
         for part in range(0, len(key), 500_000):
             some = key[part:part + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], ["key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some].astype(np.int64))], ["key", "n"])
 
 
 # --- model ----------------------------------------------------------------------------------------
@@ -198,7 +199,7 @@ def _scored(batches, shared):
     context = TaskContext.get()
     row = (context.partitionId() if context else 0) << 40
     for whole in batches:
-        for batch in sliced(whole, "text"):
+        for batch in sliced(whole, "text", 4 << 20):
             number, sizes, lists = _sequence(raw_bytes(batch["text"]), numbers, end)
             kind = classes[number]
             one, two = _contexts(kind, sizes)

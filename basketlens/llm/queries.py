@@ -1,8 +1,11 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
+import json
+
 from pyspark.sql import functions as F
 
-from basketlens.llm import lm, quality, sharding, simhash
+from basketlens.llm import (decontaminate, lm, neighbours, pieces, quality, sharding, simhash,
+                            substrings, templates, toolcalls)
 from basketlens.llm.common import table
 
 
@@ -10,6 +13,47 @@ def op1_lm_score(spark, folder):
     return lm.score(table(spark, folder, "documents"))
 
 
+#: The tools that turns of ``conversations`` call in op2.
+TOOLS = {
+    "search": {"properties": {"query": {"type": "string"},
+                              "limit": {"type": "integer", "minimum": 1, "maximum": 1500}},
+               "required": ["limit", "query"], "additionalProperties": False},
+    "calculate": {"properties": {"value": {"type": "number"}}, "required": ["value"]},
+    "remember": {"properties": {"key": {"type": "string"}, "keep": {"type": "boolean"}},
+                 "required": ["key"], "additionalProperties": False}}
+
+
+def conversation_calls(turns):
+    """(calls, results) that ``conversations`` imply: an assistant's turn calls a tool with arguments
+    taken from its text and builds on the assistant's two turns before; the turn after answers it.
+    """
+    name = F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"))
+    size, number = F.length("text"), F.crc32(F.coalesce("text", F.lit("")))
+    word = F.regexp_replace(F.substring_index("text", " ", 1), r'["\\\p{Cntrl}]', "")
+    arguments = F.when(number % 3 == 0, F.format_string(
+        '{ "query": "%s", "limit": %s }', word,
+        F.when(number % 11 == 0, F.format_string('"%d"', size)).otherwise(size.cast("string")))
+    ).when(number % 3 == 1, F.format_string('{"value": %d.%d}', size, number % 10)).otherwise(
+        F.format_string('{"keep":true, "key":"%s"%s}', word,
+                        F.when(number % 7 == 0, F.lit(', "more": null')).otherwise(F.lit(""))))
+    tool = F.element_at(F.array(*map(F.lit, TOOLS)), (number % 3 + 1).cast("int"))
+    earlier = F.filter(F.array(F.col("turn") - 2, F.col("turn") - 4), lambda x: x >= 0)
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id", "turn", F.concat(name, F.col("turn")).alias("call_id"), tool.alias("tool"),
+        arguments.alias("arguments"),
+        F.transform(earlier, lambda x: F.concat(name, x)).alias("depends_on"))
+    results = turns.where("role <> 'assistant'").select(
+        F.concat(name, F.col("turn") - 1).alias("call_id"), F.col("text").alias("result"))
+    return calls, results
+
+
+def op2_tool_calls(spark, folder):
+    calls, results = conversation_calls(table(spark, folder, "conversations"))
+    schemas = spark.createDataFrame([(k, json.dumps(v)) for k, v in TOOLS.items()],
+                                    "tool string, schema string")
+    return toolcalls.link(calls, results, schemas)
+
+
 def op3_quality(spark, folder):
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -24,6 +68,30 @@ def op5_simhash(spark, folder):
                         "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op3_quality, op4_shards, op5_simhash)}
+def op6_substring_dedup(spark, folder):
+    return substrings.drop_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op7_line_templates(spark, folder):
+    return templates.drop_recurring(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op8_nearest(spark, folder):
+    return neighbours.search(table(spark, folder, "embeddings"))
+
+
+def op9_sentencepiece(spark, folder):
+    found = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_ids", "ids", "exact")
+
+
+def op10_decontaminate(spark, folder):
+    return decontaminate.report(table(spark, folder, "documents"),
+                                table(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_lm_score, op2_tool_calls, op3_quality, op4_shards, op5_simhash, op6_substring_dedup,
+    op7_line_templates, op8_nearest, op9_sentencepiece, op10_decontaminate)}
 
 ORACLE_SQL = {}

@@ -1,28 +1,104 @@
-"""Repeated lines: each unit stays where it is ranked first, with original offsets."""
+"""Repeated passages by hashed units: each unit stays where it is ranked first."""
 
+import re
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import written
 
-#: Words from which on a line is compared; shorter ones recur by chance.
-MIN_WORDS = 8
+#: A unit ends with its line, after a sentence's last mark, and before a capitalised word, so that
+#: a passage set into the middle of a sentence still falls into the units it has elsewhere.
+BOUNDARY = re.compile(r"\n+|(?<=[.!?])[ \t\r]+|[ \t\r]+(?=[A-ZÀ-ÖØ-Þ])")
+#: Words from which on a unit is compared; shorter ones recur by chance.
+MIN_WORDS = 5
+
+
+def units(text, min_words=MIN_WORDS):
+    """(start, end, digest) of the units of a text, in characters.
+
+    A unit is normalised by lower-casing and by making each run of white space one blank.
+    """
+    found, start = [], 0
+    cuts = [(m.start(), m.end()) for m in BOUNDARY.finditer(text)]
+    for end, following in [*cuts, (len(text), len(text))]:
+        words = text[start:end].lower().split()
+        if len(words) >= min_words:
+            found.append((start, end, xxhash.xxh3_128_digest(" ".join(words))))
+        start = following
+    return found
+
+
+def _listed(batches):
+    for batch in batches:
+        ids, hashes = batch["doc_id"], batch["hash"]
+        rows, starts, ends, digests = [], [], [], []
+        for i, text in enumerate(batch["text"].to_pylist()):
+            for start, end, digest in units(text or ""):
+                rows.append(i)
+                starts.append(start)
+                ends.append(end)
+                digests.append(digest)
+            if len(rows) > 200_000 or i == batch.num_rows - 1 and rows:
+                at = pa.array(rows, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(at), hashes.take(at), pa.array(starts, pa.int32()),
+                     pa.array(ends, pa.int32()), pa.array(digests, pa.binary())],
+                    ["doc_id", "hash", "start", "end", "digest"])
+                rows, starts, ends, digests = [], [], [], []
+
+
+def repeated_spans(docs):
+    """(doc_id, hash of the text, spans): units that occur earlier, in order of (doc_id, start).
+
+    A null doc_id ranks last. Where one doc_id has several texts, their hash ranks them; rows
+    repeated with id and text count as one row and are treated alike.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = written(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
+        _listed, f"doc_id {kind}, hash long, start int, end int, digest binary"), "units")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash", "start")
+    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where(
+        "n > 1").select("digest", "first")
+    again = found.join(first, "digest").where(rank > F.col("first"))
+    return again.groupBy("doc_id", "hash").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
+
+
+def without_spans(text, spans):
+    """``text`` without the spans; white space between two removed spans goes too."""
+    parts, at = [], 0
+    for start, end in spans:
+        between = text[at:start]
+        if at == 0 or between.strip():
+            parts.append(between)
+        at = end
+    parts.append(text[at:])
+    return "".join(parts)
+
+
+def _cut(batches):
+    for batch in batches:
+        texts = [text if text is None or not spans
+                 else without_spans(text, [(s["start"], s["end"]) for s in spans])
+                 for text, spans in zip(batch["text"].to_pylist(), batch["removed"].to_pylist())]
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.string()))
 
 
-def units(docs, min_words=MIN_WORDS):
-    """One row per line to compare: key of its text, start and end in characters, digest.
+def drop_repeats(docs):
+    """docs with every later occurrence of a unit cut out of ``text``, and the column removed.
 
-    A unit is normalised by lower-casing and by making every run of white space one blank.
+    removed: spans (start, end) of the original text, in characters, in order; empty if none. Null
+    texts stay null, empty ones empty. Units of fewer than ``MIN_WORDS`` words stay. Other columns
+    pass through, except that removed is replaced. An empty table stays empty.
     """
-    key = F.struct("doc_id", F.xxhash64("text").alias("hash"))
-    cut = docs.where("text is not null").select(
-        "doc_id", key.alias("key"), F.split("text", "\n").alias("lines"))
-    ends = F.aggregate(
-        F.transform("lines", F.length), F.array().cast("array<int>"),
-        lambda a, n: F.concat(a, F.array(F.coalesce(F.element_at(F.slice(
-            F.concat(F.array(F.lit(-1)), a), -1, 1), 1), F.lit(-1)) + n + 1)))
-    del ends
-    rows = cut.select("doc_id", "key", F.posexplode("lines").alias("n", "line"))
-    plain = F.trim(F.regexp_replace(F.lower("line"), r"\s+", " "))
-    return rows.withColumn("plain", plain).where(
-        F.length("plain") - F.length(F.replace("plain", F.lit(" "))) + 1 >= min_words).select(
-        "doc_id", "key", "n", F.unhex(F.md5("plain")).alias("digest"))
+    spans = repeated_spans(docs).select(
+        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "removed")
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    joined = docs.drop("removed").join(
+        spans, F.col("doc_id").eqNullSafe(F.col("_id"))
+        & (F.xxhash64("text") == F.col("_hash")), "left").drop("_id", "_hash").withColumn(
+        "removed", F.coalesce("removed", none))
+    return joined.mapInArrow(_cut, joined.schema)

@@ -28,27 +28,28 @@ def parsed(docs):
     return lines.withColumn("plain", plain).where("plain <> ''").select(
         "key", "doc_chars", "n", F.length("line").alias("chars"), masked.alias("masked")).withColumns({
             "tokens": F.length("masked") - F.length(F.replace("masked", F.lit(" "))) + 1,
-            "lead": F.substring_index("masked", " ", LEADING)})
+            "lead": F.substring_index("masked", " ", LEADING),
+            "line": F.unhex(F.md5("masked"))})
 
 
 def line_templates(pairs, min_docs):
-    """(masked, template, constant share) of the distinct masked lines of ``pairs``.
+    """(line, template, constant share) of the distinct masked lines of ``pairs``.
 
     A position of a leaf is constant for a line if its token stands there in ``min_docs`` documents
     or more; all others are variable fields.
     """
-    lines = written(pairs.groupBy("tokens", "lead", "masked").agg(F.count("*").alias("docs")),
-                    "lines")
-    spots = lines.select("tokens", "lead", "masked", "docs",
+    lines = written(pairs.groupBy("tokens", "lead", "line").agg(
+        F.count("*").alias("docs"), F.first("masked").alias("masked")), "lines")
+    spots = lines.select("tokens", "lead", "line", "docs",
                          F.posexplode(F.split("masked", " ")).alias("place", "token"))
     leaf = ["tokens", "lead", "place", "token"]
     constant = spots.where(F.col("token") != VARIABLE).groupBy(*leaf).agg(
         F.sum("docs").alias("in_docs")).where(F.col("in_docs") >= min_docs)
-    named = spots.select(*leaf, "masked").join(constant, leaf, "left").select(
-        "masked", "place", F.when(F.col("in_docs").isNotNull(), F.col("token")).alias("token"))
+    named = spots.select(*leaf, "line").join(constant, leaf, "left").select(
+        "line", "place", F.when(F.col("in_docs").isNotNull(), F.col("token")).alias("token"))
     whole = F.array_sort(F.collect_list(F.struct(
         "place", F.coalesce("token", F.lit(VARIABLE)).alias("token"))))
-    return named.groupBy("masked").agg(
+    return named.groupBy("line").agg(
         F.concat_ws(" ", whole["token"]).alias("template"),
         (F.count("token") / F.count("*")).alias("constant"))
 
@@ -60,22 +61,22 @@ def recurring_lines(docs, min_docs=MIN_DOCS, min_constant=MIN_CONSTANT, copy_sha
         F.col("n") >= min_docs).select("tokens", "lead")
     # Lines of smaller leaves cannot recur often enough; the rest is the tree that is worked on.
     kept = written(lines.join(leaves, ["tokens", "lead"]), "leaves")
-    pairs = written(kept.groupBy("key", "doc_chars", "tokens", "lead", "masked").agg(
-        F.sum(F.col("chars") + 1).alias("chars")), "pairs")
+    pairs = written(kept.groupBy("key", "doc_chars", "tokens", "lead", "line").agg(
+        F.sum(F.col("chars") + 1).alias("chars"), F.first("masked").alias("masked")), "pairs")
     named = written(line_templates(pairs, min_docs).where(F.col("constant") >= min_constant).select(
-        "masked", "template"), "templates")
-    votes = pairs.select("key", "doc_chars", "masked", "chars").join(named, "masked")
+        "line", "template"), "templates")
+    votes = pairs.select("key", "doc_chars", "line", "chars").join(named, "line")
     often = votes.groupBy("template").agg(F.count("*").alias("n")).where(
         F.col("n") >= min_docs).select("template")
     votes = written(votes.join(often, "template").select("key", "doc_chars", "chars", "template"),
                     "votes")
     voters = votes.groupBy("key").agg(
-        (F.sum("chars") / (F.first("doc_chars") + 1)).alias("share")).where(
+        (F.sum("chars") / (F.max("doc_chars") + 1)).alias("share")).where(
         F.col("share") < copy_share).select("key")
     recurring = votes.join(voters, "key").select("key", "template").distinct().groupBy(
         "template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    dropped = named.join(recurring, "template").select("masked")
-    return kept.select("key", "n", "masked").join(dropped, "masked").groupBy("key").agg(
+    dropped = named.join(recurring, "template").select("line")
+    return kept.select("key", "n", "line").join(dropped, "line").groupBy("key").agg(
         F.collect_set("n").alias("drop"))
 
 
