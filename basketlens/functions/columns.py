@@ -27,9 +27,17 @@ def key_hash(column):
     return mixed / F.lit(4294967296.0)
 
 
-def pair_key(first, second):
-    """One integer for a pair of integer keys, for use with ``key_hash``."""
-    return (F.pmod(F.col(first), F.lit(2147483648)) * 31 + F.pmod(F.col(second), F.lit(2147483648)))
+def pair_hash(first, second):
+    """Uniform value in [0, 1) from two integer keys, the same in any SQL engine.
+
+    The first key is mixed and reduced modulo a prime before the second is added and mixed again,
+    so that pairs on a diagonal do not collide. Products stay inside a BIGINT.
+    """
+    prime, small = F.lit(2147483647), F.lit(2147483648)
+    once = F.pmod(F.pmod(F.col(first).cast("bigint"), small) * F.lit(1103515245) + F.lit(12345),
+                  prime)
+    both = F.pmod((once + F.pmod(F.col(second).cast("bigint"), small)) * F.lit(1566083941), prime)
+    return F.pmod(both * F.lit(48271) + F.lit(11), prime) / F.lit(2147483647.0)
 
 
 def labels(code, mapping, default=None):
@@ -53,15 +61,14 @@ def exact(column, digits=4):
     return value.cast(f"decimal(12,{digits})")
 
 
-def spread(df, *keys, most=250000, least=4096):
-    """Rows hashed over partitions of ``least`` to ``most`` rows, on all cores if they suffice.
+def spread(df, *keys, partitions=8):
+    """Rows hashed over a fixed number of partitions.
 
     Adaptive execution merges small shuffles into one partition, which would leave the many
-    passes of a model fit on one core. A key hash gives the same partitions on every run.
+    passes of a model fit on one core. Learners that draw per partition give the same result on
+    every cluster because the number does not follow its cores. Rows of a fit are bounded.
     """
-    rows = df.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, -(-rows // most), min(cores, -(-rows // least))), *keys)
+    return df.repartition(partitions, *keys)
 
 
 def plain_types(df):

@@ -8,7 +8,8 @@ forward. Only the totals (one row per key and chunk) ever meet in one task.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELLS = 65536
+#: Cells of a key by quantiles, and cells of hashed scores by width.
+CELLS, HASH_CELLS = 128, 65536
 
 
 def running_totals(df, keys, chunk, order, totals):
@@ -32,18 +33,22 @@ def running_totals(df, keys, chunk, order, totals):
         (F.col(f"_{name}_local") + F.col(f"_{name}_before")).alias(name) for name in totals])
 
 
-def _with_cells(df, keys, value, cells):
-    """Add ``_cell``, the value's position between the smallest and largest of its key."""
+def with_cells(df, keys, value, cells=CELLS):
+    """Add ``_cell``: between which of a key's cut points the value lies.
+
+    The cut points are approximate quantiles of the given rows, so that cells hold about equally
+    many of them however the values are spread. Equal values share a cell, cells rise with values.
+    """
+    if cells < 2:
+        return df.withColumn("_cell", F.lit(0))
+    shares = F.array(*[F.lit(i / cells) for i in range(1, cells)])
+    cuts = F.array_distinct(F.percentile_approx(F.col(value).cast("double"), shares, 10 * cells))
     if keys:
-        bounds = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        placed = df.join(bounds, keys)
+        placed = df.join(df.groupBy(*keys).agg(cuts.alias("_cuts")), keys)
     else:
-        placed = (df.withColumn("_lo", df.agg(F.min(value)).scalar())
-                  .withColumn("_hi", df.agg(F.max(value)).scalar()))
-    span = F.col("_hi") - F.col("_lo")
-    cell = F.floor((F.col(value) - F.col("_lo")) / span * cells)
-    return placed.withColumn(
-        "_cell", F.when(span > 0, F.least(cell, F.lit(cells - 1))).otherwise(F.lit(0)))
+        placed = df.withColumn("_cuts", df.agg(cuts.alias("_cuts")).scalar())
+    below = F.filter("_cuts", lambda c: c < F.col(value))
+    return placed.withColumn("_cell", F.size(below)).drop("_cuts")
 
 
 def exact_quantiles(df, keys, value, probs, cells=CELLS):
@@ -55,7 +60,7 @@ def exact_quantiles(df, keys, value, probs, cells=CELLS):
     counts = (df.filter(F.col(value).isNotNull())
               .select(*keys, F.col(value).cast("double").alias("_v"))
               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
-    placed = _with_cells(counts, keys, "_v", cells).select(*keys, "_v", "_n", "_cell")
+    placed = with_cells(counts, keys, "_v", cells).select(*keys, "_v", "_n", "_cell")
     per_cell = placed.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_cell_n"))
     along = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_cell")
     ranked = per_cell.select(
@@ -84,7 +89,7 @@ def exact_quantiles(df, keys, value, probs, cells=CELLS):
     return hits.groupBy(*keys, "prob").agg(F.sum(F.col("_v") * weight).alias("quantile"))
 
 
-def smallest_n(df, score, n, tiebreak, cells=CELLS):
+def smallest_n(df, score, n, tiebreak, cells=HASH_CELLS):
     """The ``n`` rows with the smallest score in [0, 1), without gathering them in one task.
 
     Cell counts find the cell where row ``n`` falls; cells below it are kept whole and only

@@ -1,182 +1,141 @@
-"""Weekly seasonal models for one daily series, as array steps over a parameter grid.
+"""Weekly seasonal models as SQL recursions over the ordered values of a series.
 
-These run inside ``applyInPandas`` on one series at a time; Spark spreads the series. All
-candidates of a grid are evaluated together, so the only Python loop is over days.
+A series has one value per day, so its array is bounded by the calendar. Series and parameter
+candidates are rows; Spark spreads both. All functions take and return columns.
 """
 
-import numpy as np
+from pyspark.sql import functions as F
 
 SEASON = 7
 NORMAL_95 = 1.959964
+#: Days that a model needs to start.
+SMOOTHING_DAYS, ARIMA_DAYS = 2 * SEASON, 4 * SEASON
+#: Candidate parameters of the fits.
+SMOOTHING_GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.05, 0.2)
+                  for g in (0.05, 0.2, 0.5)]
+ARIMA_GRID = [(p, q, sp, sq) for p in (-0.4, 0.0, 0.4) for q in (-0.7, -0.3, 0.0)
+              for sp in (0.0, 0.3) for sq in (-0.8, -0.4, 0.0)]
+_SMOOTHING = "struct<level:double,trend:double,season:array<double>,sse:double>"
+_ARIMA = "struct<w:array<double>,e:array<double>,sse:double>"
+_AHEAD = "struct<w:array<double>,e:array<double>,y:array<double>,out:array<double>>"
 
 
-def grid_search(loss, low, high, size, points, rounds, starts):
-    """Coarse-to-fine minimum of ``loss``, which takes one row of ``size`` values per candidate.
+def _mean(values):
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
 
-    The best ``starts`` points of the coarse grid are refined side by side, each within its
-    own neighbourhood, so that a poor basin does not decide the result.
-    """
-    axis = np.linspace(low, high, points)
-    mesh = np.stack([m.ravel() for m in np.meshgrid(*[axis] * size, indexing="ij")], axis=1)
-    values = loss(mesh)
-    order = np.argsort(values, kind="stable")[:starts]
-    best, value = mesh[order], values[order]
-    around = np.stack([m.ravel() for m in np.meshgrid(*[[-1, 0, 1]] * size, indexing="ij")],
-                      axis=1)
-    step = (high - low) / (points - 1)
-    for _ in range(rounds):
-        step = step / 2
-        near = np.clip(best[:, None, :] + step * around[None, :, :], low, high)
-        found = loss(near.reshape(-1, size)).reshape(len(best), -1)
-        pick = found.argmin(axis=1)
-        rows = np.arange(len(best))
-        better = found[rows, pick] < value
-        best = np.where(better[:, None], near[rows, pick], best)
-        value = np.where(better, found[rows, pick], value)
-    return best[int(np.argmin(value))]
-
-
-def smoothing_states(y, params, level, trend, season):
-    """One-step errors and final states of additive smoothing.
-
-    ``params`` is (G, 3): alpha, beta, gamma. States are (G, K) and the season (G, K, 7);
-    ``y`` is (T, K), so several inputs run side by side.
-    """
-    alpha, beta, gamma = (params[:, i:i + 1] for i in range(3))
-    season = season.copy()
-    errors = np.empty((len(y),) + level.shape)
-    for t in range(len(y)):
-        place = t % SEASON
-        ahead = level + trend
-        old = season[:, :, place]
-        errors[t] = y[t] - ahead - old
-        new = alpha * (y[t] - old) + (1 - alpha) * ahead
-        trend = beta * (new - level) + (1 - beta) * trend
-        season[:, :, place] = gamma * (y[t] - ahead) + (1 - gamma) * old
-        level = new
-    return errors, level, trend, season
-
-
-def _start_states(y, params):
-    """Squared error and best starting states per candidate.
-
-    Errors are linear in the nine starting states, so these are a least-squares solution:
-    column 0 is driven by the data, the others by one unit state each.
+
+def _shifted(values, new):
+    """The array without its first element and with ``new`` at its end."""
+    return F.concat(F.slice(values, 2, F.size(values) - 1), F.array(new))
+
+
+def smoothing(values, params):
+    """Final level, trend, season (the next day's first) and squared one-step errors.
+
+    ``params`` is a struct alpha, beta, gamma. The first two weeks give the starting states.
     """
-    g = len(params)
-    level, trend = np.zeros((g, 10)), np.zeros((g, 10))
-    season = np.zeros((g, 10, SEASON))
-    level[:, 1], trend[:, 2] = 1.0, 1.0
-    for s in range(SEASON):
-        season[:, 3 + s, s] = 1.0
-    inputs = np.zeros((len(y), 10))
-    inputs[:, 0] = y
-    errors, *_ = smoothing_states(inputs, params, level, trend, season)
-    base, effect = errors[:, :, 0], errors[:, :, 1:]
-    gram = np.einsum("tgi,tgj->gij", effect, effect)
-    right = -np.einsum("tgi,tg->gi", effect, base)
-    start = np.einsum("gij,gj->gi", np.linalg.pinv(gram, rcond=1e-10, hermitian=True), right)
-    fitted = base + np.einsum("tgi,gi->tg", effect, start)
-    return (fitted ** 2).sum(axis=0), start
-
-
-def simple_start(y):
-    """Starting level, trend and season from the first two weeks."""
-    first, second = y[:SEASON].mean(), y[SEASON:2 * SEASON].mean()
-    return np.concatenate([[first, (second - first) / SEASON], y[:SEASON] - first])
-
-
-def smoothing_forecast(y, horizon, params=None):
-    """Additive Holt-Winters forecast; parameters and starting states are fitted if absent."""
-    y = np.asarray(y, float)
-    if len(y) < 2 * SEASON:
-        return np.full(horizon, y[-SEASON:].mean())
-    if params is None:
-        chosen = grid_search(lambda m: _start_states(y, m)[0], 0.01, 0.99, size=3,
-                             points=5, rounds=6, starts=4)[None, :]
-        start = _start_states(y, chosen)[1][0]
-    else:
-        chosen, start = np.asarray([params], float), simple_start(y)
-    _, level, trend, season = smoothing_states(
-        y[:, None], chosen, np.array([[start[0]]]), np.array([[start[1]]]),
-        start[2:].reshape(1, 1, SEASON))
-    ahead = np.arange(1, horizon + 1)
-    place = (len(y) + ahead - 1) % SEASON
-    return level[0, 0] + ahead * trend[0, 0] + season[0, 0, place]
-
-
-def difference(y):
-    """(1 - B)(1 - B^7) y."""
-    y = np.asarray(y, float)
-    return (y[8:] - y[7:-1]) - (y[1:-7] - y[:-8])
-
-
-def arma_errors(w, params):
-    """Residuals of the (1,1)(1,1)_7 model for every candidate; terms before the start are 0.
-
-    ``params`` is (G, 4): phi, theta, seasonal phi, seasonal theta.
+    week = F.slice(values, 1, SEASON)
+    first = _mean(week)
+    start = F.struct(
+        first.alias("level"),
+        ((_mean(F.slice(values, SEASON + 1, SEASON)) - first) / SEASON).alias("trend"),
+        F.transform(week, lambda x: x - first).alias("season"), F.lit(0.0).alias("sse"))
+
+    def step(s, y):
+        old, ahead = s["season"][0], s["level"] + s["trend"]
+        miss = y - ahead - old
+        alpha, beta, gamma = params["alpha"], params["beta"], params["gamma"]
+        return F.struct((ahead + alpha * miss).alias("level"),
+                        (s["trend"] + alpha * beta * miss).alias("trend"),
+                        _shifted(s["season"], old + gamma * miss).alias("season"),
+                        (s["sse"] + miss * miss).alias("sse")).cast(_SMOOTHING)
+
+    return F.when(F.size(values) >= SMOOTHING_DAYS,
+                  F.aggregate(values, start.cast(_SMOOTHING), step))
+
+
+def smoothing_ahead(state, step):
+    """Forecast ``step`` days after the last value."""
+    place = F.pmod(step - 1, F.lit(SEASON)).cast("int")
+    return state["level"] + step * state["trend"] + F.get(state["season"], place)
+
+
+def smoothing_spread(state, params, days, step):
+    """Standard error ``step`` days ahead, from the one-step errors of ``days`` values."""
+    alpha, beta, gamma = params["alpha"], params["beta"], params["gamma"]
+
+    def weight(j):
+        share = alpha + alpha * beta * j + F.when(F.pmod(j, F.lit(SEASON)) == 0, gamma).otherwise(
+            F.lit(0.0))
+        return share * share
+
+    past = F.when(step > 1, F.aggregate(F.sequence(F.lit(1), (step - 1).cast("int")), F.lit(0.0),
+                                        lambda a, j: a + weight(j))).otherwise(F.lit(0.0))
+    return F.sqrt(state["sse"] / days * (1 + past))
+
+
+def differences(values):
+    """(1 - B)(1 - B^7) of the values."""
+    return F.transform(
+        F.sequence(F.lit(SEASON + 1), F.size(values) - 1),
+        lambda i: F.get(values, i) - F.get(values, i - 1) - F.get(values, i - SEASON)
+        + F.get(values, i - SEASON - 1))
+
+
+def _next(s, p):
+    """Expected difference after the last eight differences and errors, the latest last."""
+    return (p["phi"] * s["w"][7] + p["sphi"] * s["w"][1] - p["phi"] * p["sphi"] * s["w"][0]
+            + p["theta"] * s["e"][7] + p["stheta"] * s["e"][1]
+            + p["theta"] * p["stheta"] * s["e"][0])
+
+
+def arima(values, params):
+    """State of a (1,1,1)(1,1,1)_7 model after all values, and its squared errors.
+
+    ``params`` is a struct phi, theta, sphi, stheta. Terms before the start are 0.
     """
-    phi, theta, sphi, stheta = params.T
-    pad = np.concatenate([np.zeros(8), w])
-    e = np.zeros((len(w) + 8, len(params)))
-    for t in range(8, len(pad)):
-        e[t] = (pad[t] - phi * pad[t - 1] - sphi * pad[t - 7] + phi * sphi * pad[t - 8]
-                - theta * e[t - 1] - stheta * e[t - 7] - theta * stheta * e[t - 8])
-    return e[8:]
-
-
-def fit_arma(w):
-    """Parameters with the least squared residuals, and those residuals."""
-    best = grid_search(lambda m: (arma_errors(w, m) ** 2).sum(axis=0), -0.98, 0.98, size=4,
-                       points=5, rounds=9, starts=12)
-    return best, arma_errors(w, best[None, :])[:, 0]
-
-
-def psi_weights(params, horizon):
-    """Weights of past shocks in the undifferenced series."""
-    phi, theta, sphi, stheta = params
-    lag7 = np.zeros(8)
-    lag7[0] = 1.0
-
-    def poly(short, seasonal):
-        long = lag7.copy()
-        long[7] = seasonal
-        return np.convolve([1.0, short], long)
-
-    ar = np.convolve(poly(-phi, -sphi), poly(-1.0, -1.0))
-    ma = poly(theta, stheta)
-    psi = np.zeros(horizon)
-    for j in range(horizon):
-        value = ma[j] if j < len(ma) else 0.0
-        for i in range(1, min(j, len(ar) - 1) + 1):
-            value -= ar[i] * psi[j - i]
-        psi[j] = value
-    return psi
-
-
-def arima_forecast(y, horizon):
-    """Mean and standard error of a seasonal ARIMA(1,1,1)(1,1,1)_7 forecast."""
-    y = np.asarray(y, float)
-    if len(y) < 4 * SEASON:
-        spread = float(np.std(y)) if len(y) > 1 else 0.0
-        return np.full(horizon, y[-SEASON:].mean()), np.full(horizon, spread)
-    w = difference(y)
-    params, e = fit_arma(w)
-    phi, theta, sphi, stheta = params
-    ws, es, ys = list(w), list(e), list(y)
-    for _ in range(horizon):
-        step = (phi * ws[-1] + sphi * ws[-7] - phi * sphi * ws[-8]
-                + theta * es[-1] + stheta * es[-7] + theta * stheta * es[-8])
-        ys.append(step + ys[-1] + ys[-7] - ys[-8])
-        ws.append(step)
-        es.append(0.0)
-    variance = (e ** 2).mean() * np.cumsum(psi_weights(params, horizon) ** 2)
-    return np.array(ys[len(y):]), np.sqrt(variance)
-
-
-def average_forecast(y, horizon):
-    """Seven-day mean carried forward over its own predictions."""
-    values = list(np.asarray(y, float)[-SEASON:])
-    for _ in range(horizon):
-        values.append(float(np.mean(values[-SEASON:])))
-    return np.array(values[-horizon:])
+    zeros = F.array_repeat(F.lit(0.0), SEASON + 1)
+    start = F.struct(zeros.alias("w"), zeros.alias("e"), F.lit(0.0).alias("sse")).cast(_ARIMA)
+
+    def step(s, w):
+        miss = w - _next(s, params)
+        return F.struct(_shifted(s["w"], w).alias("w"), _shifted(s["e"], miss).alias("e"),
+                        (s["sse"] + miss * miss).alias("sse")).cast(_ARIMA)
+
+    return F.when(F.size(values) >= ARIMA_DAYS, F.aggregate(differences(values), start, step))
+
+
+def arima_path(state, params, values, days):
+    """Forecasts of the next ``days`` days as an array."""
+    start = F.struct(state["w"].alias("w"), state["e"].alias("e"),
+                     F.slice(values, -SEASON - 1, SEASON + 1).alias("y"),
+                     F.array().cast("array<double>").alias("out")).cast(_AHEAD)
+
+    def step(s, _):
+        w = _next(s, params)
+        y = w + s["y"][7] + s["y"][1] - s["y"][0]
+        return F.struct(_shifted(s["w"], w).alias("w"), _shifted(s["e"], F.lit(0.0)).alias("e"),
+                        _shifted(s["y"], y).alias("y"),
+                        F.concat(s["out"], F.array(y)).alias("out")).cast(_AHEAD)
+
+    return F.when(state.isNotNull(), F.aggregate(
+        F.sequence(F.lit(1), days), start, step, lambda s: s["out"]))
+
+
+def average_path(values, days):
+    """The mean of seven days carried forward over its own predictions, as an array."""
+    start = F.struct(F.slice(values, -F.least(F.size(values), F.lit(SEASON)),
+                             SEASON).alias("last"),
+                     F.array().cast("array<double>").alias("out")
+                     ).cast("struct<last:array<double>,out:array<double>>")
+
+    def step(s, _):
+        mean = _mean(s["last"])
+        kept = F.when(F.size(s["last"]) < SEASON, s["last"]).otherwise(
+            F.slice(s["last"], 2, SEASON - 1))
+        return F.struct(F.concat(kept, F.array(mean)).alias("last"),
+                        F.concat(s["out"], F.array(mean)).alias("out")).cast(
+                            "struct<last:array<double>,out:array<double>>")
+
+    return F.when(F.size(values) > 0, F.aggregate(
+        F.sequence(F.lit(1), days), start, step, lambda s: s["out"]))

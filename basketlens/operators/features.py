@@ -82,8 +82,8 @@ def customer_features(orders, lines, products, exclude_first=False):
                              rate("user_total_items", "user_total_orders", 2))
 
 
-def training_cohort(orders, n=25000):
-    """The first ``n`` users by id that have a train order (F9); None takes all."""
+def training_cohort(orders, n=None):
+    """Users that have a train order, all of them or the first ``n`` by id."""
     users = orders.filter(F.col("eval_set") == "train").select("user_id").distinct()
     return users if n is None else users.orderBy("user_id").limit(n)
 
@@ -100,7 +100,7 @@ def user_product_stats(lines, cohort=None):
         F.sum("add_to_cart_order").alias("cart_sum"))
 
 
-def user_product_features(orders, lines, cohort_size=25000):
+def user_product_features(orders, lines, cohort_size=None):
     """Pair features of the cohort and whether the train order bought the pair."""
     cohort = training_cohort(orders, cohort_size)
     stats = user_product_stats(lines, cohort)

@@ -4,7 +4,6 @@ Series frames have ``series_key``, ``ds`` (date) and ``y``, one row per series a
 window or group over one series is bounded by the calendar, not by the orders.
 """
 
-import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,6 +11,8 @@ from basketlens.functions import seasonal
 from basketlens.functions.prefix import running_totals
 
 ANCHOR = "2025-01-01"
+#: Smoothing parameters of forecasts that are not fitted: alpha, beta, gamma.
+FIXED = (0.3, 0.05, 0.2)
 FIRST_DAY, LAST_DAY = "2025-01-01", "2025-10-31"
 PLATFORM = "platform"
 AVERAGE, SMOOTHING, ARIMA = ("7-Day Moving Average (Baseline)", "Holt-Winters Exp Smoothing",
@@ -89,60 +90,103 @@ def average_backtest(split, days=7):
                     F.col("y").cast("double").alias("y"), "predicted"))
 
 
-_BACKTEST = "series_key string, model string, ds date, y double, predicted double"
+def _arrays(split):
+    """One row per series: training values, and the holdout days with theirs, in order."""
+    day = F.struct("ds", F.col("y").cast("double").alias("y"))
+    return split.groupBy("series_key").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("is_holdout"), day)))["y"].alias("train"),
+        F.array_sort(F.collect_list(F.when(F.col("is_holdout"), day))).alias("test"))
+
+
+def _candidates(rows, names, grid):
+    """Each series once per candidate, the parameters in a struct ``p``."""
+    cells = [F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(names, point)]) for point in grid]
+    return rows.withColumn("p", F.explode(F.array(*cells)))
+
+
+SMOOTHING_NAMES, ARIMA_NAMES = ("alpha", "beta", "gamma"), ("phi", "theta", "sphi", "stheta")
+
+
+def fitted(series, model, grid=None):
+    """Series (series_key, train) with the state and parameters of least squared error.
+
+    One candidate is a fixed parameter set. Where the series is too short the state is null.
+    """
+    names = SMOOTHING_NAMES if model == SMOOTHING else ARIMA_NAMES
+    run = seasonal.smoothing if model == SMOOTHING else seasonal.arima
+    grid = grid or (seasonal.SMOOTHING_GRID if model == SMOOTHING else seasonal.ARIMA_GRID)
+    tried = _candidates(series.select("series_key", "train"), names, grid)
+    if len(grid) > 1:
+        # A task would otherwise run every candidate of its series.
+        tried = tried.repartition("series_key", "p")
+    tried = tried.select("series_key", "p", run(F.col("train"), F.col("p")).alias("state"))
+    # A null state has a null error, which min_by passes over while there is any other.
+    best = tried.groupBy("series_key").agg(
+        F.min_by(F.struct("p", "state"), F.struct(F.col("state.sse"), "p")).alias("best"))
+    return series.join(best.select("series_key", "best.p", "best.state"), "series_key")
 
 
 def model_backtest(split, models=(SMOOTHING, ARIMA), params=None):
     """Multi-step holdout predictions of the seasonal models.
 
-    Series are shuffled by key and fitted in parallel. ``params`` fixes the smoothing
-    parameters instead of fitting them.
+    ``params`` fixes the smoothing parameters instead of fitting them. A series that is too
+    short for a model keeps its days, with a null prediction and a reason.
     """
-    def predict(pdf):
-        pdf = pdf.sort_values("ds")
-        train = pdf.loc[~pdf["is_holdout"], "y"].to_numpy(float)
-        test = pdf[pdf["is_holdout"]]
-        if len(train) == 0 or len(test) == 0:
-            return pd.DataFrame(columns=["series_key", "model", "ds", "y", "predicted"])
-        parts = []
-        for model in models:
-            if model == SMOOTHING:
-                values = seasonal.smoothing_forecast(train, len(test), params)
-            elif model == ARIMA:
-                values = seasonal.arima_forecast(train, len(test))[0]
-            else:
-                values = seasonal.average_forecast(train, len(test))
-            parts.append(pd.DataFrame({
-                "series_key": test["series_key"].to_numpy(), "model": model,
-                "ds": test["ds"].to_numpy(), "y": test["y"].to_numpy(float),
-                "predicted": values}))
-        return pd.concat(parts)
-
-    return (split.select("series_key", "ds", F.col("y").cast("double").alias("y"), "is_holdout")
-            .groupBy("series_key").applyInPandas(predict, _BACKTEST))
-
-
-def forecast_demand(series, horizon=30):
+    rows, parts = _arrays(split), []
+    days = F.size("test")
+    for model in models:
+        if model == AVERAGE:
+            made = rows.withColumn("path", seasonal.average_path(F.col("train"), days))
+            least = 1
+        elif model == SMOOTHING:
+            least = seasonal.SMOOTHING_DAYS
+            made = fitted(rows, model, [params] if params else None).withColumn(
+                "path", F.transform("test", lambda _, i: seasonal.smoothing_ahead(
+                    F.col("state"), i + 1)))
+        else:
+            least = seasonal.ARIMA_DAYS
+            made = fitted(rows, model).withColumn("path", seasonal.arima_path(
+                F.col("state"), F.col("p"), F.col("train"), days))
+        parts.append(made.where(days > 0).select(
+            "series_key", "train", "path", F.posexplode("test").alias("at", "day")).select(
+            "series_key", F.lit(model).alias("model"), "day.ds", "day.y",
+            F.get("path", "at").alias("predicted"),
+            F.when(F.size("train") < least, F.lit(f"fewer than {least} training days"))
+            .alias("reason")))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def forecast_demand(series, horizon=30, params=None):
     """Forecast after the last day with a 95 % band, as whole numbers.
 
-    The lower band is not below 0.
+    Additive smoothing with fixed ``params``, or with those of least squared error. The band comes
+    from the one-step errors and widens with the distance; its lower end is not below 0. A series
+    that is too short has null forecasts and a reason.
     """
-    def predict(pdf):
-        pdf = pdf.sort_values("ds")
-        mean, error = seasonal.arima_forecast(pdf["y"].to_numpy(float), horizon)
-        days = pd.date_range(pd.Timestamp(pdf["ds"].iloc[-1]) + pd.Timedelta(days=1),
-                             periods=horizon)
-        reach = seasonal.NORMAL_95 * error
-        return pd.DataFrame({
-            "series_key": pdf["series_key"].iloc[0], "forecast_date": days.strftime("%Y-%m-%d"),
-            "predicted_demand": mean.round().astype("int64"),
-            "lower_ci_95": (mean - reach).clip(min=0).round().astype("int64"),
-            "upper_ci_95": (mean + reach).round().astype("int64")})
-
-    return (series.select("series_key", "ds", F.col("y").cast("double").alias("y"))
-            .groupBy("series_key").applyInPandas(
-                predict, "series_key string, forecast_date string, predicted_demand bigint, "
-                         "lower_ci_95 bigint, upper_ci_95 bigint"))
+    whole = series.groupBy("series_key").agg(
+        F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))["y"]
+        .alias("train"), F.max("ds").alias("last"))
+    step = F.col("step")
+    made = fitted(whole, SMOOTHING, [params] if params else None).withColumn(
+        "step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    mean = seasonal.smoothing_ahead(F.col("state"), step)
+    reach = seasonal.NORMAL_95 * seasonal.smoothing_spread(
+        F.col("state"), F.col("p"), F.size("train"), step)
+
+    def whole_number(value):
+        return F.round(value).cast("bigint")
+
+    # greatest() passes over nulls, so that a missing forecast needs its own case.
+    return made.select(
+        "series_key", F.date_format(F.date_add("last", step), "yyyy-MM-dd").alias("forecast_date"),
+        whole_number(mean).alias("predicted_demand"),
+        F.when(mean.isNotNull(), whole_number(F.greatest(mean - reach, F.lit(0.0))))
+        .alias("lower_ci_95"), whole_number(mean + reach).alias("upper_ci_95"),
+        F.when(F.col("state").isNull(), F.lit(
+            f"fewer than {seasonal.SMOOTHING_DAYS} days")).alias("reason"))
 
 
 def forecast_errors(predictions):

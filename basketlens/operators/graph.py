@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from basketlens.functions.ranking import top_per_key, top_rows
 
 
-def nodes(segments, product_features, aisles, departments, customers=10000):
-    """The four node tables; customers are the first ``customers`` by id, None for all (H1)."""
+def nodes(segments, product_features, aisles, departments, customers=None):
+    """The four node tables; all customers, or the first ``customers`` by id (H1)."""
     people = segments if customers is None else segments.orderBy("user_id").limit(customers)
     return {"customer": people,
             "product": product_features,
@@ -52,17 +52,18 @@ def pair_counts(lines, kept_products):
             .groupBy("source", "target").agg(F.count(F.lit(1)).alias("co_occurrence")))
 
 
-def co_purchase_edges(lines, product_features, top_products=2000, min_support=25):
-    """Pairs among the most ordered products with enough support (H4).
+def co_purchase_edges(lines, product_features, top_products=None, min_support=25):
+    """Pairs of products with enough support, of all or of the most ordered (H4).
 
     No pair has more orders than its rarer product, so products below the support are
     left out before any pair is formed.
     """
-    best = top_rows(product_features.select("product_id", "prod_total_orders"),
-                    [F.desc("prod_total_orders"), "product_id"], top_products)
-    frequent = (lines.select("order_id", "product_id")
-                .join(best, "product_id", "left_semi")
-                .groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    bought = lines.select("order_id", "product_id")
+    if top_products is not None:
+        best = top_rows(product_features.select("product_id", "prod_total_orders"),
+                        [F.desc("prod_total_orders"), "product_id"], top_products)
+        bought = bought.join(best, "product_id", "left_semi")
+    frequent = (bought.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") >= min_support))
     pairs = pair_counts(lines, frequent.select("product_id"))
     return (pairs.filter(F.col("co_occurrence") >= min_support)
@@ -91,15 +92,13 @@ def frequently_bought_together(edges, products, product_name=None, n=10):
 def similar_customers(bought, targets, n=15):
     """The ``n`` users sharing most products with each target, excluding itself.
 
-    Targets are grouped per product, so every edge of the whole table meets one row and
-    unfolds to at most as many rows as there are targets; counts combine before the shuffle.
+    Edges of targets meet all edges of the same product in an equi-join, which adaptive
+    execution splits where a product is hot; counts combine before their shuffle.
     """
     wanted = targets.select(F.col("user_id").alias("source"))
-    per_product = (bought.join(wanted, "source", "left_semi").groupBy("target")
-                   .agg(F.collect_set("source").alias("wanted_by")))
-    common = (bought.select(F.col("source").alias("other"), "target")
-              .join(per_product, "target")
-              .select("other", F.explode("wanted_by").alias("user_id"))
+    own = bought.join(wanted, "source", "left_semi").select(F.col("source").alias("user_id"),
+                                                            "target")
+    common = (bought.select(F.col("source").alias("other"), "target").join(own, "target")
               .filter(F.col("other") != F.col("user_id"))
               .groupBy("user_id", "other").agg(F.count(F.lit(1)).alias("common_products")))
     return top_per_key(common, ["user_id"], [F.desc("common_products"), "other"], n)
@@ -157,8 +156,15 @@ def product_neighbourhood(products, aisles, departments, edges, product_name=Non
 
 
 def upsert(target, updates, key):
-    """Merge ``updates`` into ``target`` by unique key; given values replace old ones (H9)."""
-    values = [c for c in target.columns if c not in key]
-    new = updates.select(*key, *[F.col(c).alias(f"_{c}") for c in values if c in updates.columns])
-    return target.join(new, list(key), "full_outer").select(*key, *[
-        F.coalesce(f"_{c}", c).alias(c) if c in updates.columns else F.col(c) for c in values])
+    """Merge ``updates`` into ``target`` by key, for nodes or edges (H9).
+
+    Given values replace old ones, and columns that only ``updates`` has are added. Where a key
+    occurs more than once in ``updates``, the largest given value of each column counts, so that
+    no row of ``target`` is multiplied.
+    """
+    old = [c for c in target.columns if c not in key]
+    given = [c for c in updates.columns if c not in key]
+    new = updates.groupBy(*key).agg(*[F.max(c).alias(f"_{c}") for c in given])
+    merged = [F.coalesce(f"_{c}", c).alias(c) if c in given else F.col(c) for c in old]
+    added = [F.col(f"_{c}").alias(c) for c in given if c not in old]
+    return target.join(new, list(key), "full_outer").select(*key, *merged, *added)

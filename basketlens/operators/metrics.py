@@ -5,10 +5,10 @@ Scored frames have ``model``, ``target`` (0 or 1) and ``score`` in [0, 1].
 
 from pyspark.sql import functions as F
 
-from basketlens.functions.prefix import running_totals
+from basketlens.functions.prefix import running_totals, with_cells
 
+# The thresholds of the sweep.
 THRESHOLDS = (0.10, 0.15, 0.20, 0.25, 0.30, 0.40, 0.50)
-SCORE_CELLS = 4096
 
 
 def _per_score(scored):
@@ -19,15 +19,14 @@ def _per_score(scored):
 
 def _from_below(counts):
     """Running totals of the counts by rising score."""
-    cell = F.least(F.floor(F.col("score") * SCORE_CELLS), F.lit(SCORE_CELLS - 1))
-    return running_totals(counts.withColumn("cell", cell), ["model"], "cell", ["score"],
+    return running_totals(with_cells(counts, ["model"], "score"), ["model"], "_cell", ["score"],
                           {"pos_upto": F.col("pos"), "rows_upto": F.col("rows")})
 
 
 def ranking_metrics(scored):
     """ROC-AUC by mid-ranks and average precision by steps, per model.
 
-    Rows are counted per score first. Running totals are carried across score cells, so no
+    Rows are counted per score first. Running totals are carried across quantile cells, so no
     window spans all scores. Both are null where one class is missing.
     """
     counts = _per_score(scored)

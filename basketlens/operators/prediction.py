@@ -11,11 +11,12 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from basketlens.functions.columns import key_hash, pair_key, spread
+from basketlens.functions.columns import key_hash, pair_hash, spread
 from basketlens.functions.parallel import run_all
 from basketlens.functions.prefix import smallest_n
 from basketlens.operators.metrics import ranking_metrics, threshold_metrics
 
+# Names of features and models, and the models' decision thresholds.
 PAIR_FEATURES = ["up_total_orders", "up_order_rate", "up_orders_since_last",
                  "up_avg_add_to_cart"]
 USER_FEATURES = ["user_total_orders", "user_avg_order_interval", "user_avg_basket_size",
@@ -28,9 +29,13 @@ LOGISTIC, FOREST, BOOSTED = ("Logistic Regression (Baseline)", "Random Forest",
 DECISION = {LOGISTIC: 0.50, FOREST: 0.20, BOOSTED: 0.20}
 
 
-def sample_pairs(pairs, n=500000):
-    """A repeatable sample of ``n`` pairs by key hash."""
-    return smallest_n(pairs, key_hash(pair_key("user_id", "product_id")), n,
+#: Pairs that a model is fitted on at most; validation and scoring take all pairs.
+FIT_ROWS = 500000
+
+
+def sample_pairs(pairs, n=FIT_ROWS):
+    """A repeatable sample of ``n`` pairs by a hash of both keys."""
+    return smallest_n(pairs, pair_hash("user_id", "product_id"), n,
                       ["user_id", "product_id"])
 
 
@@ -88,7 +93,8 @@ def fit_forest(train, trees=80, depth=10, seed=42):
 def fit_boosted(train, rounds=150, rate=0.05, depth=5, seed=42):
     """Gradient boosted trees, grown level by level to at most 2**depth leaves."""
     boosted = GBTClassifier(labelCol="target", featuresCol="raw_features", maxIter=rounds,
-                            stepSize=rate, maxDepth=depth, seed=seed)
+                            stepSize=rate, maxDepth=depth, seed=seed, maxMemoryInMB=1024,
+                            cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=[_assembler(), boosted]).fit(_ready(train))
 
 
@@ -101,9 +107,9 @@ def score(model, rows, name="model"):
 
 
 @contextmanager
-def held_rows(train):
-    """Training rows spread over the cluster and kept while models are fitted on them."""
-    rows = spread(train.select("user_id", "product_id", "target", *FEATURES),
+def held_rows(train, n=None):
+    """A sample of the training rows, spread over the cluster and kept while models are fitted."""
+    rows = spread(sample_pairs(train, n or FIT_ROWS).select("user_id", "product_id", "target", *FEATURES),
                   "user_id", "product_id").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows

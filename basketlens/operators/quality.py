@@ -112,9 +112,13 @@ def domain_rules(orders, lines):
         "order_dow in 0..6": ~F.col("order_dow").between(0, 6),
         "order_hour_of_day in 0..23": ~F.col("order_hour_of_day").between(0, 23),
         "gap is null only for the first order": first != gap.isNull()}
-    line_rules = {
-        "reordered is 0 or 1": ~F.col("reordered").isin(0, 1),
-        "add_to_cart_order starts at 1": F.col("add_to_cart_order") < 1}
+    # Rules of the columns that the given lines have.
+    line_rules = {name: rule for column, name, rule in [
+        ("reordered", "reordered is 0 or 1", ~F.col("reordered").isin(0, 1)),
+        ("add_to_cart_order", "add_to_cart_order starts at 1", F.col("add_to_cart_order") < 1),
+        ("quantity", "quantity is positive", F.col("quantity") <= 0),
+        ("discount", "discount in 0..1", ~F.col("discount").between(0, 1))]
+        if column in lines.columns}
 
     def check(table, df, rules):
         names = list(rules)

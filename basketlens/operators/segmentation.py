@@ -57,7 +57,7 @@ def _best_fits(data, ks, n_init, max_iter, seed, parallelism):
     return best
 
 
-def evaluate_k(scaled, k_range=range(2, 8), n_init=3, max_iter=300, seed=42,
+def evaluate_k(scaled, k_range=range(2, 8), n_init=10, max_iter=300, seed=42,
                parallelism=8, columns=tuple(FEATURES)):
     """Inertia and silhouette per k.
 
@@ -79,7 +79,7 @@ def evaluate_k(scaled, k_range=range(2, 8), n_init=3, max_iter=300, seed=42,
         rows, "k bigint, inertia double, silhouette double")
 
 
-def fit_clusters(scaled, k=4, n_init=5, max_iter=300, seed=42, parallelism=8,
+def fit_clusters(scaled, k=4, n_init=15, max_iter=300, seed=42, parallelism=8,
                  columns=tuple(FEATURES)):
     """Assign a cluster to every customer.
 

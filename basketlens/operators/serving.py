@@ -1,5 +1,6 @@
 """Lookup tables for all keys at once."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.functions.columns import exact, first_match, labels
@@ -27,6 +28,7 @@ DESCRIPTIONS = {
     "Convenience": "Quick grab-and-go customer. Orders smaller targeted carts on a predictable "
                    "weekly cadence.",
 }
+# Fixed value: the description of every other persona.
 OTHER_DESCRIPTION = ("Dormant / churn-risk shopper. High elapsed days since last order. Needs "
                      "automated win-back re-engagement incentives.")
 
@@ -70,7 +72,8 @@ def reorder_list(segments, product_features, top_k=5, threshold=0.15, candidates
 
     The most ordered products form one array of at most ``candidates`` elements, fetched as
     a scalar subquery; scoring, filtering and ordering are array expressions on the
-    customer's row, so customers are never shuffled.
+    customer's row, so customers are never shuffled. A customer without a candidate keeps one
+    row with a count of 0 and nulls.
     """
     _check("top_k", top_k, 1, 20)
     _check("threshold", threshold, 0.05, 0.9)
@@ -88,15 +91,16 @@ def reorder_list(segments, product_features, top_k=5, threshold=0.15, candidates
             (-F.round(score, 4)).alias("order"), at.alias("at"), score.alias("score"))),
         lambda x: x["score"] >= threshold))
     rows = people.select("user_id", "segment_name", "popular",
-                         F.posexplode(F.slice(ordered, 1, top_k)).alias("place", "x"))
+                         F.least(F.size(ordered), F.lit(top_k)).alias("recommendations_count"),
+                         F.posexplode_outer(F.slice(ordered, 1, top_k)).alias("place", "x"))
     item = F.get("popular", F.col("x.at"))
     return rows.select(
-        "user_id", F.col("segment_name").alias("customer_segment"),
+        "user_id", F.col("segment_name").alias("customer_segment"), "recommendations_count",
         (F.col("place") + 1).alias("rank"), item["product_id"].alias("product_id"),
         item["product_name"].alias("product_name"),
         F.round("x.score", 4).cast("double").alias("reorder_probability"),
-        F.when(F.col("x.score") >= 0.40, "High Priority").otherwise("Medium Priority")
-        .alias("recommendation_tier"))
+        F.when(F.col("x.score") >= 0.40, "High Priority").when(
+            F.col("x.score").isNotNull(), "Medium Priority").alias("recommendation_tier"))
 
 
 def both_directions(edges):
@@ -121,6 +125,15 @@ def bought_together(edges, products, limit=5):
         F.col("co_occurrence").alias("times_co_purchased"))
 
 
+def forecast_days(forecast, days=30):
+    """The first days of a forecast, one row each, with their place."""
+    _check("days", days, 7, 30)
+    along = W.partitionBy(F.lit(0)).orderBy("forecast_date")
+    # A forecast has at most some weeks of days.
+    return forecast.orderBy("forecast_date").limit(days).withColumn(
+        "day", F.row_number().over(along))
+
+
 def forecast_horizon(forecast, days=30):
     """The first days of a forecast, their number and total."""
     _check("days", days, 7, 30)
@@ -130,12 +143,11 @@ def forecast_horizon(forecast, days=30):
                     .alias("total_projected_orders"))
 
 
-def named_products(products, product_ids, limit=8):
-    """Names of listed products in list order; unknown ids are left out."""
-    wanted = list(product_ids)[:limit]
-    place = F.array_position(F.array(*[F.lit(i) for i in wanted]), F.col("product_id"))
-    return (products.filter(F.col("product_id").isin(*wanted))
-            .select(place.alias("position"), "product_id", "product_name"))
+def named_products(products, wanted):
+    """Names of the products of ``wanted`` (position, product_id); unknown ids are left out."""
+    return wanted.select("position", "product_id").join(
+        products.select("product_id", "product_name"), "product_id").select(
+        "position", "product_id", "product_name")
 
 
 def inventory(segments, product_features):

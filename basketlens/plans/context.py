@@ -120,8 +120,9 @@ class Retail:
 
     @cached_property
     def matrix(self):
-        return prediction.training_matrix(prediction.sample_pairs(self.pair_features),
-                                          self.customer_features, self.product_features)
+        """Every candidate pair with its features; only fits draw a sample of it."""
+        return prediction.training_matrix(self.pair_features, self.customer_features,
+                                          self.product_features)
 
     @cached_property
     def scored(self):
@@ -140,7 +141,7 @@ class Retail:
     @cached_property
     def timeline_days(self):
         return self._staged("timeline_days", lambda: forecasting.fill_days(
-            forecasting.daily_volume(forecasting.order_timeline(self.orders))))
+            forecasting.daily_volume(forecasting.order_timeline(self.orders), None, None)))
 
     @cached_property
     def department_days(self):
@@ -152,11 +153,7 @@ class Retail:
         return forecasting.average_backtest(forecasting.holdout_split(self.timeline_days))
 
     @cached_property
-    def simple_forecast(self):
-        """The moving-average holdout predictions in the shape of a forecast."""
-        value = F.round("predicted").cast("bigint")
-        return self.backtest.select(
-            F.date_format("ds", "yyyy-MM-dd").alias("forecast_date"),
-            value.alias("predicted_demand"),
-            F.greatest(value - 10, F.lit(0)).alias("lower_ci_95"),
-            (value + 10).alias("upper_ci_95"))
+    def demand_forecast(self):
+        """The platform's next 30 days by smoothing with fixed parameters."""
+        return self._staged("demand_forecast", lambda: forecasting.forecast_demand(
+            self.timeline_days, params=forecasting.FIXED).drop("series_key", "reason"))

@@ -4,10 +4,36 @@
 the Spark plans.
 """
 
-from basketlens.operators import segmentation, serving
 from basketlens.plans.queries import CATALOGUE
 
-FEATURES = segmentation.FEATURES
+# Written out here, so that a wrong constant in the operators does not agree with itself.
+FEATURES = ["user_total_orders",
+            "user_avg_order_interval",
+            "user_avg_basket_size",
+            "user_reorder_rate",
+            "user_unique_departments",
+            "user_days_since_last_order"]
+TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
+          "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]
+STRATEGIES = {
+    "High-Value Frequent Loyalists":
+        "VIP Retention: Offer priority delivery slots and exclusive early access.",
+    "Full-Pantry Bulk Shoppers":
+        "Volume Incentive: Promote bulk pantry bundles and subscription discounts.",
+    "Routine Convenience Buyers":
+        "Basket Building: Recommend cross-sell essentials to increase item count.",
+    "Occasional / At-Risk Shoppers":
+        "Win-Back Campaign: Trigger 14-day re-engagement discounts to curb churn."}
+DEFAULT_STRATEGY = "Standard Engagement"
+DESCRIPTIONS = {
+    "Loyalist": "Weekly habitual regular with the highest order frequency and loyalty "
+                "stickiness. Reorders routine grocery staples consistently.",
+    "Bulk": "Full-pantry restocker. Buys high volume across 10+ grocery departments with the "
+            "highest basket item count.",
+    "Convenience": "Quick grab-and-go customer. Orders smaller targeted carts on a predictable "
+                   "weekly cadence."}
+OTHER_DESCRIPTION = ("Dormant / churn-risk shopper. High elapsed days since last order. Needs "
+                     "automated win-back re-engagement incentives.")
 
 
 def prelude(grain):
@@ -60,8 +86,7 @@ d_lines AS (
     CAST(CASE WHEN o.order_number > min(o.order_number)
       OVER (PARTITION BY o.user_id, s.product_id) THEN 1 ELSE 0 END AS BIGINT) AS reordered,
     o.user_id, o.order_number, o.eval_set
-  FROM single s JOIN raw_orders o ON s.order_id = o.order_id
-  WHERE o.eval_set IN ('prior', 'train')),
+  FROM single s JOIN raw_orders o ON s.order_id = o.order_id),
 d_customers AS (
   SELECT user_id, CAST(max(order_number) AS BIGINT) AS total_orders,
     CAST(max(CASE WHEN eval_set = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS has_train_order,
@@ -131,7 +156,8 @@ upf AS (
     CAST(CASE WHEN EXISTS (SELECT 1 FROM d_lines t WHERE t.eval_set = 'train'
       AND t.user_id = u.user_id AND t.product_id = u.product_id) THEN 1 ELSE 0 END AS BIGINT)
       AS target
-  FROM ups u JOIN cohort USING (user_id) JOIN cf_orders USING (user_id)),
+  FROM ups u JOIN (SELECT DISTINCT user_id FROM d_orders WHERE eval_set = 'train') tu
+    USING (user_id) JOIN cf_orders USING (user_id)),
 labelled AS (
   SELECT *, CAST((CASE WHEN user_total_orders > 9 THEN 2 ELSE 0 END)
     + (CASE WHEN user_avg_basket_size > 4 THEN 1 ELSE 0 END) AS BIGINT) AS cluster FROM cf),
@@ -150,13 +176,9 @@ bought AS (
   SELECT user_id AS source, product_id AS target, CAST(count(*) AS BIGINT) AS order_count,
     CAST(sum(reordered) AS BIGINT) AS reorders_count, 'BOUGHT' AS type
   FROM d_lines GROUP BY 1, 2),
-best AS (
-  SELECT product_id FROM pf ORDER BY prod_total_orders DESC, product_id LIMIT 2000),
 allpairs AS (
   SELECT a.product_id AS source, b.product_id AS target, CAST(count(*) AS BIGINT) AS co_occurrence
   FROM d_lines a JOIN d_lines b ON a.order_id = b.order_id AND a.product_id < b.product_id
-  WHERE a.product_id IN (SELECT product_id FROM best)
-    AND b.product_id IN (SELECT product_id FROM best)
   GROUP BY 1, 2),
 edges AS (
   SELECT *, 'OFTEN_BOUGHT_WITH' AS type FROM allpairs
@@ -170,6 +192,9 @@ dated AS (
 vol AS (
   SELECT 'platform' AS series_key, order_date AS ds, CAST(count(*) AS BIGINT) AS y FROM dated
   WHERE order_date BETWEEN DATE '2025-01-01' AND DATE '2025-10-31' GROUP BY 2),
+allvol AS (
+  SELECT 'platform' AS series_key, order_date AS ds, CAST(count(*) AS BIGINT) AS y FROM dated
+  GROUP BY 2),
 realvol AS (
   SELECT 'platform' AS series_key, order_date AS ds, CAST(count(*) AS BIGINT) AS y
   FROM d_orders GROUP BY 2),
@@ -178,17 +203,20 @@ deptvol AS (
     CAST(count(DISTINCT l.order_id) AS BIGINT) AS y
   FROM d_lines l JOIN d_products USING (product_id) JOIN d_orders o ON l.order_id = o.order_id
   GROUP BY 1, 2),
-vol_f AS ({_filled('vol')}),
+vol_f AS ({_filled('allvol')}),
 real_f AS ({_filled('realvol')}),
 dept_f AS ({_filled('deptvol')}),
+aislevol AS (
+  SELECT CAST(aisle_id AS VARCHAR) AS series_key, order_date AS ds,
+    CAST(count(DISTINCT l.order_id) AS BIGINT) AS y
+  FROM d_lines l JOIN d_products USING (product_id) JOIN d_orders o ON l.order_id = o.order_id
+  GROUP BY 1, 2),
+aisle_f AS ({_filled('aislevol')}),
+aisle_h AS ({_held('aisle_f')}),
 vol_h AS ({_held('vol_f')}),
 dept_h AS ({_held('dept_f')}),
 sma AS ({_average('vol_h')}),
 dept_sma AS ({_average('dept_h')}),
-fc AS (
-  SELECT strftime(ds, '%Y-%m-%d') AS forecast_date, CAST(round(predicted) AS BIGINT) AS
-    predicted_demand, greatest(CAST(round(predicted) AS BIGINT) - 10, 0) AS lower_ci_95,
-    CAST(round(predicted) AS BIGINT) + 10 AS upper_ci_95 FROM sma),
 matrix AS (
   SELECT u.*, c.user_total_orders, user_avg_order_interval, user_avg_basket_size,
     user_reorder_rate, user_unique_departments, prod_total_orders, prod_reorder_rate,
@@ -196,8 +224,9 @@ matrix AS (
   FROM upf u LEFT JOIN cf c ON u.user_id = c.user_id LEFT JOIN pf p ON u.product_id = p.product_id),
 hashed AS (
   SELECT *, ((user_id % 2147483648) * 2654435761) % 4294967296 / 4294967296.0 AS user_hash,
-    ((((user_id % 2147483648) * 31 + product_id % 2147483648) % 2147483648) * 2654435761)
-      % 4294967296 / 4294967296.0 AS pair_hash FROM matrix),
+    ((((((user_id % 2147483648) * 1103515245 + 12345) % 2147483647
+      + product_id % 2147483648) * 1566083941) % 2147483647) * 48271 + 11) % 2147483647
+      / 2147483647.0 AS pair_hash FROM matrix),
 scored AS (
   SELECT 'blend' AS model, target, CAST(least(greatest(
       CAST(prod_reorder_rate AS DECIMAL(12, 4)) * 0.4
@@ -365,7 +394,7 @@ SIZES = "(SELECT order_id, count(*) AS n FROM d_lines GROUP BY 1)"
 CORRELATED = ["user_total_orders", "user_avg_order_interval", "user_avg_basket_size",
               "user_reorder_rate", "user_unique_departments"]
 
-TARGETS = "(SELECT user_id FROM cf ORDER BY user_total_orders DESC, user_id LIMIT 100)"
+TARGETS = "(SELECT user_id FROM cf WHERE user_id % 100 = 0)"
 
 NEAR = f"""
 SELECT user_id, other, common_products, CAST(rank AS BIGINT) AS rank FROM (
@@ -388,30 +417,67 @@ FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY co_occurrence DE
 JOIN d_products t ON t.product_id = b.target WHERE rank <= {limit}"""
 
 
-SMOOTHING = """, series AS (
-  SELECT ds, y, is_holdout, row_number() OVER (ORDER BY ds) AS t FROM vol_h),
+def _recursion(source, where="NOT is_holdout", grid=((0.3, 0.05, 0.2),)):
+    """CTEs ``states``: level, trend, season and squared errors of each series after all its
+    values, for the candidate parameters with the smallest error."""
+    values = ", ".join(f"({a}, {b}, {g})" for a, b, g in grid)
+    return f""", series AS (
+  SELECT series_key, ds, CAST(y AS DOUBLE) AS y, NOT ({where}) AS is_holdout,
+    row_number() OVER (PARTITION BY series_key ORDER BY ds) AS t FROM {source}),
+sizes AS (
+  SELECT series_key, count(*) FILTER (NOT is_holdout) AS n FROM series GROUP BY 1),
 start AS (
-  SELECT avg(y) FILTER (t <= 7) AS l0,
+  SELECT series_key, avg(y) FILTER (t <= 7) AS l0,
     (avg(y) FILTER (t > 7 AND t <= 14) - avg(y) FILTER (t <= 7)) / 7 AS b0,
-    list(CAST(y AS DOUBLE) ORDER BY t) FILTER (t <= 7) AS first_week,
-    count(*) FILTER (NOT is_holdout) AS n FROM series),
+    list(y ORDER BY t) FILTER (t <= 7) AS first_week
+  FROM series JOIN sizes USING (series_key) WHERE n >= 14 GROUP BY 1),
 steps AS (
   WITH RECURSIVE r AS (
-    SELECT CAST(0 AS BIGINT) AS t, l0 AS level, b0 AS trend,
-      list_transform(first_week, lambda x: x - l0) AS season FROM start
+    SELECT series_key, alpha, beta, gamma, CAST(0 AS BIGINT) AS t, l0 AS level, b0 AS trend,
+      list_transform(first_week, lambda x: x - l0) AS season, CAST(0 AS DOUBLE) AS sse
+    FROM start, (SELECT CAST(a AS DOUBLE) AS alpha, CAST(b AS DOUBLE) AS beta,
+      CAST(g AS DOUBLE) AS gamma FROM (VALUES {values}) v(a, b, g))
     UNION ALL
-    SELECT t, new AS level, 0.05 * (new - old_level) + 0.95 * old_trend AS trend,
-      list_append(season[2:7], 0.2 * (y - old_level - old_trend) + 0.8 * season[1]) AS season
-    FROM (SELECT s.t, s.y, r.level AS old_level, r.trend AS old_trend, r.season,
-        0.3 * (s.y - r.season[1]) + 0.7 * (r.level + r.trend) AS new
-      FROM r JOIN series s ON s.t = r.t + 1 WHERE NOT s.is_holdout))
-  SELECT * FROM r)
-SELECT 'platform' AS series_key, 'Holt-Winters Exp Smoothing' AS model,
-  CAST(ds AS VARCHAR) AS ds,
-  CAST(y AS DOUBLE) AS y,
-  round(level + (series.t - n) * trend + season[CAST((series.t - n - 1) % 7 + 1 AS BIGINT)], 4)
-    AS predicted
-FROM series, start, steps WHERE is_holdout AND steps.t = n"""
+    SELECT series_key, alpha, beta, gamma, t, old_level + old_trend + alpha * miss AS level,
+      old_trend + alpha * beta * miss AS trend,
+      list_append(season[2:7], season[1] + gamma * miss) AS season, sse + miss * miss AS sse
+    FROM (SELECT s.series_key, alpha, beta, gamma, s.t, r.level AS old_level,
+        r.trend AS old_trend, r.season, sse, s.y - r.level - r.trend - r.season[1] AS miss
+      FROM r JOIN series s ON s.series_key = r.series_key AND s.t = r.t + 1
+      WHERE NOT s.is_holdout))
+  SELECT * FROM r),
+states AS (
+  SELECT * FROM (SELECT steps.*, n, row_number() OVER (
+      PARTITION BY series_key ORDER BY sse, alpha, beta, gamma) AS place
+    FROM steps JOIN sizes USING (series_key) WHERE t = n) WHERE place = 1)"""
+
+
+def _smoothing(source, grid=((0.3, 0.05, 0.2),)):
+    return _recursion(source, grid=grid) + """
+SELECT series_key, 'Holt-Winters Exp Smoothing' AS model, CAST(ds AS VARCHAR) AS ds, y,
+  round(level + (series.t - sizes.n) * trend
+    + season[CAST((series.t - sizes.n - 1) % 7 + 1 AS BIGINT)], 4) AS predicted
+FROM series JOIN sizes USING (series_key) LEFT JOIN states USING (series_key)
+WHERE is_holdout"""
+
+
+GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.05, 0.2)
+        for g in (0.05, 0.2, 0.5)]
+
+#: The platform's next 30 days with a band from the one-step errors.
+FORECAST = _recursion("vol_f", "true") + """,
+ahead AS (
+  SELECT h, level + h * trend + season[CAST((h - 1) % 7 + 1 AS BIGINT)] AS mean,
+    1.959964 * sqrt(sse / n * (1 + coalesce((SELECT sum(power(alpha + alpha * beta * j
+      + CASE WHEN j % 7 = 0 THEN gamma ELSE 0 END, 2)) FROM generate_series(1, 29) q(j)
+      WHERE j < h), 0))) AS reach
+  FROM states, generate_series(1, 30) p(h)),
+fc AS (
+  SELECT strftime((SELECT max(ds) FROM vol_f) + CAST(h AS INTEGER), '%Y-%m-%d') AS forecast_date,
+    CAST(round(mean) AS BIGINT) AS predicted_demand,
+    CAST(round(greatest(mean - reach, 0)) AS BIGINT) AS lower_ci_95,
+    CAST(round(mean + reach) AS BIGINT) AS upper_ci_95 FROM ahead)
+"""
 
 
 def _boxplot():
@@ -439,13 +505,17 @@ offers AS (
     least(greatest(CAST(prod_reorder_rate AS DECIMAL(12, 4)) * 0.4
       + CAST(user_reorder_rate AS DECIMAL(12, 4)) * 0.6, 0.05), 0.95) AS p
   FROM segs, popular)
-SELECT user_id, segment_name AS customer_segment, CAST(rank AS BIGINT) AS rank, product_id,
-  product_name, CAST(round(p, 4) AS DOUBLE) AS reorder_probability,
-  CASE WHEN p >= 0.40 THEN 'High Priority' ELSE 'Medium Priority' END AS recommendation_tier
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(p, 4) DESC, place) AS rank
-  FROM offers WHERE p >= 0.1) WHERE rank <= 5"""
-
-HORIZON = """SELECT CAST(count(*) AS BIGINT) AS forecast_horizon_days,
+SELECT s.user_id, s.segment_name AS customer_segment,
+  CAST(count(product_id) OVER (PARTITION BY s.user_id) AS BIGINT) AS recommendations_count,
+  CAST(rank AS BIGINT) AS rank, product_id, product_name,
+  CAST(round(p, 4) AS DOUBLE) AS reorder_probability,
+  CASE WHEN p >= 0.40 THEN 'High Priority' WHEN p IS NOT NULL THEN 'Medium Priority' END
+    AS recommendation_tier
+FROM segs s LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(p, 4) DESC, place) AS rank
+  FROM offers WHERE p >= {threshold} QUALIFY rank <= 5) o ON o.user_id = s.user_id"""
+
+HORIZON = FORECAST.replace("{", "{{").replace("}", "}}") + """SELECT CAST(count(*) AS BIGINT) AS forecast_horizon_days,
   CAST(sum(predicted_demand) AS BIGINT) AS total_projected_orders
 FROM (SELECT * FROM fc ORDER BY forecast_date LIMIT {days})"""
 
@@ -479,8 +549,7 @@ SQL = {
 WHERE o_orderstatus = 'F' AND o_totalprice > 100000""",
     "src_discover": _union([
         f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS file_count, "
-        f"CAST(count(*) AS BIGINT) AS row_count FROM {t}"
-        for t in ("orders", "lineitem", "part", "customer")]),
+        f"CAST(count(*) AS BIGINT) AS row_count, true AS has_bytes FROM {t}" for t in TABLES]),
     "src_optional_missing": "SELECT source, target FROM edges",
     "src_report": "SELECT model, threshold, precision, recall, f1_score FROM ("
                   + _thresholds([0.10, 0.15, 0.20, 0.25, 0.30, 0.40, 0.50]) + ")",
@@ -498,6 +567,9 @@ FULL JOIN (SELECT product_id, CAST(count(*) AS BIGINT) AS lines, max(order_numbe
         for t, s in [("departments", "d_departments"), ("aisles", "d_aisles"),
                      ("products", "d_products"), ("customers", "d_customers"),
                      ("orders", "d_orders"), ("order_products", "d_lines")]]),
+    "snk_union_csv": """SELECT order_id, product_id, add_to_cart_order, reordered
+FROM d_lines WHERE eval_set IN ('prior', 'train')""",
+    "snk_artifact_csv": "SELECT product_id, product_name, aisle_id, department_id FROM d_products",
     "v1_profile": PROFILE,
     "v2_duplicate_rows": _union([
         f"""SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS total_rows,
@@ -507,8 +579,9 @@ FULL JOIN (SELECT product_id, CAST(count(*) AS BIGINT) AS lines, max(order_numbe
                      ("products", "d_products")]]),
     "v3_sample_rows": """SELECT order_id, user_id, eval_set, order_number, days_since_prior_order
 FROM raw_orders ORDER BY order_id LIMIT 5""",
-    "v4_foreign_keys": _foreign_keys("(SELECT * FROM d_lines WHERE eval_set = 'prior')",
-                                     "(SELECT * FROM d_lines WHERE eval_set = 'train')"),
+    "v4_foreign_keys": _foreign_keys(*[
+        "(SELECT l.* FROM raw_lines l LEFT JOIN raw_orders o ON l.order_id = o.order_id "
+        f"WHERE coalesce(eval_set, 'prior') = '{split}')" for split in ("prior", "train")]),
     "v5_split_foreign_keys": _foreign_keys("raw_lines", "raw_lines"),
     "v6_split_sizes": """SELECT eval_set, CAST(count(*) AS BIGINT) AS order_count,
   CAST(count(DISTINCT user_id) AS BIGINT) AS user_count FROM raw_orders GROUP BY 1""",
@@ -520,9 +593,10 @@ FROM raw_orders ORDER BY order_id LIMIT 5""",
              "order_hour_of_day NOT BETWEEN 0 AND 23"),
             ("orders", "raw_orders", "gap is null only for the first order",
              "(order_number = 1) <> (days_since_prior_order IS NULL)"),
-            ("order_products", "d_lines", "reordered is 0 or 1", "reordered NOT IN (0, 1)"),
-            ("order_products", "d_lines", "add_to_cart_order starts at 1",
-             "add_to_cart_order < 1")]]),
+            ("order_products", "lineitem", "add_to_cart_order starts at 1", "l_linenumber < 1"),
+            ("order_products", "lineitem", "quantity is positive", "l_quantity <= 0"),
+            ("order_products", "lineitem", "discount in 0..1",
+             "l_discount NOT BETWEEN 0 AND 1")]]),
     "v8_constraints": _union([
         _unique("departments", "department_id"), _required("departments", "department_id"),
         _required("departments", "department"), _unique("aisles", "aisle_id"),
@@ -708,13 +782,16 @@ ORDER BY pair_hash, user_id, product_id LIMIT 20000""",
   CAST(sum(y) AS BIGINT) AS volume FROM vol_h GROUP BY 1, 2""",
     "t5_average_backtest": "SELECT * REPLACE (round(predicted, 4) AS predicted, "
                            "CAST(ds AS VARCHAR) AS ds) FROM sma",
-    "t6_smoothing_fixed": SMOOTHING,
+    "t6_smoothing_fixed": _smoothing("vol_h"),
+    "t6_smoothing_fitted": _smoothing("vol_h", GRID),
+    "t8_forecast": FORECAST + "SELECT * FROM fc",
+    "t12_smoothing_aisles": _smoothing("aisle_h"),
     "t9_average_errors": _errors("sma"),
     "t11_horizon": HORIZON.format(days=14),
     "t12_department_days": "SELECT * REPLACE (CAST(ds AS VARCHAR) AS ds) FROM dept_f",
     "t12_average_errors": _errors("dept_sma"),
     "h1_nodes": _union([
-        "SELECT 'customer' AS table_name, CAST(least(count(*), 10000) AS BIGINT) AS row_count "
+        "SELECT 'customer' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
         "FROM segs", "SELECT 'product', count(*) FROM pf", "SELECT 'aisle', count(*) FROM d_aisles",
         "SELECT 'department', count(*) FROM d_departments"]),
     "h2_taxonomy_edges": """SELECT product_id AS source, aisle_id AS target, 'BELONGS_TO' AS type
@@ -755,6 +832,8 @@ LEFT JOIN (SELECT source, string_agg(product_name, ' | ' ORDER BY rank) AS items
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY co_occurrence DESC, target) AS rank
   FROM edges) e JOIN d_products t ON t.product_id = target WHERE rank <= 5 GROUP BY 1) a
 ON a.source = p.product_id""",
+    "h9_upsert_edges": """SELECT source, target, type,
+  order_count, reorders_count FROM bought""",
     "h9_upsert_nodes": """SELECT product_id, product_name AS name,
   prod_reorder_rate AS reorder_rate, coalesce(total_purchases, prod_total_orders) AS total_orders
 FROM pf LEFT JOIN counts USING (product_id)""",
@@ -765,11 +844,16 @@ FROM pf LEFT JOIN counts USING (product_id)""",
   CAST(round(CAST(user_reorder_rate AS DECIMAL(12, 4)) * 100, 1) AS DOUBLE) AS reorder_rate_pct,
   user_unique_departments AS distinct_departments,
   round(user_days_since_last_order, 1) AS days_since_last_order,
-  {_case('segment_name', serving.STRATEGIES, serving.DEFAULT_STRATEGY)}
+  {_case('segment_name', STRATEGIES, DEFAULT_STRATEGY)}
     AS retention_action_strategy FROM segs""",
-    "r2_reorder_list": R2,
+    "r2_reorder_list": R2.format(threshold=0.1) + " WHERE rank IS NOT NULL",
+    "r2_counts": R2.format(threshold=0.12).replace(
+        "SELECT s.user_id,", "SELECT DISTINCT user_id, customer_segment, recommendations_count "
+        "FROM (SELECT s.user_id,", 1) + ")",
     "r3_bought_together": _bought_together(5),
     "r4_forecast_response": HORIZON.format(days=30),
+    "r4_daily_forecast": FORECAST + "SELECT row_number() OVER (ORDER BY forecast_date) AS day, "
+                                    "* FROM fc",
     "r5_named_products": """SELECT row_number() OVER (ORDER BY total_purchases DESC, product_id)
   AS position, product_id, product_name FROM counts JOIN d_products USING (product_id)
 ORDER BY total_purchases DESC, product_id LIMIT 8""",
@@ -783,13 +867,13 @@ ORDER BY total_purchases DESC, product_id LIMIT 8""",
     AS top_tier FROM ({_bought_together(6)}) WHERE rank <= 2 GROUP BY 1""",
     "r8_descriptions": "SELECT segment_name, CASE " + " ".join(
         f"WHEN contains(segment_name, '{w}') THEN '{t}'"
-        for w, t in serving.DESCRIPTIONS.items())
-    + f" ELSE '{serving.OTHER_DESCRIPTION}' END AS description FROM (SELECT DISTINCT segment_name "
+        for w, t in DESCRIPTIONS.items())
+    + f" ELSE '{OTHER_DESCRIPTION}' END AS description FROM (SELECT DISTINCT segment_name "
       "FROM segs)",
     "b1_customer_feed": CF_ROUNDED + "segs",
     "b2_product_intelligence": """SELECT pf.*, department, aisle FROM pf
 JOIN d_departments USING (department_id) JOIN d_aisles USING (aisle_id)""",
-    "b3_forecast_feed": "SELECT * FROM fc",
+    "b3_forecast_feed": FORECAST + "SELECT * FROM fc",
     "b4_cross_sell": """SELECT s.product_name AS source_product,
   t.product_name AS recommended_product, co_occurrence AS times_co_purchased
 FROM (SELECT * FROM edges ORDER BY co_occurrence DESC, source, target LIMIT 250)
@@ -799,7 +883,7 @@ JOIN d_products s ON s.product_id = source JOIN d_products t ON t.product_id = t
 FROM (SELECT * FROM edges ORDER BY source, target LIMIT 250)
 JOIN d_products s ON s.product_id = source JOIN d_products t ON t.product_id = target""",
     "b5_kpis": KPIS,
-    "b6_measures": """SELECT CAST(count(DISTINCT user_id) AS BIGINT) AS total_customers,
+    "b6_measures": FORECAST + """SELECT CAST(count(DISTINCT user_id) AS BIGINT) AS total_customers,
   round(avg(user_avg_basket_size), 4) AS avg_basket_size,
   round(avg(user_reorder_rate) * 100, 4) AS platform_reorder_rate_pct,
   round(count(*) FILTER (segment_name = 'High-Value Frequent Loyalists')
@@ -821,12 +905,12 @@ FROM segs GROUP BY 1""",
   user_reorder_rate FROM segs WHERE segment_name = 'High-Value Frequent Loyalists'
 ORDER BY user_total_orders DESC, user_id LIMIT 100""",
     "b11_most_reordered": TOP.format(by="total_reorders"),
-    "b12_demand_line": """SELECT CAST(day AS VARCHAR) AS day, kind, volume, round(sum(volume) OVER (
+    "b12_demand_line": FORECAST + """SELECT CAST(day AS VARCHAR) AS day, kind, volume, round(sum(volume) OVER (
   PARTITION BY kind ORDER BY day), 4) AS cumulative_volume FROM (
   SELECT ds AS day, 'actual' AS kind, CAST(y AS DOUBLE) AS volume FROM vol_f
   UNION ALL SELECT CAST(forecast_date AS DATE), 'forecast', CAST(predicted_demand AS DOUBLE)
   FROM fc)""",
-    "b12_peak_day": """SELECT forecast_date AS peak_day, predicted_demand AS peak_demand,
+    "b12_peak_day": FORECAST + """SELECT forecast_date AS peak_day, predicted_demand AS peak_demand,
   CAST((SELECT sum(predicted_demand) FROM fc) AS BIGINT) AS total_volume
 FROM fc ORDER BY predicted_demand DESC, forecast_date LIMIT 1""",
     "b13_scorecard": f""", board AS ({FIXED_BOARD}), errs AS ({_errors('sma')})

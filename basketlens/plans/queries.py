@@ -1,5 +1,6 @@
 """Registered queries: a name, the grain of the line table, and the plan."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.functions.columns import plain_types
@@ -33,9 +34,8 @@ def src_csv_orders(r):
 
 
 def src_discover(r):
-    names = ["orders", "lineitem", "part", "customer"]
-    return readers.discover(r.spark, {n: f"{r.folder}/{n}.parquet" for n in names}).drop(
-        "total_bytes")
+    return readers.discover(r.spark, readers.tables_in(r.spark, r.folder)).select(
+        "table_name", "file_count", "row_count", (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
 def src_report(r):
@@ -82,8 +82,11 @@ def v3_samples(r):
 
 
 def v4_foreign_keys(r):
+    """Raw lines by the split of their order; a line without an order counts as prior."""
+    placed = r.raw_lines.join(r.raw_orders.select("order_id", "eval_set"), "order_id", "left")
+    split = F.coalesce("eval_set", F.lit("prior"))
     return quality.foreign_keys(r.products, r.aisles, r.departments, r.raw_orders,
-                                r.lines_of("prior"), r.lines_of("train"))
+                                placed.filter(split == "prior"), placed.filter(split == "train"))
 
 
 def v5_split_foreign_keys(r):
@@ -197,22 +200,46 @@ def _departments_split(r):
     return forecasting.holdout_split(r.department_days)
 
 
+def _platform_split(r):
+    return forecasting.holdout_split(r.timeline_days)
+
+
+def _models_of(split, models, **fixed):
+    return _rounded(forecasting.model_backtest(split, models, **fixed), 4, "predicted").drop(
+        "reason")
+
+
 def t6_smoothing_fixed(r):
-    found = forecasting.model_backtest(forecasting.holdout_split(r.timeline_days),
-                                       (forecasting.SMOOTHING,), params=(0.3, 0.05, 0.2))
-    return _rounded(found, 4, "predicted")
+    return _models_of(_platform_split(r), (forecasting.SMOOTHING,), params=forecasting.FIXED)
 
 
-def t10_leaderboard(r):
-    split = forecasting.holdout_split(r.timeline_days)
-    found = forecasting.average_backtest(split).unionByName(forecasting.model_backtest(split))
+def t6_smoothing_fitted(r):
+    return _models_of(_platform_split(r), (forecasting.SMOOTHING,))
+
+
+def _all_models(split):
+    found = forecasting.average_backtest(split).unionByName(
+        forecasting.model_backtest(split).drop("reason"))
     return forecasting.forecast_leaderboard(forecasting.forecast_errors(found))
 
 
+def t10_leaderboard(r):
+    return _all_models(_platform_split(r))
+
+
+def _shelf_days(r):
+    """Daily orders of every aisle."""
+    return forecasting.fill_days(forecasting.daily_volume_by(
+        r.orders, r.lines, r.products, level="aisle_id"))
+
+
+def t12_smoothing_aisles(r):
+    return _models_of(forecasting.holdout_split(_shelf_days(r)), (forecasting.SMOOTHING,),
+                      params=forecasting.FIXED)
+
+
 def t12_leaderboard(r):
-    split = _departments_split(r)
-    found = forecasting.average_backtest(split).unionByName(forecasting.model_backtest(split))
-    return forecasting.forecast_leaderboard(forecasting.forecast_errors(found))
+    return _all_models(_departments_split(r))
 
 
 # --- graph and serving -------------------------------------------------------------------
@@ -226,10 +253,9 @@ def h1_nodes(r):
     return quality.table_counts(made).drop("columns")
 
 
-def _targets(r, n=100):
-    """The customers with most orders, the list that recommendations are made for."""
-    return r.customer_features.orderBy(F.desc("user_total_orders"), "user_id").limit(n).select(
-        "user_id")
+def _targets(r):
+    """The customers that recommendations are made for: every id divisible by 100."""
+    return r.customer_features.filter(F.pmod("user_id", F.lit(100)) == 0).select("user_id")
 
 
 def h8_neighbourhood(r):
@@ -247,11 +273,41 @@ def h9_upsert(r):
     return graph.upsert(nodes, fresh, ["product_id"])
 
 
+def h9_upsert_edges(r):
+    """Bought edges of prior orders, merged with those of all orders by both ends and type."""
+    keys = ["source", "target", "type"]
+    old = graph.bought_edges(r.lines.filter(F.col("eval_set") == "prior")).drop("reorders_count")
+    return graph.upsert(old, r.bought, keys)
+
+
+def r4_daily(r):
+    return serving.forecast_days(r.demand_forecast).select(
+        "day", "forecast_date", "predicted_demand", "lower_ci_95", "upper_ci_95")
+
+
 def r5_named(r):
-    """Names of the bestsellers, given as a list of ids."""
-    ids = [row[0] for row in eda.bestsellers(r.lines, r.products, r.departments, 8)
-           .orderBy(F.desc("total_orders"), "product_id").select("product_id").collect()]
-    return serving.named_products(r.products, ids)
+    """Names of the bestsellers, given as a table of positions and ids."""
+    best = eda.bestsellers(r.lines, r.products, r.departments, 8)
+    place = W.partitionBy(F.lit(0)).orderBy(F.desc("total_orders"), "product_id")
+    return serving.named_products(r.products, best.select(
+        F.row_number().over(place).alias("position"), "product_id"))
+
+
+def snk_union_csv(r):
+    path = _shared(r, "union_csv")
+    sinks.write_union([r.lines_of("prior"), r.lines_of("train")], path)
+    return readers.read_csv(r.spark, path, readers.SCHEMAS["order_products"])
+
+
+def snk_artifact_csv(r):
+    folder = _shared(r, "artifacts")
+    sinks.save_artifact(r.products, folder, "products", csv=True)
+    return readers.read_csv(r.spark, f"{folder}/products.csv", readers.SCHEMAS["products"])
+
+
+def v9_schema_differences(r):
+    """The derived orders against the schema of a raw order file."""
+    return quality.schema_differences(r.orders, readers.expected("orders"))
 
 
 # --- BI ----------------------------------------------------------------------------------
@@ -264,7 +320,7 @@ def b5_kpis(r):
 
 
 def b12_line(r):
-    return _rounded(bi.demand_line(r.timeline_days, r.simple_forecast), 4, "cumulative_volume")
+    return _rounded(bi.demand_line(r.timeline_days, r.demand_forecast), 4, "cumulative_volume")
 
 
 def b13_scorecard(r):
@@ -290,6 +346,8 @@ CATALOGUE = {
         F.count(F.lit(1)).alias("order_count"), F.sum("order_id").alias("order_sum"))),
     "snk_upsert": (AISLE, snk_upsert),
     "snk_table_load": (PRODUCT, snk_table_load),
+    "snk_union_csv": (PRODUCT, snk_union_csv),
+    "snk_artifact_csv": (PRODUCT, snk_artifact_csv),
     # validation
     "v1_profile": (PRODUCT, v1_profile),
     "v2_duplicate_rows": (PRODUCT, v2_duplicates),
@@ -297,9 +355,11 @@ CATALOGUE = {
     "v4_foreign_keys": (PRODUCT, v4_foreign_keys),
     "v5_split_foreign_keys": (PRODUCT, v5_split_foreign_keys),
     "v6_split_sizes": (PRODUCT, lambda r: quality.split_sizes(r.raw_orders)),
-    "v7_domain_rules": (PRODUCT, lambda r: quality.domain_rules(r.raw_orders, r.lines)),
+    "v7_domain_rules": (PRODUCT, lambda r: quality.domain_rules(
+        r.raw_orders, star_schema.line_values(r.spark, r.folder))),
     "v8_constraints": (PRODUCT, v8_constraints),
     "v9_table_counts": (PRODUCT, v9_outputs),
+    "v9_schema_differences": (PRODUCT, v9_schema_differences),
     # cleaning
     "c1_products": (PRODUCT, lambda r: cleaning.clean_reference(
         star_schema.products(r.spark, r.folder), ["product_id", "aisle_id", "department_id"],
@@ -377,7 +437,7 @@ CATALOGUE = {
     "f7_f8_pair_features": (AISLE, lambda r: features.user_product_features(r.orders, r.lines)),
     "f8_pair_features_product": (PRODUCT, lambda r: features.user_product_features(
         r.orders, r.lines)),
-    "f9_cohort": (PRODUCT, lambda r: features.training_cohort(r.orders)),
+    "f9_cohort": (PRODUCT, lambda r: features.training_cohort(r.orders, 25000)),
     # segmentation
     "g1_scaled_features": (AISLE, g1_scaled),
     "g2_g3_k_sweep": (AISLE, lambda r: segmentation.evaluate_k(_scaled(r))),
@@ -417,22 +477,21 @@ CATALOGUE = {
             F.min("ds").alias("first_day"), F.max("ds").alias("last_day"),
             F.count(F.lit(1)).alias("days"), F.sum("y").alias("volume"))),
     "t5_average_backtest": (PRODUCT, lambda r: _rounded(r.backtest, 4, "predicted")),
-    "t5_average_multi_step": (PRODUCT, lambda r: forecasting.model_backtest(
-        forecasting.holdout_split(r.timeline_days), (forecasting.AVERAGE,))),
+    "t5_average_multi_step": (PRODUCT, lambda r: _models_of(
+        _platform_split(r), (forecasting.AVERAGE,))),
     "t6_smoothing_fixed": (PRODUCT, t6_smoothing_fixed),
-    "t6_smoothing_fitted": (PRODUCT, lambda r: forecasting.model_backtest(
-        forecasting.holdout_split(r.timeline_days), (forecasting.SMOOTHING,))),
-    "t7_arima": (PRODUCT, lambda r: forecasting.model_backtest(
-        forecasting.holdout_split(r.timeline_days), (forecasting.ARIMA,))),
-    "t8_forecast": (PRODUCT, lambda r: forecasting.forecast_demand(r.timeline_days)),
+    "t6_smoothing_fitted": (PRODUCT, t6_smoothing_fitted),
+    "t7_arima": (PRODUCT, lambda r: _models_of(_platform_split(r), (forecasting.ARIMA,))),
+    "t8_forecast": (PRODUCT, lambda r: r.demand_forecast),
     "t9_average_errors": (PRODUCT, lambda r: forecasting.forecast_errors(r.backtest)),
     "t10_leaderboard": (PRODUCT, t10_leaderboard),
-    "t11_horizon": (PRODUCT, lambda r: serving.forecast_horizon(r.simple_forecast, 14)),
+    "t11_horizon": (PRODUCT, lambda r: serving.forecast_horizon(r.demand_forecast, 14)),
     "t12_department_days": (PRODUCT, lambda r: forecasting.fill_days(
         forecasting.daily_volume_by(r.orders, r.lines, r.products))),
     "t12_average_errors": (PRODUCT, lambda r: forecasting.forecast_errors(
         forecasting.average_backtest(_departments_split(r)))),
     "t12_leaderboard": (PRODUCT, t12_leaderboard),
+    "t12_smoothing_aisles": (PRODUCT, t12_smoothing_aisles),
     "t12_forecast": (PRODUCT, lambda r: forecasting.forecast_demand(r.department_days)),
     # graph
     "h1_nodes": (PRODUCT, h1_nodes),
@@ -450,12 +509,17 @@ CATALOGUE = {
         r.bought, r.segments, r.products, r.departments)),
     "h8_neighbourhood": (AISLE, h8_neighbourhood),
     "h9_upsert_nodes": (AISLE, h9_upsert),
+    "h9_upsert_edges": (AISLE, h9_upsert_edges),
     # serving
     "r1_profiles": (AISLE, lambda r: serving.customer_profiles(r.segments)),
     "r2_reorder_list": (AISLE, lambda r: serving.reorder_list(
-        r.segments, r.product_features, threshold=0.1)),
+        r.segments, r.product_features, threshold=0.1).filter(F.col("rank").isNotNull())),
+    "r2_counts": (AISLE, lambda r: serving.reorder_list(
+        r.segments, r.product_features, threshold=0.12).select(
+        "user_id", "customer_segment", "recommendations_count").distinct()),
     "r3_bought_together": (AISLE, lambda r: serving.bought_together(r.pairs, r.products)),
-    "r4_forecast_response": (PRODUCT, lambda r: serving.forecast_horizon(r.simple_forecast)),
+    "r4_forecast_response": (PRODUCT, lambda r: serving.forecast_horizon(r.demand_forecast)),
+    "r4_daily_forecast": (PRODUCT, r4_daily),
     "r5_named_products": (PRODUCT, r5_named),
     "r6_inventory": (PRODUCT, lambda r: serving.inventory(r.segments, r.product_features)),
     "r7_affinity_tiers": (AISLE, lambda r: serving.affinity_tiers(
@@ -469,12 +533,12 @@ CATALOGUE = {
                                                    "user_std_order_interval")),
     "b2_product_intelligence": (PRODUCT, lambda r: bi.product_intelligence(
         r.product_features, r.aisles, r.departments)),
-    "b3_forecast_feed": (PRODUCT, lambda r: bi.forecast_feed(r.simple_forecast)),
+    "b3_forecast_feed": (PRODUCT, lambda r: bi.forecast_feed(r.demand_forecast)),
     "b4_cross_sell": (AISLE, lambda r: bi.cross_sell_matrix(r.pairs, r.products)),
     "b4_cross_sell_by_id": (PRODUCT, lambda r: bi.cross_sell_matrix(
         r.pairs, r.products, order="id")),
     "b5_kpis": (AISLE, b5_kpis),
-    "b6_measures": (AISLE, lambda r: bi.measures(r.segments, r.simple_forecast)),
+    "b6_measures": (AISLE, lambda r: bi.measures(r.segments, r.demand_forecast)),
     "b6_line_reorder_rate": (AISLE, lambda r: bi.line_reorder_rate(r.lines)),
     "b7_segment_distribution": (AISLE, lambda r: bi.segment_distribution(r.segments)),
     "b8_top_departments": (PRODUCT, lambda r: bi.top_departments(
@@ -484,7 +548,7 @@ CATALOGUE = {
     "b11_most_reordered": (AISLE, lambda r: analytics.top_products(
         r.lines, r.products, r.aisles, r.departments, by="total_reorders")),
     "b12_demand_line": (PRODUCT, b12_line),
-    "b12_peak_day": (PRODUCT, lambda r: bi.peak_day(r.simple_forecast)),
+    "b12_peak_day": (PRODUCT, lambda r: bi.peak_day(r.demand_forecast)),
     "b13_scorecard": (AISLE, b13_scorecard),
 }
 

@@ -2,6 +2,7 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens.functions.columns import key_hash
 
@@ -17,6 +18,11 @@ SCHEMAS = {
 }
 
 
+def expected(table):
+    """The declared schema of a raw table as a struct type."""
+    return T.StructType.fromDDL(SCHEMAS[table])
+
+
 def read_csv(spark, path, schema):
     """CSV with a header and a declared schema, so that no pass infers types (SRC1)."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
@@ -41,6 +47,15 @@ def read_optional(spark, path, schema, fmt="parquet"):
         return spark.createDataFrame([], schema)
 
 
+def tables_in(spark, folder):
+    """Name and path of every Parquet table in a folder, on any file system (SRC6)."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(place)]
+    return {n.removesuffix(".parquet"): f"{folder}/{n}" for n in sorted(names)
+            if n.endswith(".parquet")}
+
+
 def discover(spark, paths):
     """Files, bytes and rows per table from the file metadata column (SRC6).
 

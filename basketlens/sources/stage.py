@@ -1,26 +1,28 @@
 """Tables derived once per application and written to the cluster's shared folder.
 
 The written copy cuts lineage, survives lost executors and gives later plans file
-statistics and column pruning.
+statistics and column pruning. It is deleted when the application ends.
 """
 
 import hashlib
-import os
+import re
 import tempfile
 import threading
-from urllib.parse import unquote, urlparse
+from collections import defaultdict
 
 _written = {}
 _local_root = {}
-_lock = threading.RLock()
+_locks = defaultdict(threading.RLock)
+_guard = threading.Lock()
 
 
 def shared_root(spark):
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """Folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one if the whole
+    session is one process, and None on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         app = spark.conf.get("spark.app.id")
         if app not in _local_root:
             _local_root[app] = tempfile.TemporaryDirectory(prefix="basketlens-")
@@ -28,15 +30,23 @@ def shared_root(spark):
     return None
 
 
+def _place(spark, path):
+    """The path and its file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def fingerprint(spark, paths):
-    """Names of the source files, with size and time where they are on this machine's disk."""
-    files = sorted(spark.read.schema("unused int").parquet(*paths).inputFiles())
-    marks = list(files)
-    for name in files:
-        local = unquote(urlparse(name).path)
-        if name.startswith("file:") and os.path.exists(local):
-            status = os.stat(local)
-            marks.append(f"{status.st_size}-{status.st_mtime_ns}")
+    """State of the source tables: bytes, files and time of change, on any file system.
+
+    The file system sums up a folder itself; no list of files comes to this process.
+    """
+    marks = []
+    for path in paths:
+        place, system = _place(spark, path)
+        total = system.getContentSummary(place)
+        marks.append(f"{path}:{total.getLength()}:{total.getFileCount()}:"
+                     f"{system.getFileStatus(place).getModificationTime()}")
     return "|".join(marks)
 
 
@@ -53,24 +63,29 @@ def stage_path(spark, source, name):
 def staged(spark, source, name, build, partition_by=()):
     """Write ``build()`` once per application and source, then read it back.
 
-    Without a shared folder the plan is returned unwritten.
+    Without a shared folder the plan is returned unwritten. Different tables are written side by
+    side; whoever asks for a table that is being written waits for it.
     """
     path = stage_path(spark, source, name)
     if path is None:
         return build()
-    with _lock:
+    with _guard:
+        lock = _locks[path]
+    with lock:
         if path not in _written:
             writer = build().write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
+            place, system = _place(spark, path)
+            system.deleteOnExit(place)
             _written[path] = spark.read.parquet(path).schema
     return spark.read.schema(_written[path]).parquet(path)
 
 
 def forget(source=None):
     """Drop the memory of staged tables, so that changed sources are read again."""
-    with _lock:
+    with _guard:
         if source is None:
             _written.clear()
             return

@@ -9,6 +9,11 @@ number and split, so that later jobs need no second join of lines with orders.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basketlens.functions.prefix import running_totals
+
+#: Order ids that one chunk of a user's day spans.
+IDS_PER_CHUNK = 100000
+
 # Department numbers by product type.
 DEPARTMENT_IDS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
 
@@ -53,8 +58,9 @@ def products(spark, folder, grain="product"):
 def orders(spark, folder):
     """Orders as a raw source would deliver them: the first gap of a user is null.
 
-    Orders are counted per user and day first. A user's days are bounded by the calendar,
-    so numbering by day and then inside the day never windows over all orders of a user.
+    Orders are counted per user and day first. A user's days are bounded by the calendar, and
+    the orders of one day are numbered in chunks of order ids, so that neither a user nor a
+    user's day is windowed over as a whole.
     """
     raw = _read(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
@@ -66,8 +72,9 @@ def orders(spark, folder):
                         along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"),
                     F.lag("order_date").over(along).alias("previous_day"),
                     F.lead("order_date").over(along).isNull().alias("last_day")))
-    in_day = F.row_number().over(W.partitionBy("user_id", "order_date").orderBy("order_id"))
-    numbered = raw.withColumn("in_day", in_day).join(days, ["user_id", "order_date"])
+    chunked = raw.withColumn("chunk", F.floor(F.col("order_id") / IDS_PER_CHUNK))
+    numbered = running_totals(chunked, ["user_id", "order_date"], "chunk", ["order_id"],
+                              {"in_day": F.lit(1)}).join(days, ["user_id", "order_date"])
     number = F.col("earlier") + F.col("in_day")
     is_last = F.col("last_day") & (F.col("in_day") == F.col("day_orders"))
     split = (F.when(~is_last, "prior")
@@ -88,8 +95,15 @@ def raw_lines(spark, folder):
         F.col("l_linenumber").alias("add_to_cart_order"))
 
 
+def line_values(spark, folder):
+    """Line items with their raw measures, for checks that must see what the source holds."""
+    return _read(spark, folder, "lineitem").select(
+        F.col("l_linenumber").alias("add_to_cart_order"), F.col("l_quantity").alias("quantity"),
+        F.col("l_discount").alias("discount"))
+
+
 def order_lines(spark, folder, order_table, grain="product"):
-    """Deduplicated lines of prior and train orders, with their order's user and number.
+    """Deduplicated lines of all splits, with their order's user, number and split.
 
     Lines are reduced to one per (order, product) before any grouping by order, so an
     order's window is bounded by the catalogue. The reorder flag compares with the first
@@ -105,8 +119,7 @@ def order_lines(spark, folder, order_table, grain="product"):
     single = lines.groupBy("order_id", "product_id").agg(
         F.min("add_to_cart_order").alias("position"))
     cart = F.row_number().over(W.partitionBy("order_id").orderBy("position", "product_id"))
-    context = order_table.filter(F.col("eval_set").isin("prior", "train")).select(
-        "order_id", "user_id", "order_number", "eval_set")
+    context = order_table.select("order_id", "user_id", "order_number", "eval_set")
     placed = (single.withColumn("add_to_cart_order", cart).drop("position")
               .join(context, "order_id"))
     first = (lines.select("order_id", "product_id").join(context.drop("eval_set"), "order_id")

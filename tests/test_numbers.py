@@ -128,61 +128,89 @@ def loop_smoothing(y, alpha, beta, gamma, start, horizon):
     return [level + h * trend + season[(len(y) + h - 1) % 7] for h in range(1, horizon + 1)]
 
 
-def test_smoothing_equals_a_plain_loop():
-    y = weekly(60, noise=3)
-    wanted = loop_smoothing(y, 0.3, 0.1, 0.2, seasonal.simple_start(y), 10)
-    assert seasonal.smoothing_forecast(y, 10, (0.3, 0.1, 0.2)) == pytest.approx(wanted)
+def series(spark, values, key="a", start="2025-01-01"):
+    return spark.range(len(values)).select(
+        F.lit(key).alias("series_key"),
+        F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("ds"),
+        F.element_at(F.array(*[F.lit(float(v)) for v in values]),
+                     (F.col("id") + 1).cast("int")).alias("y"))
+
+
 
+def simple_start(y):
+    first, second = np.mean(y[:7]), np.mean(y[7:14])
+    return [first, (second - first) / 7, *(np.asarray(y[:7]) - first)]
 
-def test_fitted_smoothing_is_no_worse_than_fixed():
-    y = weekly(150, noise=4)
-    fitted = seasonal.smoothing_forecast(y[:120], 30)
-    assert np.abs(fitted - weekly(150)[120:]).mean() < 6
 
+def backtest(spark, values, model, holdout=30, **fixed):
+    split = forecasting.holdout_split(series(spark, values), holdout)
+    return forecasting.model_backtest(split, (model,), **fixed).orderBy("ds").toPandas()
 
-def test_arma_errors_equal_a_plain_loop():
-    w = np.random.default_rng(2).normal(size=40)
-    phi, theta, sphi, stheta = 0.4, -0.3, 0.2, -0.5
+
+def test_smoothing_equals_a_plain_loop(spark):
+    y = weekly(60, noise=3)
+    wanted = loop_smoothing(y[:50], 0.3, 0.1, 0.2, simple_start(y[:50]), 10)
+    found = backtest(spark, y, forecasting.SMOOTHING, 10, params=(0.3, 0.1, 0.2))
+    assert found["predicted"].tolist() == pytest.approx(wanted)
+
+
+def test_fitted_smoothing_is_the_best_candidate(spark):
+    y = weekly(80, noise=4)
+
+    def error(params):
+        level, trend, *season = simple_start(y[:50])
+        total = 0.0
+        for t, v in enumerate(y[:50]):
+            miss = v - level - trend - season[t % 7]
+            level, trend = level + trend + params[0] * miss, trend + params[0] * params[1] * miss
+            season[t % 7] += params[2] * miss
+            total += miss * miss
+        return total
+
+    best = min(seasonal.SMOOTHING_GRID, key=error)
+    wanted = loop_smoothing(y[:50], *best, simple_start(y[:50]), 30)
+    assert backtest(spark, y, forecasting.SMOOTHING)["predicted"].tolist() == pytest.approx(wanted)
+
+
+def loop_arima(y, params, horizon):
+    """Squared errors and forecasts of the (1,1,1)(1,1,1)_7 recursion, term by term."""
+    phi, theta, sphi, stheta = params
+    y = list(y)
+    w = [y[t] - y[t - 1] - y[t - 7] + y[t - 8] for t in range(8, len(y))]
     e = []
-    for t in range(40):
-        def at(values, lag, now=t):
-            return values[now - lag] if now >= lag else 0.0
-        e.append(w[t] - phi * at(w, 1) - sphi * at(w, 7) + phi * sphi * at(w, 8)
-                 - theta * at(e, 1) - stheta * at(e, 7) - theta * stheta * at(e, 8))
-    found = seasonal.arma_errors(w, np.array([[phi, theta, sphi, stheta]]))[:, 0]
-    assert found == pytest.approx(e)
-
-
-def test_arma_recovers_known_parameters():
-    rng = np.random.default_rng(7)
-    phi, theta, sphi, stheta = 0.6, 0.2, 0.5, -0.3
-    e = rng.normal(size=3000)
-    w = np.zeros(3000)
-    for t in range(8, 3000):
-        w[t] = (phi * w[t - 1] + sphi * w[t - 7] - phi * sphi * w[t - 8] + e[t]
-                + theta * e[t - 1] + stheta * e[t - 7] + theta * stheta * e[t - 8])
-    best, _ = seasonal.fit_arma(w)
-    assert best == pytest.approx([phi, theta, sphi, stheta], abs=0.1)
-
-
-def test_psi_weights_equal_an_impulse_response():
-    phi, theta, sphi, stheta = 0.5, -0.4, 0.3, -0.2
-    shock = np.zeros(30)
-    shock[8] = 1.0
-    w, y = np.zeros(30), np.zeros(30)
-    for t in range(8, 30):
-        w[t] = (phi * w[t - 1] + sphi * w[t - 7] - phi * sphi * w[t - 8] + shock[t]
-                + theta * shock[t - 1] + stheta * shock[t - 7] + theta * stheta * shock[t - 8])
-        y[t] = w[t] + y[t - 1] + y[t - 7] - y[t - 8]
-    assert seasonal.psi_weights((phi, theta, sphi, stheta), 22) == pytest.approx(y[8:])
 
+    def at(values, t):
+        return values[t] if t >= 0 else 0.0
 
-def series(spark, values, key="a", start="2025-01-01"):
-    return spark.range(len(values)).select(
-        F.lit(key).alias("series_key"),
-        F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("ds"),
-        F.element_at(F.array(*[F.lit(float(v)) for v in values]),
-                     (F.col("id") + 1).cast("int")).alias("y"))
+    def expected(t):
+        return (phi * at(w, t - 1) + sphi * at(w, t - 7) - phi * sphi * at(w, t - 8)
+                + theta * at(e, t - 1) + stheta * at(e, t - 7) + theta * stheta * at(e, t - 8))
+
+    for t in range(len(w)):
+        e.append(w[t] - expected(t))
+    total = sum(x * x for x in e)
+    for t in range(len(w), len(w) + horizon):
+        step = expected(t)
+        y.append(step + y[-1] + y[-7] - y[-8])
+        w.append(step)
+        e.append(0.0)
+    return total, y[-horizon:]
+
+
+def test_arima_equals_a_plain_loop(spark):
+    y = weekly(90, noise=5)
+    best = min(seasonal.ARIMA_GRID, key=lambda p: loop_arima(y[:60], p, 1)[0])
+    wanted = loop_arima(y[:60], best, 30)[1]
+    assert backtest(spark, y, forecasting.ARIMA)["predicted"].tolist() == pytest.approx(wanted)
+
+
+def test_average_runs_over_its_own_predictions(spark):
+    y = weekly(50)
+    values = list(y[:20])
+    for _ in range(30):
+        values.append(np.mean(values[-7:]))
+    found = backtest(spark, y, forecasting.AVERAGE)
+    assert found["predicted"].tolist() == pytest.approx(values[20:])
 
 
 def test_forecast_band_widens_and_is_not_negative(spark):
@@ -196,9 +224,16 @@ def test_forecast_band_widens_and_is_not_negative(spark):
     assert a["forecast_date"].iloc[0] == "2025-05-01"
 
 
-def test_short_series_still_gets_a_forecast(spark):
-    found = forecasting.forecast_demand(series(spark, [3, 4, 5])).toPandas()
-    assert (found["predicted_demand"] == 4).all()
+def test_a_short_series_is_kept_with_a_reason(spark):
+    found = forecasting.forecast_demand(series(spark, [3, 4, 5])).collect()
+    assert len(found) == 30
+    assert {(r["predicted_demand"], r["lower_ci_95"], r["reason"]) for r in found} == {
+        (None, None, "fewer than 14 days")}
+    held = backtest(spark, [5] * 20, forecasting.SMOOTHING)
+    assert len(held) == 20 and held["predicted"].isna().all()
+    assert set(held["reason"]) == {"fewer than 14 training days"}
+    assert set(backtest(spark, [5] * 50, forecasting.ARIMA)["reason"]) == {
+        "fewer than 28 training days"}
 
 
 def test_fill_days_carries_the_last_value(spark):

@@ -132,8 +132,11 @@ def test_reorder_list_scores_and_tiers(spark):
         (2, 1, 2, 0.36, "Medium Priority")]
 
 
-def test_named_products_follow_the_list(products):
-    assert rows(serving.named_products(products, [3, 99, 1])) == [(1, 3, "C"), (3, 1, "A")]
+def test_named_products_follow_the_list(spark, products):
+    wanted = spark.createDataFrame([(i + 1, p) for i, p in enumerate([3, 99, 1] + [2] * 9)],
+                                   "position int, product_id long")
+    found = rows(serving.named_products(products, wanted))
+    assert found[:3] == [(1, 3, "C"), (10, 2, "B"), (11, 2, "B")] and len(found) == 11
 
 
 def test_personas_and_descriptions(spark):

@@ -1,14 +1,23 @@
 """Validation, cleaning, sources and sinks on hand-made frames."""
 
+import inspect
 import json
+import os
+import sys
 
 import pytest
 from conftest import ORDER, rows
 from pyspark.sql import functions as F
 
-from basketlens.operators import cleaning, graph, quality
-from basketlens.sources import readers, sinks
-from basketlens.sources.stage import fingerprint, forget, staged
+sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
+
+import __spark_entry__ as contract  # noqa: E402
+from basketlens.functions.columns import pair_hash  # noqa: E402
+from basketlens.functions.prefix import with_cells  # noqa: E402
+from basketlens.operators import cleaning, features, graph, prediction, quality  # noqa: E402
+from basketlens.sources import readers, sinks, star_schema  # noqa: E402
+from check_results import connect, difference  # noqa: E402
+from basketlens.sources.stage import fingerprint, forget, staged  # noqa: E402
 
 
 def test_clean_orders_tells_first_order_from_zero_gap(spark):
@@ -168,3 +177,92 @@ def test_top_k_range(spark, bad):
     from basketlens.operators import serving
     with pytest.raises(ValueError):
         serving.reorder_list(None, None, top_k=bad)
+
+
+def test_orphan_lines_and_bad_values_fail_the_checks(spark, tmp_path):
+    """Faults in the source reach the registered checks, on both engines."""
+    source = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{source}/lineitem.parquet")
+    odd = lines.limit(3).withColumns({
+        "l_orderkey": F.lit(10**9).cast("long"), "l_partkey": F.lit(10**9).cast("long"),
+        "l_linenumber": F.lit(0).cast(lines.schema["l_linenumber"].dataType),
+        "l_quantity": F.lit(-1).cast(lines.schema["l_quantity"].dataType)})
+    lines.unionByName(odd).coalesce(1).write.parquet(str(tmp_path / "dir"))
+    part = next(p for p in os.listdir(tmp_path / "dir") if p.endswith(".parquet"))
+    os.link(tmp_path / "dir" / part, tmp_path / "lineitem.parquet")
+    for table in ("orders", "part"):
+        os.symlink(f"{source}/{table}.parquet", tmp_path / f"{table}.parquet")
+    db = connect(str(tmp_path))
+    for name in ("v4_foreign_keys", "v7_domain_rules"):
+        found = contract.queries()[name](spark, str(tmp_path)).toPandas()
+        assert difference(found, db.execute(contract.oracle_sql()[name]).df()) is None
+        if name == "v4_foreign_keys":
+            failed = found[found["status"] == "FAIL"]["foreign_key"].tolist()
+            assert sorted(failed) == ["prior_lines.order_id -> orders.order_id (prior)",
+                                      "prior_lines.product_id -> products.product_id"]
+        else:
+            assert found.set_index("rule")["violations"]["quantity is positive"] == 3
+            assert found.set_index("rule")["violations"]["add_to_cart_order starts at 1"] == 3
+
+
+def test_no_default_cuts_rows(spark):
+    """Operators take everything unless a caller names a limit."""
+    for function, names in [
+            (features.training_cohort, ["n"]), (features.user_product_features, ["cohort_size"]),
+            (graph.nodes, ["customers"]), (graph.co_purchase_edges, ["top_products"])]:
+        defaults = inspect.signature(function).parameters
+        assert all(defaults[n].default is None for n in names), function
+
+
+def test_models_are_fitted_on_a_sample_but_score_all(spark, monkeypatch):
+    monkeypatch.setattr(prediction, "FIT_ROWS", 10)
+    pairs = spark.range(100).select(
+        F.col("id").alias("user_id"), F.col("id").alias("product_id"),
+        (F.col("id") % 2).cast("int").alias("target"),
+        *[F.rand(i).alias(c) for i, c in enumerate(prediction.FEATURES)])
+    with prediction.held_rows(pairs, 10) as held:
+        assert held.count() == 10
+        model = prediction.fit_logistic(held, max_iter=2)
+    assert prediction.score(model, pairs).count() == 100
+
+
+def test_pair_hash_tells_pairs_apart(spark):
+    pairs = spark.range(1000).select(F.col("id").alias("u")).crossJoin(
+        spark.range(1000).select(F.col("id").alias("p")))
+    hashed = pairs.select(pair_hash("u", "p").alias("h"))
+    assert hashed.distinct().count() > 990000
+    low = hashed.filter("h < 0.1").count()
+    assert 95000 < low < 105000
+
+
+def test_upsert_merges_edges_and_adds_columns(spark):
+    old = spark.createDataFrame([(1, 2, "B", 5)], "source int, target int, type string, n int")
+    new = spark.createDataFrame([(1, 2, "B", 7, 0.5), (1, 2, "B", 6, 0.1), (3, 4, "B", 1, None)],
+                                "source int, target int, type string, n int, weight double")
+    found = rows(graph.upsert(old, new, ["source", "target", "type"]))
+    assert found == [(1, 2, "B", 7, 0.5), (3, 4, "B", 1, None)]
+
+
+def test_tables_of_a_folder_are_found(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "b.parquet"))
+    spark.range(2).write.parquet(str(tmp_path / "a.parquet"))
+    (tmp_path / "notes.txt").write_text("x")
+    assert list(readers.tables_in(spark, str(tmp_path))) == ["a", "b"]
+
+
+def test_cells_hold_equal_shares_despite_an_outlier(spark):
+    """One extreme value and crowded scores leave no cell with most of the distinct values."""
+    values = spark.range(20000).select(
+        F.lit("m").alias("k"), F.when(F.col("id") == 0, 1e12).otherwise(
+            0.5 + F.col("id") / 1e9).alias("v"))
+    cells = with_cells(values, ["k"], "v", 64).groupBy("_cell").count()
+    assert cells.agg(F.max("count")).first()[0] < 20000 / 64 * 3
+
+
+def test_a_day_of_very_many_orders_is_numbered_in_chunks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(star_schema, "IDS_PER_CHUNK", 10)
+    spark.range(1, 101).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"),
+        F.lit("2020-01-01").alias("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    found = star_schema.orders(spark, str(tmp_path)).orderBy("order_id")
+    assert [r["order_number"] for r in found.collect()] == list(range(1, 101))
