@@ -72,6 +72,8 @@ class Index:
         spot = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
         real = self.keys[spot] == hashes[at]
         at, spot = at[real], spot[real]
+        if not len(at):
+            return at, at
         many = self.counts[spot]
         ends = np.cumsum(many)
         total = int(ends[-1]) if len(ends) else 0
@@ -106,7 +108,8 @@ class Index:
         lengths, allowed = self.lengths[item], self.edits[item]
         longest = int(lengths.max())
         # Diagonals: those of the band and, on both sides, as many as there may be edits.
-        width = int((2 * self.step[item] + 2 * allowed).max()) + 1
+        own_width = 2 * self.step[item] + 2 * allowed + 1
+        width = int(own_width.max())
         origin = start - allowed
         pattern = np.zeros((len(item), longest), np.uint32)
         for row, i in enumerate(item.tolist()):
@@ -126,8 +129,10 @@ class Index:
             cost = following
             done = np.flatnonzero(lengths == i + 1)
             if len(done):
-                best[done] = cost[done].min(axis=1)
-                where[done] = origin[done] + i + 1 + cost[done].argmin(axis=1)
+                # Ends beyond an item's own band belong to other bands, perhaps of other texts.
+                ends = np.where(ramp < own_width[done, None], cost[done], 1 << 20)
+                best[done] = ends.min(axis=1)
+                where[done] = origin[done] + i + 1 + ends.argmin(axis=1)
         return np.where(best <= allowed, best, -1), where
 
     def matches(self, texts):
@@ -157,7 +162,7 @@ class Index:
         return found
 
 
-def _search(batches, shared, keep):
+def _search(batches, shared, keep, name):
     index = opened(shared)
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()),
                                ("end", pa.int32())]))
@@ -165,25 +170,26 @@ def _search(batches, shared, keep):
         for batch in sliced(whole, "text", 6 << 20):
             found = index.matches(batch["text"].to_pylist())
             lists = [old + [{"item_id": i, "edits": e, "end": p} for i, (e, p) in own.items()]
-                     for old, own in zip(batch["matches"].to_pylist(), found)]
-            names = [n for n in batch.schema.names if n != "matches" and (keep or n != "text")]
+                     for old, own in zip(batch[name].to_pylist(), found)]
+            names = [n for n in batch.schema.names if n != name and (keep or n != "text")]
             yield pa.RecordBatch.from_arrays([batch[n] for n in names] + [pa.array(lists, kind)],
-                                             [*names, "matches"])
+                                             [*names, name])
 
 
-def find(docs, benchmark, edits=EDITS, keep_text=True, block_chars=BLOCK_CHARS):
-    """docs with matches: (item_id, edits, end) of every benchmark item within the edit budget.
+def find(docs, benchmark, edits=EDITS, keep_text=True, block_chars=BLOCK_CHARS,
+         name="matches"):
+    """docs with ``name``: (item_id, edits, end) of every benchmark item within the edit budget.
 
     The whole text is searched; end is the character behind the match in lower-cased text. Items
     are broadcast in blocks of a bounded size, and each block takes one pass over docs. Null
     items, items shorter than ``Q`` characters, null and empty texts match nothing; equal items
     match each under its id. Repeated rows match alike. Other columns pass through, except that
-    matches is replaced; without ``keep_text`` the text is left out. Empty tables give no matches.
+    ``name`` is replaced; without ``keep_text`` the text is left out. Empty tables give no matches.
     """
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
-    rows = docs.drop("matches").withColumn("matches", F.array().cast(
+    rows = docs.drop(name).withColumn(name, F.array().cast(
         "array<struct<item_id:bigint,edits:int,end:int>>"))
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
@@ -191,7 +197,7 @@ def find(docs, benchmark, edits=EDITS, keep_text=True, block_chars=BLOCK_CHARS):
         last = block == blocks - 1 and not keep_text
         shared = share(docs.sparkSession, index)
         schema = rows.drop("text").schema if last else rows.schema
-        rows = rows.mapInArrow(partial(_search, shared=shared, keep=not last), schema)
+        rows = rows.mapInArrow(partial(_search, shared=shared, keep=not last, name=name), schema)
     return rows
 
 
@@ -204,4 +210,5 @@ def report(docs, benchmark, edits=EDITS):
 
 def keep_clean(docs, benchmark, edits=EDITS):
     """The rows of docs that hold no benchmark item, with all their columns."""
-    return find(docs, benchmark, edits).where(F.size("matches") == 0).select(*docs.columns)
+    found = find(docs, benchmark, edits, name="_found")
+    return found.where(F.size("_found") == 0).select(*docs.columns)
