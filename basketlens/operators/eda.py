@@ -135,9 +135,8 @@ def customer_order_stats(customers):
 def lifetime_orders_histogram(customers, bins=50):
     """Customers per bin of lifetime orders between the extremes."""
     counted = _counted(customers, "total_orders")
-    return equal_width_histogram(counted, "v", "n", bins,
-                                 counted.agg(F.min("v")).scalar(),
-                                 counted.agg(F.max("v")).scalar())
+    ends = counted.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
+    return equal_width_histogram(counted, "v", "n", bins, ends["low"], ends["high"])
 
 
 def bestsellers(lines, products, departments, n=10):

@@ -57,38 +57,54 @@ def sample_rows(df, key, n=5):
     return df.orderBy(*key).limit(n)
 
 
-def _foreign_key(relation, child, child_key, parent, parent_key):
-    """One row per relation; child keys are counted before they meet the parent."""
-    keys = (child.filter(F.col(child_key).isNotNull())
-            .groupBy(F.col(child_key).alias("key")).agg(F.count(F.lit(1)).alias("uses")))
-    known = parent.select(F.col(parent_key).alias("key")).distinct().withColumn(
-        "known", F.lit(True))
-    orphans = F.coalesce(F.sum(F.when(F.col("known").isNull(), 1)), F.lit(0))
-    return keys.join(known, "key", "left").agg(
-        F.coalesce(F.sum("uses"), F.lit(0)).alias("rows_checked"),
-        orphans.alias("orphan_count")).select(
-            F.lit(relation).alias("foreign_key"),
-            F.when(F.col("orphan_count") == 0, "PASS").otherwise("FAIL").alias("status"),
-            "orphan_count", "rows_checked")
+# The six relations between the tables.
+RELATIONS = {
+    "aisle": "products.aisle_id -> aisles.aisle_id",
+    "department": "products.department_id -> departments.department_id",
+    "prior_order": "prior_lines.order_id -> orders.order_id (prior)",
+    "prior_product": "prior_lines.product_id -> products.product_id",
+    "train_order": "train_lines.order_id -> orders.order_id (train)",
+    "train_product": "train_lines.product_id -> products.product_id"}
+
+
+def _keys(df, **columns):
+    """Rows (relation, key), one per named relation and row; every table is read once."""
+    cells = [F.struct(F.lit(RELATIONS[name]).alias("relation"),
+                      F.col(column).cast("bigint").alias("key"))
+             for name, column in columns.items()]
+    return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").filter("key is not null")
 
 
 def foreign_keys(products, aisles, departments, orders, prior_lines, train_lines):
-    """The six relations, lines against the orders of their own split (V4, V5)."""
-    def split(name):
-        return orders.filter(F.col("eval_set") == name)
-    return _union([
-        _foreign_key("products.aisle_id -> aisles.aisle_id",
-                     products, "aisle_id", aisles, "aisle_id"),
-        _foreign_key("products.department_id -> departments.department_id",
-                     products, "department_id", departments, "department_id"),
-        _foreign_key("prior_lines.order_id -> orders.order_id (prior)",
-                     prior_lines, "order_id", split("prior"), "order_id"),
-        _foreign_key("prior_lines.product_id -> products.product_id",
-                     prior_lines, "product_id", products, "product_id"),
-        _foreign_key("train_lines.order_id -> orders.order_id (train)",
-                     train_lines, "order_id", split("train"), "order_id"),
-        _foreign_key("train_lines.product_id -> products.product_id",
-                     train_lines, "product_id", products, "product_id")])
+    """The six relations, lines against the orders of their own split (V4, V5).
+
+    Child keys of all relations are counted together before they meet the parents.
+    """
+    children = (_keys(products, aisle="aisle_id", department="department_id")
+                .unionByName(_keys(prior_lines, prior_order="order_id",
+                                   prior_product="product_id"))
+                .unionByName(_keys(train_lines, train_order="order_id",
+                                   train_product="product_id")))
+    of_split = F.when(F.col("eval_set") == "prior", RELATIONS["prior_order"]).when(
+        F.col("eval_set") == "train", RELATIONS["train_order"])
+    parents = (_keys(aisles, aisle="aisle_id")
+               .unionByName(_keys(departments, department="department_id"))
+               .unionByName(_keys(products, prior_product="product_id",
+                                  train_product="product_id"))
+               .unionByName(orders.select(of_split.alias("relation"),
+                                          F.col("order_id").cast("bigint").alias("key"))
+                            .filter("relation is not null"))
+               .distinct().withColumn("known", F.lit(True)))
+    uses = children.groupBy("relation", "key").agg(F.count(F.lit(1)).alias("uses"))
+    found = uses.join(parents, ["relation", "key"], "left").groupBy("relation").agg(
+        F.sum("uses").alias("rows"), F.count_if(F.col("known").isNull()).alias("orphans"))
+    every = products.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, RELATIONS.values()))).alias("relation"))
+    orphans = F.coalesce("orphans", F.lit(0))
+    return every.join(found, "relation", "left").select(
+        F.col("relation").alias("foreign_key"),
+        F.when(orphans == 0, "PASS").otherwise("FAIL").alias("status"),
+        orphans.alias("orphan_count"), F.coalesce("rows", F.lit(0)).alias("rows_checked"))
 
 
 def split_sizes(orders):
