@@ -138,18 +138,19 @@ def fit(docs, labels, rows=SAMPLE_ROWS, size=SAMPLE_BYTES, epochs=EPOCHS):
     among all labelled training rows sets its base.
     """
     known = labels.where(F.col("quality").isin(0, 1) & (_remainder("doc_id") != HELD)).select(
-        "doc_id", "quality")
+        "doc_id", "quality").distinct()
     found = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20))
 
     def drawn(part):
         share = F.create_map(*[F.lit(x) for q, n in found.items()
                                for x in (q, int(min(1, part * rows / n) * (1 << 20)))])
+        # The bound of the sample is the bound of the broadcast.
         return docs.select("doc_id", "text").join(
-            known.where(place < share[F.col("quality")]), "doc_id")
+            F.broadcast(known.where(place < share[F.col("quality")])), "doc_id")
 
     if not found:
-        return train([], [])
+        return train([], []) | {"mix": np.zeros(2 * FILTERS, np.float32)}
     total = drawn(1).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     sample = drawn(min(1, size / max(total, 1))).toArrow()
     order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")
@@ -184,7 +185,7 @@ def classify(docs, labels, threshold=THRESHOLD, **bounds):
     """One row per row of docs: doc_id, held_out, score, predicted (1 if score >= threshold).
 
     Null texts score as empty ones. A null doc_id is never a training row. Labels other than 0 and
-    1, null labels and labels of unknown documents are ignored; without labels every score is near
+    1, null labels and labels of unknown documents are ignored; without labels every score is
     one half. Repeated rows score alike; other columns are ignored; an empty table gives no rows.
     """
     found = score(docs, fit(docs, labels, **bounds))
