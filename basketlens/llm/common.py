@@ -1,5 +1,6 @@
 """Helpers shared by the operators: words, staging, Arrow batches and connected components."""
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
@@ -85,7 +86,9 @@ def components(edges, rounds=64):
     before = None
     for _ in range(rounds):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        # Written, so that a hub's many links meet its row in a join that can be split.
+        lowest = written(both.groupBy("a").agg(
+            F.least(F.min("b"), F.col("a")).alias("low")), "lowest")
         large = written(both.where("b > a").join(lowest, "a").select(
             F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("low"))

@@ -59,8 +59,10 @@ def repeated_spans(docs):
     found = written(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
         _listed, f"doc_id {kind}, hash long, start int, end int, digest binary"), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash", "start")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where(
-        "n > 1").select("digest", "first")
+    # Written, so that a very common unit meets its first place in a join that can be split.
+    first = written(found.groupBy("digest").agg(
+        F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select(
+        "digest", "first"), "first")
     again = found.join(first, "digest").where(rank > F.col("first"))
     return again.groupBy("doc_id", "hash").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
