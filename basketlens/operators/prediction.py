@@ -94,7 +94,7 @@ def fit_boosted(train, rounds=150, rate=0.05, depth=5, seed=42):
     """Gradient boosted trees, grown level by level to at most 2**depth leaves."""
     boosted = GBTClassifier(labelCol="target", featuresCol="raw_features", maxIter=rounds,
                             stepSize=rate, maxDepth=depth, seed=seed, maxMemoryInMB=1024,
-                            cacheNodeIds=True, checkpointInterval=10)
+                            checkpointInterval=10)
     return Pipeline(stages=[_assembler(), boosted]).fit(_ready(train))
 
 
