@@ -13,6 +13,7 @@ the ids are those of the model's own encoder.
 
 import re
 from functools import partial
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ BLANK = "▁"
 #: Units a task remembers.
 MEMORY = 600_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_BITS = 19
 
 
 class Pieces:
@@ -59,6 +61,9 @@ class Pieces:
         self.keys, self.ids = hashes[order], np.array(list(self.id.values()))[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces have equal hashes")
+        # Most substrings are no piece: a table of leading hash bits spares their lookup.
+        self.maybe = np.zeros(1 << _BITS, bool)
+        self.maybe[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         self.longest = max(map(len, self.id))
         self.lengths = np.array([len(t) for t in self.text])
         self.inside = {c for p in self.id if len(p) > 1 for c in p}
@@ -81,7 +86,9 @@ class Encoder:
         self.reset()
 
     def reset(self):
-        self.number, self.pool, self.starts, self.sizes = {}, [], [], []
+        self.number, self.pool = {}, np.empty(1 << 16, np.int32)
+        self.starts, self.sizes = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
+        self.used = 0
 
     # --- model of merges ---------------------------------------------------------------------
 
@@ -125,9 +132,10 @@ class Encoder:
     # --- dynamic programming -----------------------------------------------------------------
 
     def _solve(self, units):
-        """Lists of ids of units of equal length."""
+        """(ids of all units of equal length one after the other, their counts)."""
         p, length, rows = self.pieces, len(units[0]), len(units)
-        codes = np.array([list(map(ord, u)) for u in units], np.uint64).reshape(rows, length)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"),
+                              np.uint32).astype(np.uint64).reshape(rows, length)
         total = np.full((rows, length + 1), -np.inf)
         total[:, 0] = 0
         last = np.full((rows, length + 1), -1)
@@ -141,22 +149,17 @@ class Encoder:
                 hashes[:, first:end] = hashes[:, first:end] * _BASE + (
                     codes[:, end - 1:end] + np.uint64(1))
             window = hashes[:, first:end]
-            spot = np.minimum(np.searchsorted(p.keys, window), len(p.keys) - 1)
-            found = np.where(p.keys[spot] == window, p.ids[spot], -1)
+            found = np.full(window.shape, -1)
+            at = np.nonzero(p.maybe[(window >> np.uint64(64 - _BITS)).astype(np.int64)])
+            probe = window[at]
+            spot = np.minimum(np.searchsorted(p.keys, probe), len(p.keys) - 1)
+            found[at] = np.where(p.keys[spot] == probe, p.ids[spot], -1)
             # A single character without a piece stands alone, as an unknown one.
             found[:, -1] = np.where(found[:, -1] < 0, p.unknown, found[:, -1])
             row, start = np.nonzero((found >= 0) & (total[:, first:end] > -np.inf))
             piece, start = found[row, start], start + first
             if p.merges:
-                before = last[row, start]
-                plain = (piece == p.unknown) | (before == p.unknown)
-                before = np.where(start == 0, -1, before)
-                fits = plain.copy()
-                fits[~plain] = self.compatible(before[~plain], piece[~plain])
-                # An unknown character before a piece: the piece must only be whole by itself.
-                alone = plain & (piece != p.unknown)
-                if alone.any():
-                    fits[alone] = self.compatible(np.full(alone.sum(), -1), piece[alone])
+                fits = self._fitting(found, first, row, start, piece, last, back)
                 value = np.where(fits, 0.0, -np.inf)
             else:
                 value = total[row, start] + np.where(
@@ -167,20 +170,46 @@ class Encoder:
             total[:, end] = values[each, best]
             last[:, end] = found[each, best]
             back[:, end] = best + first
-        out = [[] for _ in units]
-        at, live = np.full(rows, length), np.arange(rows)
+        at, live, row, begin, piece = np.full(rows, length), each, [], [], []
         while len(live):
-            for i, piece, begin in zip(live.tolist(), last[live, at[live]].tolist(),
-                                       back[live, at[live]].tolist()):
-                if piece == p.unknown:
-                    raw = units[i][begin:at[i]].encode("utf-8", "surrogatepass")
-                    ids = [int(p.byte[b]) for b in reversed(raw)]
-                    out[i].extend(ids if min(ids) >= 0 else [p.unknown])
-                else:
-                    out[i].append(piece)
+            row.append(live)
+            piece.append(last[live, at[live]])
             at[live] = back[live, at[live]]
+            begin.append(at[live])
             live = live[at[live] > 0]
-        return [ids[::-1] for ids in out]
+        row, begin, piece = map(np.concatenate, (row, begin, piece))
+        order = np.lexsort((begin, row))
+        row, begin, piece = row[order], begin[order], piece[order]
+        if (strange := np.flatnonzero(piece == p.unknown)).size:
+            row, piece = self._as_bytes(units, row, begin, piece, strange)
+        return piece.astype(np.int32), np.bincount(row, minlength=rows)
+
+    def _fitting(self, found, first, row, start, piece, last, back):
+        """Which candidates of a model of merges are compatible with the piece before them."""
+        unknown = self.pieces.unknown
+        before = np.where(start == 0, -1, last[row, start])
+        # An unknown character merges with nothing: what stands beside it must be whole by itself.
+        after_unknown = (before == unknown) & (start > 0)
+        before = np.where(after_unknown, -1, before)
+        fits = piece == unknown
+        # Two pieces whose text is a piece would have been merged.
+        origin = back[row, start] - first
+        joined = (before >= 0) & (origin >= 0) & (found[row, np.maximum(origin, 0)] >= 0)
+        ask = np.flatnonzero(~fits & ~joined)
+        fits[ask] = self.compatible(before[ask], piece[ask])
+        return fits
+
+    def _as_bytes(self, units, row, begin, piece, strange):
+        """Unknown characters as the pieces of their bytes, if the model has those."""
+        rows, pieces = row.tolist(), piece.tolist()
+        parts = [[x] for x in pieces]
+        for k in strange.tolist():
+            raw = units[rows[k]][begin[k]].encode("utf-8", "surrogatepass")
+            ids = self.pieces.byte[list(raw)]
+            if ids.min() >= 0:
+                parts[k] = ids.tolist()
+        return (np.repeat(row, list(map(len, parts))),
+                np.array([x for part in parts for x in part], np.int64))
 
     def _learn(self, units):
         """Remember the ids of units not seen before, in batches of equal length."""
@@ -190,11 +219,19 @@ class Encoder:
         for length, some in by_length.items():
             step = max(1, 200_000 // (length + 1))
             for part in range(0, len(some), step):
-                for unit, ids in zip(some[part:part + step], self._solve(some[part:part + step])):
-                    self.number[unit] = len(self.sizes)
-                    self.starts.append(len(self.pool))
-                    self.sizes.append(len(ids))
-                    self.pool.extend(ids)
+                batch = some[part:part + step]
+                ids, sizes = self._solve(batch)
+                n, m = len(self.number), len(batch)
+                while n + m > len(self.starts):
+                    self.starts = np.concatenate((self.starts, np.empty_like(self.starts)))
+                    self.sizes = np.concatenate((self.sizes, np.empty_like(self.sizes)))
+                while self.used + len(ids) > len(self.pool):
+                    self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+                self.number.update(zip(batch, range(n, n + m)))
+                self.starts[n:n + m] = self.used + np.cumsum(sizes) - sizes
+                self.sizes[n:n + m] = sizes
+                self.pool[self.used:self.used + len(ids)] = ids
+                self.used += len(ids)
 
     def encode(self, texts):
         """(ids, offsets) of all texts, one after the other."""
@@ -203,15 +240,17 @@ class Encoder:
         split = self.pattern.findall
         lists = [split(BLANK * self.pieces.prefix + t.replace(" ", BLANK)) if t else []
                  for t in texts]
-        known = self.number
-        self._learn({u for units in lists for u in units if u not in known})
-        index = np.fromiter((known[u] for units in lists for u in units), np.int64)
-        starts, sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
-        begins, counts = starts[index], sizes[index]
+        flat = list(chain.from_iterable(lists))
+        index = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        if (new := np.flatnonzero(index < 0)).size:
+            unseen = [flat[i] for i in new.tolist()]
+            self._learn(dict.fromkeys(unseen))
+            index[new] = np.fromiter(map(self.number.__getitem__, unseen), np.int64, len(unseen))
+        begins, counts = self.starts[index], self.sizes[index]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         ramp = np.arange(total) - np.repeat(ends - counts, counts)
-        ids = np.array(self.pool, np.int32)[np.repeat(begins, counts) + ramp]
+        ids = self.pool[np.repeat(begins, counts) + ramp]
         units = np.cumsum([0, *map(len, lists)])
         return ids, np.concatenate(([0], ends))[units]
 
