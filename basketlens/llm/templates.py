@@ -57,19 +57,20 @@ def line_templates(pairs, min_docs):
 def recurring_lines(docs, min_docs=MIN_DOCS, min_constant=MIN_CONSTANT, copy_share=COPY_SHARE):
     """(key, drop): the line numbers of each text whose template recurs across documents."""
     lines = parsed(docs)
-    leaves = lines.groupBy("tokens", "lead").agg(F.count("*").alias("n")).where(
-        F.col("n") >= min_docs).select("tokens", "lead")
+    # Written, so that the join deals out both sides anew and a leaf of very many lines is split.
+    leaves = written(lines.groupBy("tokens", "lead").agg(F.count("*").alias("n")).where(
+        F.col("n") >= min_docs).select("tokens", "lead"), "leaves")
     # Lines of smaller leaves cannot recur often enough; the rest is the tree that is worked on.
-    kept = written(lines.join(leaves, ["tokens", "lead"]), "leaves")
+    kept = written(lines.join(leaves, ["tokens", "lead"]), "kept")
     pairs = written(kept.groupBy("key", "doc_chars", "tokens", "lead", "line").agg(
         F.sum(F.col("chars") + 1).alias("chars"), F.first("masked").alias("masked")), "pairs")
     named = written(line_templates(pairs, min_docs).where(F.col("constant") >= min_constant).select(
         "line", "template"), "templates")
-    votes = pairs.select("key", "doc_chars", "line", "chars").join(named, "line")
-    often = votes.groupBy("template").agg(F.count("*").alias("n")).where(
-        F.col("n") >= min_docs).select("template")
-    votes = written(votes.join(often, "template").select("key", "doc_chars", "chars", "template"),
-                    "votes")
+    # Both written, so that a template of very many lines meets the short list in a join of its own.
+    votes = written(pairs.select("key", "doc_chars", "line", "chars").join(named, "line"), "votes")
+    often = written(votes.groupBy("template").agg(F.count("*").alias("n")).where(
+        F.col("n") >= min_docs).select("template"), "often")
+    votes = votes.join(often, "template")
     voters = votes.groupBy("key").agg(
         (F.sum("chars") / (F.max("doc_chars") + 1)).alias("share")).where(
         F.col("share") < copy_share).select("key")
