@@ -2,6 +2,7 @@
 
 import json
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -11,6 +12,8 @@ from basketlens.llm.common import written
 
 #: Turns of a conversation that are numbered in one task.
 BUCKET = 512
+#: Calls of a conversation that is ordered in one task.
+NEAR = 20_000
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list,
           "object": dict, "null": type(None)}
 
@@ -84,17 +87,47 @@ def _examined(batches):
                pa.array([j for _, j in found], pa.string())], [*names, "errors", "json"])
 
 
+def _longest(pdf):
+    """Levels of the calls of some whole conversations from their (parent, child) edges."""
+    children, waiting, level = {}, {}, {}
+    for parent, child in zip(pdf["parent"], pdf["child"]):
+        children.setdefault(parent, []).append(child)
+        waiting[child] = waiting.get(child, 0) + 1
+        level[parent] = level[child] = 0
+    ready = [x for x in level if not waiting.get(x)]
+    for call in ready:  # grows as calls become ready
+        for child in children.get(call, ()):
+            level[child] = max(level[child], level[call] + 1)
+            waiting[child] -= 1
+            if not waiting[child]:
+                ready.append(child)
+    return pd.DataFrame({"call_id": list(level), "level": list(level.values()),
+                         "cyclic": [bool(waiting.get(x)) for x in level]})
+
+
 def levels(nodes, edges):
     """(call_id, level): the length of the longest chain of calls before each; null in a cycle.
 
-    Round k keeps the calls at which a chain of k edges ends. The sets shrink; when one stays the
-    same without being empty, its calls lie on a cycle or behind one. Rounds grow with the longest
-    chain, and each writes only what is left.
+    Whole conversations of at most ``NEAR`` calls are ordered in tasks, many to a task. Larger ones,
+    and those whose calls depend on other conversations, are ordered in rounds: round k keeps the
+    calls at which a chain of k edges ends. The sets shrink; when one stays the same without being
+    empty, its calls lie on a cycle or behind one. Rounds grow with the longest chain.
     """
-    left, before = written(edges.select("parent", "child").distinct(), "edges"), nodes.count()
-    reached = nodes.select("call_id", F.lit(0).alias("level"), F.lit(False).alias("cyclic"))
-    depth = 0
-    while True:
+    home = nodes.select("call_id", F.xxhash64("conv_id").alias("conv"))
+    pairs = written(edges.select("parent", "child").distinct().join(
+        home.select(F.col("call_id").alias("child"), "conv"), "child").join(
+        home.select(F.col("call_id").alias("parent"), F.col("conv").alias("other")), "parent"),
+        "pairs")
+    crossing = pairs.where("conv <> other")
+    far = written(home.groupBy("conv").count().where(F.col("count") > NEAR).select("conv").union(
+        crossing.select("conv")).union(crossing.select("other")).distinct(), "far")
+    total = nodes.count()
+    buckets = max(1, -(-total // NEAR))
+    reached = pairs.join(far, "conv", "left_anti").select(
+        "parent", "child", F.pmod("conv", F.lit(buckets)).alias("bucket")).groupBy(
+        "bucket").applyInPandas(_longest, "call_id string, level int, cyclic boolean")
+    left, before, depth = pairs.join(far, "conv", "left_semi").select("parent", "child"), total, 0
+    while not far.isEmpty():
         depth += 1
         ends = written(left.select(F.col("child").alias("call_id")).distinct(), "ends")
         count = ends.count()
@@ -107,8 +140,11 @@ def levels(nodes, edges):
             break
         before = count
         left = written(left.join(ends.select(F.col("call_id").alias("parent")), "parent"), "edges")
-    return reached.groupBy("call_id").agg(
-        F.when(~F.max("cyclic"), F.max("level")).alias("level"))
+    top = reached.groupBy("call_id").agg(F.max("level").alias("level"),
+                                         F.max("cyclic").alias("cyclic"))
+    return nodes.select("call_id").join(top, "call_id", "left").select(
+        "call_id", F.when(~F.coalesce("cyclic", F.lit(False)),
+                          F.coalesce("level", F.lit(0))).alias("level"))
 
 
 def link(calls, results, schemas):

@@ -57,8 +57,10 @@ def test_links_levels_and_errors(spark):
     assert linked(spark, []) == {}
 
 
-def test_topological_order_of_random_graphs(spark, monkeypatch):
+@pytest.mark.parametrize("near", [3, 20_000])
+def test_topological_order_of_random_graphs(spark, monkeypatch, near):
     monkeypatch.setattr(toolcalls, "BUCKET", 3)
+    monkeypatch.setattr(toolcalls, "NEAR", near)
     rng = random.Random(4)
     calls = [(c, t, f"{c}-{t}", "t", "{}", [f"{c}-{rng.randrange(t)}" for _ in range(
         rng.randint(0, 3))] if t else [], "x") for c in range(4) for t in range(25)]
