@@ -625,7 +625,7 @@ FROM raw_orders ORDER BY order_id LIMIT 5""",
     "c3_customers": "SELECT * FROM d_customers",
     "c4_unified_lines": """SELECT reordered, CAST(count(*) AS BIGINT) AS line_count,
   CAST(sum(product_id) AS BIGINT) AS product_sum, CAST(sum(add_to_cart_order) AS BIGINT)
-  AS cart_sum FROM d_lines GROUP BY 1""",
+  AS cart_sum FROM d_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1""",
     "c5_dedupe_report": """SELECT CAST(count(*) AS BIGINT) AS rows_before,
   CAST(count(DISTINCT (order_id, product_id)) AS BIGINT) AS rows_after,
   CAST(count(*) - count(DISTINCT (order_id, product_id)) AS BIGINT) AS rows_removed
