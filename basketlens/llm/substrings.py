@@ -8,25 +8,65 @@ from pyspark.sql import functions as F
 
 from basketlens.llm.common import written
 
-#: A unit ends with its line, after a sentence's last mark, and before a capitalised word, so that
-#: a passage set into the middle of a sentence still falls into the units it has elsewhere.
-BOUNDARY = re.compile(r"\n+|(?<=[.!?])[ \t\r]+|[ \t\r]+(?=[A-ZÀ-ÖØ-Þ])")
-#: Words from which on a unit is compared; shorter ones recur by chance.
-MIN_WORDS = 5
+#: Cuts of a text, from whole to part: paragraphs, lines, sentences, and before capitalised words, so
+#: that a passage set into the middle of a sentence still falls into the units it has elsewhere.
+CUTS = [re.compile(r"\n[ \t\r]*\n\s*"), re.compile(r"\n+"), re.compile(r"(?<=[.!?])[ \t\r]+"),
+        re.compile(r"[ \t\r]+(?=[A-ZÀ-ÖØ-Þ])")]
+#: Words or characters from which on a unit is compared; shorter ones recur by chance.
+MIN_WORDS, MIN_CHARS = 5, 30
+
+
+def _enough(part, min_words):
+    found = part.split(None, min_words - 1)
+    return len(found) >= min_words or sum(map(len, found)) + len(found) > MIN_CHARS
+
+
+def _digest(part, place=None):
+    name = " ".join(part.lower().split())
+    return xxhash.xxh3_128_digest(name if place is None else f"{name}\n{place}")
 
 
 def units(text, min_words=MIN_WORDS):
-    """(start, end, digest) of the units of a text, in characters.
+    """(start, end, digest) of the units of a text, in characters; they are disjoint and in order.
 
-    A unit is normalised by lower-casing and by making each run of white space one blank.
+    A unit is normalised by lower-casing and by making each run of white space one blank. Parts too
+    short to be compared are joined with short neighbours. Where the run is still too short, it takes
+    its digest from the whole it is part of and its place there, so that it goes with a repeated
+    sentence, line, paragraph or text, and with nothing less.
     """
-    found, start = [], 0
-    cuts = [(m.start(), m.end()) for m in BOUNDARY.finditer(text)]
-    for end, following in [*cuts, (len(text), len(text))]:
-        words = text[start:end].lower().split()
-        if len(words) >= min_words:
-            found.append((start, end, xxhash.xxh3_128_digest(" ".join(words))))
-        start = following
+    found = []
+
+    def deal(start, end, depth):
+        while depth < len(CUTS):
+            cuts = [(m.start(), m.end()) for m in CUTS[depth].finditer(text, start, end)]
+            if cuts:
+                break
+            depth += 1
+        else:
+            found.append((start, end, _digest(text[start:end])))
+            return
+        run, place, at = None, 0, start
+
+        def close():
+            part = text[run[0]:run[1]]
+            found.append((*run, _digest(part) if _enough(part, min_words)
+                          else _digest(text[start:end], place)))
+
+        for stop, following in [*cuts, (end, end)]:
+            part = text[at:stop]
+            if _enough(part, min_words):
+                if run:
+                    close()
+                    run, place = None, place + 1
+                deal(at, stop, depth + 1)
+            elif part.strip():
+                run = (run[0] if run else at, stop)
+            at = following
+        if run:
+            close()
+
+    if _enough(text, min_words):
+        deal(0, len(text), 0)
     return found
 
 
@@ -93,8 +133,9 @@ def drop_repeats(docs):
     """docs with every later occurrence of a unit cut out of ``text``, and the column removed.
 
     removed: spans (start, end) of the original text, in characters, in order; empty if none. Null
-    texts stay null, empty ones empty. Units of fewer than ``MIN_WORDS`` words stay. Other columns
-    pass through, except that removed is replaced. An empty table stays empty.
+    texts stay null, empty ones empty. Units of fewer than ``MIN_WORDS`` words and ``MIN_CHARS``
+    characters go only with a repeated whole around them. Other columns pass through, except that
+    removed is replaced. An empty table stays empty.
     """
     spans = repeated_spans(docs).select(
         F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "removed")

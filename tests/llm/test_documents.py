@@ -243,6 +243,21 @@ def test_repeats_equal_brute_force(docs):
     assert {i: [tuple(s) for s in r[0]["removed"]] for i, r in found.items()} == wanted
 
 
+@pytest.mark.parametrize("line", [
+    "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.",
+    "Nt onor. The of it.", "ALL RIGHTS RESERVED BY THE HOLDER", "Dr. Smith saw it all on that day.",
+    "Der Hund des Nachbarn liegt im Garten unter dem Apfelbaum.", "One Two\nThree Four\nFive Six",
+    "Donaudampfschifffahrtsgesellschaft Kapitän"])
+def test_whole_repeated_lines_leave_no_scrap(spark, line):
+    texts = [f"{word} stands here alone as prose\n\n{line}\n\nand {word} again ends this text"
+             for word in ("alpha", "beta", "gamma")]
+    found = by_id(substrings.drop_repeats(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string")))
+    assert found[0][0]["text"] == texts[0]
+    for i in (1, 2):
+        assert found[i][0]["text"] == texts[i].replace(line, "")
+
+
 def test_repeats_on_odd_tables(odd, none):
     found = by_id(substrings.drop_repeats(odd))
     assert found[1][0]["text"] is None and found[2][0]["text"] == ""
