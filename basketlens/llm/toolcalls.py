@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql import types as T
 
-from basketlens.llm.common import written
+from basketlens.functions.prefix import running_totals
+from basketlens.llm.common import components, written
 
 #: Turns of a conversation that are numbered in one task.
 BUCKET = 512
-#: Calls of a conversation that is ordered in one task.
-NEAR = 20_000
+#: Calls of a conversation that is ordered in one task, and of each range of a larger one.
+NEAR, RANGE = 20_000, 200_000
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list,
           "object": dict, "null": type(None)}
 
@@ -105,41 +106,115 @@ def _longest(pdf):
                          "cyclic": [bool(waiting.get(x)) for x in level]})
 
 
+def _ranged(key, pdf):
+    """Levels of the calls of one range all of whose parents are known or settle with it.
+
+    An edge has the level of its parent, or -1 where that is not known.
+    """
+    children, waiting, level = {}, {}, {}
+    for parent, child, known in zip(pdf["parent"].tolist(), pdf["child"].tolist(),
+                                    pdf["level"].tolist()):
+        waiting[child] = waiting.get(child, 0) + (known < 0)
+        level[child] = max(level.get(child, 0), known + 1)
+        if known < 0:
+            children.setdefault(parent, []).append(child)
+    ready = [x for x in waiting if not waiting[x]]
+    for call in ready:  # grows as calls become ready
+        for child in children.get(call, ()):
+            level[child] = max(level[child], level[call] + 1)
+            waiting[child] -= 1
+            if not waiting[child]:
+                ready.append(child)
+    return pd.DataFrame({"line": key[0], "place": ready, "level": [level[x] for x in ready]},
+                        columns=["line", "place", "level"])
+
+
+def _by_range(home, pairs):
+    """(call_id, level, cyclic) of calls in lines too long for a task, range after range.
+
+    A call settles once all its parents have. A range of places settles in one task per line and hands
+    the levels on to the edges of other ranges. Edges against the order of places wait for the next
+    sweep over the ranges. A sweep that settles nothing leaves cycles and what is behind them.
+    """
+    spark = home.sparkSession
+    placed = written(running_totals(
+        home.withColumn("chunk", F.coalesce(F.floor(F.col("turn") / BUCKET), F.lit(-1))),
+        ["line"], "chunk", ["turn", "call_id"], {"place": F.lit(1)}).select(
+        "call_id", "line", F.col("place").cast("long")), "placed")
+    place = placed.drop("line")
+    links = pairs.join(place.toDF("child", "c"), "child").join(
+        place.toDF("parent", "p"), "parent").select(
+        "line", F.col("p").alias("parent"), F.col("c").alias("child"),
+        F.floor((F.col("p") - 1) / RANGE).alias("from"), F.floor((F.col("c") - 1) / RANGE).alias("to"))
+    links = written(links, "links")
+    inner = links.select("line", F.col("child").alias("parent"), F.lit(-1).alias("level")).distinct()
+    keys, solved = ["line", "parent"], []
+    left = links.join(inner, keys, "left").withColumn("level", F.coalesce("level", F.lit(0)))
+
+    def read(parts):
+        """One scan of several written tables."""
+        return spark.read.schema(parts[0].schema).parquet(
+            *[name for part in parts for name in part.inputFiles()]) if any(
+                part.inputFiles() for part in parts) else parts[0]
+
+    while True:
+        # In order of ranges, so that a round reads little besides its own.
+        left = written(left.repartitionByRange("to"), "left")
+        settled, handed = [], []
+        for at in [row["to"] for row in left.select("to").distinct().orderBy("to").collect()]:
+            own = left.where(F.col("to") == at)
+            if handed:
+                own = own.join(read(handed).where(F.col("to") == at).select(
+                    *keys, "child", F.col("level").alias("met")), [*keys, "child"], "left"
+                    ).withColumn("level", F.coalesce("met", "level"))
+            settled.append(written(own.select("line", "parent", "child", "level").groupBy(
+                "line").applyInPandas(_ranged, "line long, place long, level int"), "settled"))
+            onward = left.where((F.col("from") == at) & (F.col("to") > at) & (F.col("level") < 0))
+            handed.append(written(onward.drop("level").join(
+                settled[-1].withColumnRenamed("place", "parent"), keys), "handed"))
+        found = read(settled) if settled else None
+        if found is None or found.isEmpty():
+            break
+        solved.append(found)
+        parents = found.select("line", F.col("place").alias("parent"), F.col("level").alias("met"))
+        left = left.join(found.select("line", F.col("place").alias("child")), ["line", "child"],
+                         "left_anti").join(parents, keys, "left").withColumn(
+            "level", F.coalesce("met", "level")).select("line", "parent", "child", "from", "to",
+                                                         "level")
+    rows = left.select("line", F.col("child").alias("place"), F.lit(0).alias("level"),
+                       F.lit(True).alias("cyclic")).distinct()
+    for found in solved:
+        rows = rows.union(found.withColumn("cyclic", F.lit(False)))
+    return rows.join(placed, ["line", "place"]).select("call_id", "level", "cyclic")
+
+
 def levels(nodes, edges):
     """(call_id, level): the length of the longest chain of calls before each; null in a cycle.
 
-    Whole conversations of at most ``NEAR`` calls are ordered in tasks, many to a task. Larger ones,
-    and those whose calls depend on other conversations, are ordered in rounds: round k keeps the
-    calls at which a chain of k edges ends. The sets shrink; when one stays the same without being
-    empty, its calls lie on a cycle or behind one. Rounds grow with the longest chain.
+    A line is a conversation, or several that calls of each other link. Lines of at most ``NEAR``
+    calls are ordered in tasks, many to a task; larger ones range after range of ``RANGE`` calls.
     """
-    home = nodes.select("call_id", F.xxhash64("conv_id").alias("conv"))
+    home = nodes.select("call_id", "turn", F.xxhash64("conv_id").alias("conv"))
+    convs = home.select("call_id", "conv")
     pairs = written(edges.select("parent", "child").distinct().join(
-        home.select(F.col("call_id").alias("child"), "conv"), "child").join(
-        home.select(F.col("call_id").alias("parent"), F.col("conv").alias("other")), "parent"),
-        "pairs")
+        convs.toDF("child", "conv"), "child").join(convs.toDF("parent", "other"), "parent"), "pairs")
     crossing = pairs.where("conv <> other")
-    far = written(home.groupBy("conv").count().where(F.col("count") > NEAR).select("conv").union(
-        crossing.select("conv")).union(crossing.select("other")).distinct(), "far")
-    total = nodes.count()
-    buckets = max(1, -(-total // NEAR))
-    reached = pairs.join(far, "conv", "left_anti").select(
-        "parent", "child", F.pmod("conv", F.lit(buckets)).alias("bucket")).groupBy(
+    line = F.col("conv")
+    if not crossing.isEmpty():
+        labels = written(components(crossing.select(
+            F.col("conv").alias("a"), F.col("other").alias("b"))).toDF("conv", "label"), "lines")
+        home, pairs = home.join(labels, "conv", "left"), pairs.join(labels, "conv", "left")
+        line = F.coalesce("label", "conv")
+    home = home.select("call_id", "turn", line.alias("line"))
+    pairs = pairs.select("parent", "child", line.alias("line"))
+    far = written(home.groupBy("line").count().where(F.col("count") > NEAR).select("line"), "far")
+    buckets = max(1, -(-nodes.count() // NEAR))
+    reached = pairs.join(far, "line", "left_anti").select(
+        "parent", "child", F.pmod("line", F.lit(buckets)).alias("bucket")).groupBy(
         "bucket").applyInPandas(_longest, "call_id string, level int, cyclic boolean")
-    left, before, depth = pairs.join(far, "conv", "left_semi").select("parent", "child"), total, 0
-    while not far.isEmpty():
-        depth += 1
-        ends = written(left.select(F.col("child").alias("call_id")).distinct(), "ends")
-        count = ends.count()
-        if not count:
-            break
-        stuck = count == before
-        reached = reached.union(ends.select("call_id", F.lit(depth).alias("level"),
-                                            F.lit(stuck).alias("cyclic")))
-        if stuck:
-            break
-        before = count
-        left = written(left.join(ends.select(F.col("call_id").alias("parent")), "parent"), "edges")
+    if not far.isEmpty():
+        reached = reached.union(_by_range(home.join(far, "line", "left_semi"),
+                                          pairs.join(far, "line", "left_semi")))
     top = reached.groupBy("call_id").agg(F.max("level").alias("level"),
                                          F.max("cyclic").alias("cyclic"))
     return nodes.select("call_id").join(top, "call_id", "left").select(
@@ -189,11 +264,14 @@ def link(calls, results, schemas):
     # Places: totals of buckets of turns are added up, then rows are numbered within a bucket.
     bucket = ["conv_id", "level", F.floor(F.col("turn") / BUCKET).alias("bucket")]
     placed = done.where("level is not null").select("call_id", "turn", *bucket)
-    ahead = Window.partitionBy("conv_id").orderBy("level", "bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    totals = placed.groupBy("conv_id", "level", "bucket").agg(F.count("*").alias("n")).select(
-        F.col("conv_id").alias("c"), F.col("level").alias("l"), F.col("bucket").alias("b"),
-        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    # Levels too go by cells, since a chain has as many as it has calls.
+    counts = placed.groupBy("conv_id", "level", "bucket").agg(F.count("*").alias("n"))
+    totals = running_totals(
+        counts.select(F.struct("conv_id").alias("conv"), "level", "bucket", "n",
+                      F.floor(F.col("level") / BUCKET).alias("cell")), ["conv"], "cell",
+        ["level", "bucket"], {"upto": F.col("n")}).select(
+        F.col("conv.conv_id").alias("c"), F.col("level").alias("l"), F.col("bucket").alias("b"),
+        (F.col("upto") - F.col("n")).alias("before"))
     inside = Window.partitionBy("conv_id", "level", "bucket").orderBy("turn", "call_id")
     ranks = placed.withColumn("within", F.row_number().over(inside) - 1).join(
         totals, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("level") == F.col("l"))

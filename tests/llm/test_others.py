@@ -82,6 +82,38 @@ def test_conversations_give_every_call_and_result(spark):
     assert all(json.loads(r["json"])["id"] == r["call_id"] for r in found)
 
 
+def test_one_long_chain_goes_range_by_range(spark, monkeypatch):
+    monkeypatch.setattr(toolcalls, "RANGE", 20_000)
+    rounds = []
+    write = toolcalls.written
+    monkeypatch.setattr(toolcalls, "written", lambda df, name: (
+        rounds.append(name), len(rounds) < 60 or pytest.fail("a round per link"))[0] or write(
+            df, name))
+    calls = spark.range(50_000).selectExpr(
+        "1L conv_id", "id turn", "string(id) call_id", "'t' tool", "'{}' arguments",
+        "if(id > 0, array(string(id - 1)), null) depends_on", "'x' status")
+    found = toolcalls.link(calls, spark.createDataFrame([], "call_id string, result string"),
+                           spark.createDataFrame([], "tool string, schema string"))
+    assert found.where("level = turn and rank = turn").count() == 50_000
+    assert rounds.count("settled") == 3
+
+
+def test_ranges_with_edges_against_the_order_and_cycles(spark, monkeypatch):
+    monkeypatch.setattr(toolcalls, "NEAR", 3)
+    monkeypatch.setattr(toolcalls, "RANGE", 8)
+    back = {"0-2": ["0-17"], "1-4": ["0-20"], "2-3": ["2-12"], "2-12": ["2-3"], "2-15": ["2-12"]}
+    calls = [(c, t, f"{c}-{t}", "t", "{}", back.get(f"{c}-{t}", [f"{c}-{t - 9}"] if t > 8 else []),
+              "x") for c in range(3) for t in range(24)]
+    parents, level = {name: found for _, _, name, _, _, found, _ in calls}, {}
+    for _ in parents:  # a level once all parents have theirs
+        for name, found in parents.items():
+            if all(p in level for p in found):
+                level[name] = max((level[p] + 1 for p in found), default=0)
+    found = linked(spark, calls)
+    assert {n: r["level"] for n, r in found.items()} == {n: level.get(n) for n in parents}
+    assert found["2-15"]["level"] is None and found["1-4"]["level"] == 5
+
+
 # --- nearest vectors ------------------------------------------------------------------------
 
 def test_recall_and_scores_against_brute_force(spark):
