@@ -15,27 +15,34 @@ def op1_lm_score(spark, folder):
 
 #: The tools that turns of ``conversations`` call in op2.
 TOOLS = {
-    "search": {"properties": {"query": {"type": "string"},
+    "search": {"properties": {"query": {"type": "string"}, "text": {"type": "string"},
                               "limit": {"type": "integer", "minimum": 1, "maximum": 1500}},
                "required": ["limit", "query"], "additionalProperties": False},
-    "calculate": {"properties": {"value": {"type": "number"}}, "required": ["value"]},
-    "remember": {"properties": {"key": {"type": "string"}, "keep": {"type": "boolean"}},
+    "calculate": {"properties": {"value": {"type": "number"}, "text": {"type": "string"}},
+                  "required": ["value"]},
+    "remember": {"properties": {"key": {"type": "string"}, "keep": {"type": "boolean"},
+                                "text": {"type": "string"}},
                  "required": ["key"], "additionalProperties": False}}
 
 
 def conversation_calls(turns):
     """(calls, results) that ``conversations`` imply: an assistant's turn calls a tool with arguments
-    taken from its text and builds on the assistant's two turns before; the turn after answers it.
+    taken from its text, the whole text among them, and builds on the assistant's two turns before; the
+    turn after answers it.
     """
     name = F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"))
     size, number = F.length("text"), F.crc32(F.coalesce("text", F.lit("")))
     word = F.regexp_replace(F.substring_index("text", " ", 1), r'["\\\p{Cntrl}]', "")
+    field = F.to_json(F.struct("text"), {"ignoreNullFields": "false"})
+    whole = F.substring(field, F.lit(2), F.length(field) - 2)
     arguments = F.when(number % 3 == 0, F.format_string(
-        '{ "query": "%s", "limit": %s }', word,
+        '{ %s, "query": "%s", "limit": %s }', whole, word,
         F.when(number % 11 == 0, F.format_string('"%d"', size)).otherwise(size.cast("string")))
-    ).when(number % 3 == 1, F.format_string('{"value": %d.%d}', size, number % 10)).otherwise(
-        F.format_string('{"keep":true, "key":"%s"%s}', word,
-                        F.when(number % 7 == 0, F.lit(', "more": null')).otherwise(F.lit(""))))
+    ).when(number % 3 == 1, F.format_string(
+        '{"value": %d.%d, %s}', size, number % 10, whole)).otherwise(
+        F.format_string('{"keep":true, "key":"%s"%s, %s}', word,
+                        F.when(number % 7 == 0, F.lit(', "more": null')).otherwise(F.lit("")),
+                        whole))
     tool = F.element_at(F.array(*map(F.lit, TOOLS)), (number % 3 + 1).cast("int"))
     earlier = F.filter(F.array(F.col("turn") - 2, F.col("turn") - 4), lambda x: x >= 0)
     calls = turns.where("role = 'assistant'").select(

@@ -114,6 +114,18 @@ def test_ranges_with_edges_against_the_order_and_cycles(spark, monkeypatch):
     assert found["2-15"]["level"] is None and found["1-4"]["level"] == 5
 
 
+def test_derived_calls_hold_whole_texts(spark):
+    texts = [f'say {i} "quoted" \\ back\\slash\n\ttab \u0001 é 日本 😀 100 % {"long " * i}' for i in range(60)]
+    turns = spark.createDataFrame([(1, i, "assistant", t) for i, t in enumerate(texts)],
+                                  "conv_id long, turn long, role string, text string")
+    schemas = spark.createDataFrame([(k, json.dumps(v)) for k, v in queries.TOOLS.items()],
+                                    "tool string, schema string")
+    found = toolcalls.link(*queries.conversation_calls(turns), schemas).collect()
+    assert {r["turn"]: json.loads(r["json"])["arguments"]["text"] for r in found} == dict(
+        enumerate(texts))
+    assert {r["tool"] for r in found if r["valid"]} == set(queries.TOOLS)
+
+
 # --- nearest vectors ------------------------------------------------------------------------
 
 def test_recall_and_scores_against_brute_force(spark):
