@@ -13,8 +13,12 @@ SMOOTHING_DAYS, ARIMA_DAYS = 2 * SEASON, 4 * SEASON
 #: Candidate parameters of the fits.
 SMOOTHING_GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.05, 0.2)
                   for g in (0.05, 0.2, 0.5)]
-ARIMA_GRID = [(p, q, sp, sq) for p in (-0.4, 0.0, 0.4) for q in (-0.7, -0.3, 0.0)
-              for sp in (0.0, 0.3) for sq in (-0.8, -0.4, 0.0)]
+_COARSE = (-0.8, -0.4, 0.0, 0.4, 0.8)
+ARIMA_GRID = [(p, q, sp, sq) for p in _COARSE for q in _COARSE for sp in _COARSE for sq in _COARSE]
+#: Best candidates around which a fit goes on, with a smaller step each round, and parameter bounds.
+STARTS = 3
+SMOOTHING_STEPS, ARIMA_STEPS = (0.15, 0.08, 0.04, 0.02), (0.2, 0.2, 0.1, 0.05, 0.025)
+SMOOTHING_BOUNDS, ARIMA_BOUNDS = (0.001, 0.999), (-0.98, 0.98)
 _SMOOTHING = "struct<level:double,trend:double,season:array<double>,sse:double>"
 _ARIMA = "struct<w:array<double>,e:array<double>,sse:double>"
 _AHEAD = "struct<w:array<double>,e:array<double>,y:array<double>,out:array<double>>"
@@ -122,6 +126,13 @@ def arima_path(state, params, values, days):
         F.sequence(F.lit(1), days), start, step, lambda s: s["out"]))
 
 
+def psi_weights(params, days):
+    """Weights of a shock in the ``days`` values from its own on, as an array."""
+    unit = F.concat(F.array_repeat(F.lit(0.0), SEASON), F.array(F.lit(1.0)))
+    state = F.struct(unit.alias("w"), unit.alias("e"))
+    return F.slice(F.concat(F.array(F.lit(1.0)), arima_path(state, params, unit, days)), 1, days)
+
+
 def average_path(values, days):
     """The mean of seven days carried forward over its own predictions, as an array."""
     start = F.struct(F.slice(values, -F.least(F.size(values), F.lit(SEASON)),

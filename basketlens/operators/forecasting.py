@@ -4,6 +4,8 @@ Series frames have ``series_key``, ``ds`` (date) and ``y``, one row per series a
 window or group over one series is bounded by the calendar, not by the orders.
 """
 
+from itertools import product
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -107,10 +109,32 @@ def _candidates(rows, names, grid):
 SMOOTHING_NAMES, ARIMA_NAMES = ("alpha", "beta", "gamma"), ("phi", "theta", "sphi", "stheta")
 
 
-def fitted(series, model, grid=None):
+def _refined(series, tried, model, names, run):
+    """(series_key, p) after rounds of smaller grids around each series' best candidates."""
+    smoothing = model == SMOOTHING
+    low, high = seasonal.SMOOTHING_BOUNDS if smoothing else seasonal.ARIMA_BOUNDS
+    kept = tried.where("state is not null").groupBy("series_key").agg(F.slice(F.array_sort(
+        F.collect_list(F.struct("state.sse", "p"))), 1, seasonal.STARTS)["p"].alias("all")).select(
+        "series_key", F.posexplode("all").alias("start", "p"))
+    for step in seasonal.SMOOTHING_STEPS if smoothing else seasonal.ARIMA_STEPS:
+        moves = F.array(*[F.struct(*[F.lit(step * m).alias(n) for n, m in zip(names, move)])
+                          for move in product((-1.0, 0.0, 1.0), repeat=len(names))])
+        near = F.transform(moves, lambda m: F.struct(*[
+            F.greatest(F.lit(low), F.least(F.lit(high), F.col("p")[n] + m[n])).alias(n)
+            for n in names]))
+        around = kept.select("series_key", "start", F.explode(F.array_distinct(near)).alias("p"))
+        kept = around.join(series.select("series_key", "train"), "series_key").repartition(
+            "series_key", "start", "p").select(
+            "series_key", "start", "p", run(F.col("train"), F.col("p"))["sse"].alias("sse")).groupBy(
+            "series_key", "start").agg(F.min_by("p", F.struct("sse", "p")).alias("p"))
+    return kept.select("series_key", "p")
+
+
+def fitted(series, model, grid=None, refine=False):
     """Series (series_key, train) with the state and parameters of least squared error.
 
-    One candidate is a fixed parameter set. Where the series is too short the state is null.
+    One candidate is a fixed parameter set. ``refine`` goes on around the best candidates. Where the
+    series is too short the state is null.
     """
     names = SMOOTHING_NAMES if model == SMOOTHING else ARIMA_NAMES
     run = seasonal.smoothing if model == SMOOTHING else seasonal.arima
@@ -120,16 +144,21 @@ def fitted(series, model, grid=None):
         # A task would otherwise run every candidate of its series.
         tried = tried.repartition("series_key", "p")
     tried = tried.select("series_key", "p", run(F.col("train"), F.col("p")).alias("state"))
+    if refine:
+        tried = series.select("series_key", "train").join(
+            _refined(series, tried, model, names, run), "series_key", "left").select(
+            "series_key", "p", run(F.col("train"), F.col("p")).alias("state"))
     # A null state has a null error, which min_by passes over while there is any other.
     best = tried.groupBy("series_key").agg(
         F.min_by(F.struct("p", "state"), F.struct(F.col("state.sse"), "p")).alias("best"))
     return series.join(best.select("series_key", "best.p", "best.state"), "series_key")
 
 
-def model_backtest(split, models=(SMOOTHING, ARIMA), params=None):
+def model_backtest(split, models=(SMOOTHING, ARIMA), params=None, refine=False):
     """Multi-step holdout predictions of the seasonal models.
 
-    ``params`` fixes the smoothing parameters instead of fitting them. A series that is too
+    ``params`` fixes the smoothing parameters instead of fitting them; ``refine`` fits beyond the
+    candidates of the grid. A series that is too
     short for a model keeps its days, with a null prediction and a reason.
     """
     rows, parts = _arrays(split), []
@@ -140,12 +169,12 @@ def model_backtest(split, models=(SMOOTHING, ARIMA), params=None):
             least = 1
         elif model == SMOOTHING:
             least = seasonal.SMOOTHING_DAYS
-            made = fitted(rows, model, [params] if params else None).withColumn(
+            made = fitted(rows, model, [params] if params else None, refine).withColumn(
                 "path", F.transform("test", lambda _, i: seasonal.smoothing_ahead(
                     F.col("state"), i + 1)))
         else:
             least = seasonal.ARIMA_DAYS
-            made = fitted(rows, model).withColumn("path", seasonal.arima_path(
+            made = fitted(rows, model, refine=refine).withColumn("path", seasonal.arima_path(
                 F.col("state"), F.col("p"), F.col("train"), days))
         parts.append(made.where(days > 0).select(
             "series_key", "train", "path", F.posexplode("test").alias("at", "day")).select(

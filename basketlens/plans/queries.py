@@ -214,12 +214,12 @@ def t6_smoothing_fixed(r):
 
 
 def t6_smoothing_fitted(r):
-    return _models_of(_platform_split(r), (forecasting.SMOOTHING,))
+    return _models_of(_platform_split(r), (forecasting.SMOOTHING,), refine=True)
 
 
 def _all_models(split):
     found = forecasting.average_backtest(split).unionByName(
-        forecasting.model_backtest(split).drop("reason"))
+        forecasting.model_backtest(split, refine=True).drop("reason"))
     return forecasting.forecast_leaderboard(forecasting.forecast_errors(found))
 
 
@@ -481,7 +481,8 @@ CATALOGUE = {
         _platform_split(r), (forecasting.AVERAGE,))),
     "t6_smoothing_fixed": (PRODUCT, t6_smoothing_fixed),
     "t6_smoothing_fitted": (PRODUCT, t6_smoothing_fitted),
-    "t7_arima": (PRODUCT, lambda r: _models_of(_platform_split(r), (forecasting.ARIMA,))),
+    "t7_arima": (PRODUCT, lambda r: _models_of(
+        _platform_split(r), (forecasting.ARIMA,), refine=True)),
     "t8_forecast": (PRODUCT, lambda r: r.demand_forecast),
     "t9_average_errors": (PRODUCT, lambda r: forecasting.forecast_errors(r.backtest)),
     "t10_leaderboard": (PRODUCT, t10_leaderboard),

@@ -204,6 +204,20 @@ def test_arima_equals_a_plain_loop(spark):
     assert backtest(spark, y, forecasting.ARIMA)["predicted"].tolist() == pytest.approx(wanted)
 
 
+def test_arma_recovers_known_parameters(spark):
+    known, rng = (0.6, 0.2, 0.5, -0.3), np.random.default_rng(7)
+    phi, theta, sphi, stheta = known
+    n = 1500
+    e, w, y = rng.normal(size=n), np.zeros(n), np.zeros(n)
+    for t in range(8, n):
+        w[t] = (phi * w[t - 1] + sphi * w[t - 7] - phi * sphi * w[t - 8] + e[t]
+                + theta * e[t - 1] + stheta * e[t - 7] + theta * stheta * e[t - 8])
+        y[t] = w[t] + y[t - 1] + y[t - 7] - y[t - 8]
+    frame = spark.createDataFrame([("a", y.tolist())], "series_key string, train array<double>")
+    found = forecasting.fitted(frame, forecasting.ARIMA, refine=True).first()["p"]
+    assert list(found) == pytest.approx(known, abs=0.1)
+
+
 def test_average_runs_over_its_own_predictions(spark):
     y = weekly(50)
     values = list(y[:20])
