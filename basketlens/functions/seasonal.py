@@ -130,7 +130,7 @@ def psi_weights(params, days):
     """Weights of a shock in the ``days`` values from its own on, as an array."""
     unit = F.concat(F.array_repeat(F.lit(0.0), SEASON), F.array(F.lit(1.0)))
     state = F.struct(unit.alias("w"), unit.alias("e"))
-    return F.slice(F.concat(F.array(F.lit(1.0)), arima_path(state, params, unit, days)), 1, days)
+    return F.slice(F.concat(F.array(F.lit(1.0)), arima_path(state, params, unit, F.lit(days))), 1, days)
 
 
 def average_path(values, days):

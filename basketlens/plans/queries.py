@@ -493,7 +493,7 @@ CATALOGUE = {
         forecasting.average_backtest(_departments_split(r)))),
     "t12_leaderboard": (PRODUCT, t12_leaderboard),
     "t12_smoothing_aisles": (PRODUCT, t12_smoothing_aisles),
-    "t12_forecast": (PRODUCT, lambda r: forecasting.forecast_demand(r.department_days)),
+    "t12_forecast": (PRODUCT, lambda r: forecasting.forecast_arima(r.department_days)),
     # graph
     "h1_nodes": (PRODUCT, h1_nodes),
     "h2_taxonomy_edges": (PRODUCT, _edges),

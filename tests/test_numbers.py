@@ -218,6 +218,36 @@ def test_arma_recovers_known_parameters(spark):
     assert list(found) == pytest.approx(known, abs=0.1)
 
 
+def test_psi_weights_equal_an_impulse_response(spark):
+    p = F.struct(*[F.lit(v).alias(n) for n, v in zip(
+        forecasting.ARIMA_NAMES, (0.5, -0.4, 0.3, -0.2))])
+    w, y = np.zeros(30), np.zeros(30)
+    for t in range(8, 30):
+        shock = [float(t - lag == 8) for lag in (0, 1, 7, 8)]
+        w[t] = (0.5 * w[t - 1] + 0.3 * w[t - 7] - 0.15 * w[t - 8]
+                + np.dot(shock, (1, -0.4, -0.2, 0.08)))
+        y[t] = w[t] + y[t - 1] + y[t - 7] - y[t - 8]
+    found = spark.range(1).select(seasonal.psi_weights(p, 22).alias("psi")).first()["psi"]
+    assert found == pytest.approx(y[8:].tolist())
+
+
+def test_arima_forecast_refits_the_whole_series(spark):
+    y = weekly(60, noise=3)
+    both = series(spark, y).unionByName(series(spark, [3, 4, 5], "b"))
+    found = forecasting.forecast_arima(both, 10).orderBy("series_key", "forecast_date").toPandas()
+    a, b = found[found["series_key"] == "a"], found[found["series_key"] == "b"]
+    best = min(loop_arima(y, p, 1)[0] for p in seasonal.ARIMA_GRID)
+    frame = spark.createDataFrame([("a", [float(v) for v in y])],
+                                  "series_key string, train array<double>")
+    fit = forecasting.fitted(frame, forecasting.ARIMA, refine=True).first()
+    assert fit["state"]["sse"] <= best
+    assert a["predicted_demand"].tolist() == pytest.approx(
+        loop_arima(y, tuple(fit["p"]), 10)[1], abs=0.51)
+    width = (a["upper_ci_95"] - a["lower_ci_95"]).tolist()
+    assert width[-1] > width[0] and set(b["reason"]) == {"fewer than 28 days"}
+    assert b["predicted_demand"].isna().all() and len(b) == 10
+
+
 def test_average_runs_over_its_own_predictions(spark):
     y = weekly(50)
     values = list(y[:20])
