@@ -46,6 +46,20 @@ def written(df, name):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranged(df, order, name, most=1_000_000):
+    """``df`` written in ranges along the columns ``order``, numbered by the column ``part``.
+
+    Ranges hold about equally many rows, ``most`` at the utmost, and rise with the order; rows of
+    one range are in no order. Written, so that a range's number is the same for all that read it.
+    """
+    parts = -(-df.count() // most)
+    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartitionByRange(parts, *order)
+    else:
+        df = df.repartitionByRange(*order)
+    return written(df.withColumn("part", F.spark_partition_id()), name)
+
+
 def share(spark, value):
     """Broadcast of ``value`` with its class, so that executors need no import."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

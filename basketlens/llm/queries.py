@@ -4,9 +4,10 @@ import json
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import (decontaminate, lm, neighbours, pieces, quality, sharding, simhash,
-                            substrings, templates, toolcalls)
-from basketlens.llm.common import table
+from basketlens.llm import (decontaminate, lm, mixing, neighbours, pieces, quality, repair,
+                            sharding, simhash, substrings, templates, toolcalls, trie)
+from basketlens.llm.oracle import CONVERSATION_TRIE, REPAIRED_CONVERSATIONS, SOURCE_MIX
+from basketlens.llm.common import table, written
 
 
 def op1_lm_score(spark, folder):
@@ -97,8 +98,57 @@ def op10_decontaminate(spark, folder):
                                 table(spark, folder, "benchmark"))
 
 
+def op11_source_mix(spark, folder):
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def damaged(turns):
+    """``turns`` with faults by a hash of conversation and turn; dropped rows are marked ``gone``."""
+    def text_of(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn"))) % 20
+    text = F.when(fault.isin(0, 1), "").when(
+        fault == 2, F.regexp_replace(text_of("text"), "[.!?]", "")).otherwise(text_of("text"))
+    role = F.when(fault == 4, "user").otherwise(text_of("role"))
+    again = F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                        (fault == 0).alias("gone"), again.alias("again")).drop("again")
+
+
+def op12_conversation_repair(spark, folder):
+    return repair.report(damaged(table(spark, folder, "conversations")))
+
+
+def rebuilt(turns):
+    """(turns, members): conversations whose first turns are those of their block of 100's head."""
+    own = trie.numbered(turns)
+    sizes = own.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    taken = F.crc32(F.col("conv_id").cast("string")) % 6
+    head = F.col("conv_id") - F.col("conv_id") % 100
+    plan = sizes.select("conv_id", "n", taken.alias("h"), head.alias("head")).join(
+        sizes.select(F.col("conv_id").alias("head"), F.col("n").alias("head_n")), "head", "left")
+    plan = written(plan.withColumn("k", F.least("h", F.coalesce("head_n", F.lit(0)))), "rebuild_plan")
+    rest = own.join(plan.select("conv_id", "h", "k"), "conv_id").where("place > h").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("k")).alias("place"), "key", "chars")
+    # A head has at most five such turns, and a block at most 199 conversations.
+    shared = plan.select("conv_id", "head", "k").where("k > 0").join(
+        own.where("place < 6").select(F.col("conv_id").alias("head"), "place", "key", "chars"),
+        "head").where("place <= k").select("conv_id", "place", "key", "chars")
+    members = plan.select("conv_id", (F.col("k") + F.greatest(
+        F.col("n") - F.col("h"), F.lit(0))).alias("length"))
+    return rest.unionByName(shared), members
+
+
+def op13_conversation_trie(spark, folder):
+    return trie.build(*rebuilt(table(spark, folder, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_score, op2_tool_calls, op3_quality, op4_shards, op5_simhash, op6_substring_dedup,
-    op7_line_templates, op8_nearest, op9_sentencepiece, op10_decontaminate)}
+    op7_line_templates, op8_nearest, op9_sentencepiece, op10_decontaminate, op11_source_mix,
+    op12_conversation_repair, op13_conversation_trie)}
 
-ORACLE_SQL = {}
+ORACLE_SQL = {"op11_source_mix": SOURCE_MIX,
+              "op12_conversation_repair": REPAIRED_CONVERSATIONS,
+              "op13_conversation_trie": CONVERSATION_TRIE}
