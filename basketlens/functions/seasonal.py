@@ -1,26 +1,16 @@
-"""Weekly seasonal models as SQL recursions over the ordered values of a series.
+"""Weekly seasonal models with given parameters, as SQL recursions over a series' ordered values.
 
-A series has one value per day, so its array is bounded by the calendar. Series and parameter
-candidates are rows; Spark spreads both. All functions take and return columns.
+A series has one value per day, so its array is bounded by the calendar. All functions take and
+return columns. Parameters come from a caller or from ``functions/fitting.py``.
 """
 
 from pyspark.sql import functions as F
 
-SEASON = 7
+from basketlens.functions.fitting import ARIMA_DAYS, SEASON, SMOOTHING_DAYS
+
 NORMAL_95 = 1.959964
-#: Days that a model needs to start.
-SMOOTHING_DAYS, ARIMA_DAYS = 2 * SEASON, 4 * SEASON
-#: Candidate parameters of the fits.
-SMOOTHING_GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.05, 0.2)
-                  for g in (0.05, 0.2, 0.5)]
-_COARSE = (-0.8, -0.4, 0.0, 0.4, 0.8)
-ARIMA_GRID = [(p, q, sp, sq) for p in _COARSE for q in _COARSE for sp in _COARSE for sq in _COARSE]
-#: Best candidates around which a fit goes on, with a smaller step each round, and parameter bounds.
-STARTS = 3
-SMOOTHING_STEPS, ARIMA_STEPS = (0.15, 0.08, 0.04, 0.02), (0.2, 0.2, 0.1, 0.05, 0.025)
-SMOOTHING_BOUNDS, ARIMA_BOUNDS = (0.001, 0.999), (-0.98, 0.98)
 _SMOOTHING = "struct<level:double,trend:double,season:array<double>,sse:double>"
-_ARIMA = "struct<w:array<double>,e:array<double>,sse:double>"
+_ARIMA = "struct<w:array<double>,e:array<double>,sse:double,late:double,n:int>"
 _AHEAD = "struct<w:array<double>,e:array<double>,y:array<double>,out:array<double>>"
 
 
@@ -96,17 +86,26 @@ def _next(s, p):
 def arima(values, params):
     """State of a (1,1,1)(1,1,1)_7 model after all values, and its squared errors.
 
-    ``params`` is a struct phi, theta, sphi, stheta. Terms before the start are 0.
+    ``params`` is a struct phi, theta, sphi, stheta. Terms before the start are 0. ``spread`` is the
+    mean square of the errors after the first eight, which still depend on the start.
     """
     zeros = F.array_repeat(F.lit(0.0), SEASON + 1)
-    start = F.struct(zeros.alias("w"), zeros.alias("e"), F.lit(0.0).alias("sse")).cast(_ARIMA)
+    start = F.struct(zeros.alias("w"), zeros.alias("e"), F.lit(0.0).alias("sse"),
+                     F.lit(0.0).alias("late"), F.lit(0).alias("n")).cast(_ARIMA)
 
     def step(s, w):
         miss = w - _next(s, params)
+        counted = F.when(s["n"] > SEASON, miss * miss).otherwise(F.lit(0.0))
         return F.struct(_shifted(s["w"], w).alias("w"), _shifted(s["e"], miss).alias("e"),
-                        (s["sse"] + miss * miss).alias("sse")).cast(_ARIMA)
+                        (s["sse"] + miss * miss).alias("sse"), (s["late"] + counted).alias("late"),
+                        (s["n"] + 1).alias("n")).cast(_ARIMA)
+
+    def finish(s):
+        return F.struct(s["w"].alias("w"), s["e"].alias("e"), s["sse"].alias("sse"),
+                        (s["late"] / (s["n"] - SEASON - 1)).alias("spread"))
 
-    return F.when(F.size(values) >= ARIMA_DAYS, F.aggregate(differences(values), start, step))
+    return F.when(F.size(values) >= ARIMA_DAYS,
+                  F.aggregate(differences(values), start, step, finish))
 
 
 def arima_path(state, params, values, days):

@@ -4,12 +4,13 @@ Series frames have ``series_key``, ``ds`` (date) and ``y``, one row per series a
 window or group over one series is bounded by the calendar, not by the orders.
 """
 
-from itertools import product
+from functools import partial
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketlens.functions import seasonal
+from basketlens.functions import fitting, seasonal
+from basketlens.functions.packing import in_packs
 from basketlens.functions.prefix import running_totals
 
 ANCHOR = "2025-01-01"
@@ -20,6 +21,8 @@ PLATFORM = "platform"
 AVERAGE, SMOOTHING, ARIMA = ("7-Day Moving Average (Baseline)", "Holt-Winters Exp Smoothing",
                              "Seasonal ARIMA")
 ORDERS_PER_CHUNK = 100000
+#: Values of the series that one task fits together.
+PACK_VALUES = 1 << 18
 
 
 def order_timeline(orders, anchor=ANCHOR):
@@ -78,6 +81,28 @@ def fill_days(series):
         "series_key", "ds", F.last("y", ignorenulls=True).over(along).alias("y"))
 
 
+def intermittent_days(series):
+    """Every day from a series' first to the last day of any series; a day without orders is 0.
+
+    For demand of single products, most of whose days have none: a product that is no longer bought
+    ends in zeros instead of ending.
+    """
+    last = series.agg(F.max("ds").alias("last")).scalar()
+    days = series.groupBy("series_key").agg(F.min("ds").alias("a")).select(
+        "series_key", F.explode(F.sequence("a", last)).alias("ds"))
+    return days.join(series, ["series_key", "ds"], "left").select(
+        "series_key", "ds", F.coalesce("y", F.lit(0)).alias("y"))
+
+
+def series_report(series, least=fitting.ARIMA_DAYS):
+    """Length and demand of each series, and why one cannot be fitted."""
+    found = series.groupBy("series_key").agg(
+        F.min("ds").alias("first_day"), F.count(F.lit(1)).alias("days"), F.sum("y").alias("volume"),
+        F.count_if(F.col("y") > 0).alias("active_days"), F.max("y").alias("largest_day"))
+    return found.withColumn("reason", F.when(
+        F.col("days") < least, F.lit(f"fewer than {least} days")))
+
+
 def holdout_split(series, days=30):
     """Mark the last ``days`` days of each series (T4)."""
     last = F.max("ds").over(W.partitionBy("series_key"))
@@ -100,68 +125,51 @@ def _arrays(split):
         F.array_sort(F.collect_list(F.when(F.col("is_holdout"), day))).alias("test"))
 
 
-def _candidates(rows, names, grid):
-    """Each series once per candidate, the parameters in a struct ``p``."""
-    cells = [F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(names, point)]) for point in grid]
-    return rows.withColumn("p", F.explode(F.array(*cells)))
+SMOOTHING_NAMES, ARIMA_NAMES = ("alpha", "beta", "gamma"), ("phi", "theta", "sphi", "stheta")
 
 
-SMOOTHING_NAMES, ARIMA_NAMES = ("alpha", "beta", "gamma"), ("phi", "theta", "sphi", "stheta")
+def packed(series):
+    """Series (series_key, train, others) with the ``pack`` in which a task fits them together."""
+    sizes = series.select("series_key", (F.size("train") + 1).alias("size"))
+    return in_packs(series, sizes, "series_key", PACK_VALUES)
+
 
+def fitted(series, model, params=None):
+    """Series (series_key, train) with parameters ``p`` and the ``state`` after the last day.
 
-def _refined(series, tried, model, names, run):
-    """(series_key, p) after rounds of smaller grids around each series' best candidates."""
-    smoothing = model == SMOOTHING
-    low, high = seasonal.SMOOTHING_BOUNDS if smoothing else seasonal.ARIMA_BOUNDS
-    kept = tried.where("state is not null").groupBy("series_key").agg(F.slice(F.array_sort(
-        F.collect_list(F.struct("state.sse", "p"))), 1, seasonal.STARTS)["p"].alias("all")).select(
-        "series_key", F.posexplode("all").alias("start", "p"))
-    for step in seasonal.SMOOTHING_STEPS if smoothing else seasonal.ARIMA_STEPS:
-        moves = F.array(*[F.struct(*[F.lit(step * m).alias(n) for n, m in zip(names, move)])
-                          for move in product((-1.0, 0.0, 1.0), repeat=len(names))])
-        near = F.transform(moves, lambda m: F.struct(*[
-            F.greatest(F.lit(low), F.least(F.lit(high), F.col("p")[n] + m[n])).alias(n)
-            for n in names]))
-        around = kept.select("series_key", "start", F.explode(F.array_distinct(near)).alias("p"))
-        kept = around.join(series.select("series_key", "train"), "series_key").repartition(
-            "series_key", "start", "p").select(
-            "series_key", "start", "p", run(F.col("train"), F.col("p"))["sse"].alias("sse")).groupBy(
-            "series_key", "start").agg(F.min_by("p", F.struct("sse", "p")).alias("p"))
-    return kept.select("series_key", "p")
-
-
-def fitted(series, model, grid=None, refine=False):
-    """Series (series_key, train) with the state and parameters of least squared error.
-
-    One candidate is a fixed parameter set. ``refine`` goes on around the best candidates. Where the
-    series is too short the state is null.
+    Parameters of least squared error, or the given ones. A fit takes whole series in packs of about
+    equal work, and a pack in numpy arrays. Where the series is too short both are null.
     """
-    names = SMOOTHING_NAMES if model == SMOOTHING else ARIMA_NAMES
-    run = seasonal.smoothing if model == SMOOTHING else seasonal.arima
-    grid = grid or (seasonal.SMOOTHING_GRID if model == SMOOTHING else seasonal.ARIMA_GRID)
-    tried = _candidates(series.select("series_key", "train"), names, grid)
-    if len(grid) > 1:
-        # A task would otherwise run every candidate of its series.
-        tried = tried.repartition("series_key", "p")
-    tried = tried.select("series_key", "p", run(F.col("train"), F.col("p")).alias("state"))
-    if refine:
-        tried = series.select("series_key", "train").join(
-            _refined(series, tried, model, names, run), "series_key", "left").select(
-            "series_key", "p", run(F.col("train"), F.col("p")).alias("state"))
-    # A null state has a null error, which min_by passes over while there is any other.
-    best = tried.groupBy("series_key").agg(
-        F.min_by(F.struct("p", "state"), F.struct(F.col("state.sse"), "p")).alias("best"))
-    return series.join(best.select("series_key", "best.p", "best.state"), "series_key")
-
-
-def model_backtest(split, models=(SMOOTHING, ARIMA), params=None, refine=False):
+    smooth = model == SMOOTHING
+    names = SMOOTHING_NAMES if smooth else ARIMA_NAMES
+    if params is not None:
+        run = seasonal.smoothing if smooth else seasonal.arima
+        held = series.withColumn("p", F.struct(*[F.lit(float(v)).alias(n)
+                                                 for n, v in zip(names, params)]))
+        return held.withColumn("state", run(F.col("train"), F.col("p")))
+    dealt = series if "pack" in series.columns else packed(series)
+    kind = fitting.SMOOTHING_FIT if smooth else fitting.ARIMA_FIT
+    found = dealt.mapInArrow(
+        partial(fitting.fit_packs, arima=not smooth),
+        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
+        + f", fit {kind}")
+    rest = ("level", "trend", "season", "sse") if smooth else ("w", "e", "sse", "spread")
+
+    def part(fields):
+        return F.when(F.col("fit").isNotNull(), F.struct(*[F.col("fit")[n].alias(n) for n in fields]))
+
+    return found.select(*[c for c in series.columns if c != "pack"], part(names).alias("p"), part(rest).alias("state"))
+
+
+def model_backtest(split, models=(SMOOTHING, ARIMA), params=None):
     """Multi-step holdout predictions of the seasonal models.
 
-    ``params`` fixes the smoothing parameters instead of fitting them; ``refine`` fits beyond the
-    candidates of the grid. A series that is too
-    short for a model keeps its days, with a null prediction and a reason.
+    ``params`` fixes the smoothing parameters instead of fitting them. A series that is too short
+    for a model keeps its days, with a null prediction and a reason.
     """
     rows, parts = _arrays(split), []
+    if params is None and {SMOOTHING, ARIMA} & set(models):
+        rows = packed(rows)
     days = F.size("test")
     for model in models:
         if model == AVERAGE:
@@ -169,12 +177,12 @@ def model_backtest(split, models=(SMOOTHING, ARIMA), params=None, refine=False):
             least = 1
         elif model == SMOOTHING:
             least = seasonal.SMOOTHING_DAYS
-            made = fitted(rows, model, [params] if params else None, refine).withColumn(
+            made = fitted(rows, model, params).withColumn(
                 "path", F.transform("test", lambda _, i: seasonal.smoothing_ahead(
                     F.col("state"), i + 1)))
         else:
             least = seasonal.ARIMA_DAYS
-            made = fitted(rows, model, refine=refine).withColumn("path", seasonal.arima_path(
+            made = fitted(rows, model).withColumn("path", seasonal.arima_path(
                 F.col("state"), F.col("p"), F.col("train"), days))
         parts.append(made.where(days > 0).select(
             "series_key", "train", "path", F.posexplode("test").alias("at", "day")).select(
@@ -189,7 +197,7 @@ def model_backtest(split, models=(SMOOTHING, ARIMA), params=None, refine=False):
 
 
 def forecast_demand(series, horizon=30, params=None):
-    """Forecast after the last day with a 95 % band, as whole numbers.
+    """Forecast after the last day with a 95 % band, as whole numbers, by smoothing.
 
     Additive smoothing with fixed ``params``, or with those of least squared error. The band comes
     from the one-step errors and widens with the distance; its lower end is not below 0. A series
@@ -199,7 +207,7 @@ def forecast_demand(series, horizon=30, params=None):
         F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))["y"]
         .alias("train"), F.max("ds").alias("last"))
     step = F.col("step")
-    made = fitted(whole, SMOOTHING, [params] if params else None).withColumn(
+    made = fitted(whole, SMOOTHING, params).withColumn(
         "step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     mean = seasonal.smoothing_ahead(F.col("state"), step)
     reach = seasonal.NORMAL_95 * seasonal.smoothing_spread(
@@ -218,24 +226,23 @@ def forecast_demand(series, horizon=30, params=None):
             f"fewer than {seasonal.SMOOTHING_DAYS} days")).alias("reason"))
 
 
-def forecast_arima(series, horizon=30):
-    """Forecast after the last day by a seasonal ARIMA fitted to the whole series.
+def forecast_arima(series, horizon=30, params=None):
+    """Forecast after the last day by a seasonal ARIMA fitted to the whole series.
 
-    The 95 % band comes from the mean squared residual and the summed squares of the psi weights;
-    otherwise like :func:`forecast_demand`.
+    ``params`` gives the parameters instead. The 95 % band comes from the mean square of the residuals
+    after the first eight and the summed squares of the psi weights; otherwise like :func:`forecast_demand`.
     """
     whole = series.groupBy("series_key").agg(
         F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))["y"]
         .alias("train"), F.max("ds").alias("last"))
-    made = fitted(whole, ARIMA, refine=True)
+    made = fitted(whole, ARIMA, params)
     path = seasonal.arima_path(F.col("state"), F.col("p"), F.col("train"), F.lit(horizon))
     made = made.withColumns({"path": path, "psi": seasonal.psi_weights(F.col("p"), horizon)})
     step = F.col("step")
     made = made.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     mean = F.get("path", step - 1)
     grown = F.aggregate(F.slice("psi", 1, step), F.lit(0.0), lambda a, x: a + x * x)
-    spread = F.col("state.sse") / (F.size("train") - seasonal.SEASON - 1)
-    reach = seasonal.NORMAL_95 * F.sqrt(spread * grown)
+    reach = seasonal.NORMAL_95 * F.sqrt(F.col("state.spread") * grown)
 
     def whole_number(value):
         return F.round(value).cast("bigint")

@@ -148,12 +148,18 @@ class Retail:
         return self._staged("department_days", lambda: forecasting.fill_days(
             forecasting.daily_volume_by(self.orders, self.lines, self.products)))
 
+    @cached_property
+    def product_days(self):
+        """Daily orders of every product, days without orders included."""
+        return self._staged("product_days", lambda: forecasting.intermittent_days(
+            forecasting.daily_volume_by(self.orders, self.lines, self.products, "product_id")))
+
     @cached_property
     def backtest(self):
         return forecasting.average_backtest(forecasting.holdout_split(self.timeline_days))
 
     @cached_property
     def demand_forecast(self):
-        """The platform's next 30 days by smoothing with fixed parameters."""
-        return self._staged("demand_forecast", lambda: forecasting.forecast_demand(
-            self.timeline_days, params=forecasting.FIXED).drop("series_key", "reason"))
+        """The platform's next 30 days by the seasonal ARIMA fitted to all its days."""
+        return self._staged("demand_forecast", lambda: forecasting.forecast_arima(
+            self.timeline_days).drop("series_key", "reason"))

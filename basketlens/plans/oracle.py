@@ -461,11 +461,8 @@ FROM series JOIN sizes USING (series_key) LEFT JOIN states USING (series_key)
 WHERE is_holdout"""
 
 
-GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.05, 0.2)
-        for g in (0.05, 0.2, 0.5)]
-
-#: The platform's next 30 days with a band from the one-step errors.
-FORECAST = _recursion("vol_f", "true") + """,
+#: The platform's next 30 days by smoothing, with a band from the one-step errors.
+SMOOTHED = _recursion("vol_f", "true") + """,
 ahead AS (
   SELECT h, level + h * trend + season[CAST((h - 1) % 7 + 1 AS BIGINT)] AS mean,
     1.959964 * sqrt(sse / n * (1 + coalesce((SELECT sum(power(alpha + alpha * beta * j
@@ -480,6 +477,152 @@ fc AS (
 """
 
 
+# --- seasonal ARIMA: the same descent, as recursions over lists ----------------------------
+
+POINT = ("phi", "theta", "sphi", "stheta")
+MISS = ("(x.w1 - phi * s.w1 - sphi * s.w7 + phi * sphi * s.w8 - theta * s.e1 - stheta * s.e7 "
+        "- theta * stheta * s.e8)")
+ZERO = "CAST(0 AS DOUBLE)"
+
+
+def _named_fields(fields):
+    return "{" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}"
+
+
+def _pushed(name, new):
+    """The newest of eight values of a sequence and the seven before it."""
+    return {f"{name}1": new} | {f"{name}{i}": f"s.{name}{i - 1}" for i in range(2, 9)}
+
+
+def _slope(name, source):
+    """Derivative of the error from that of its source; errors of the past depend on it too."""
+    return (f"({source} - theta * s.{name}1 - stheta * s.{name}7 "
+            f"- theta * stheta * s.{name}8)")
+
+
+#: Squared errors along the list, without the first one, which no parameter changes.
+ERRORS = _pushed("w", "x.w1") | _pushed("e", MISS) | {
+    "n": "s.n + 1", "sse": f"s.sse + CASE WHEN s.n > 0 THEN {MISS} * {MISS} ELSE 0 END",
+    "late": f"s.late + CASE WHEN s.n > 7 THEN {MISS} * {MISS} ELSE 0 END"}
+#: The same with gradient and normal matrix. Sums take the newest of the state, so they lag a step.
+SLOPES = (_pushed("w", "x.w1") | _pushed("e", MISS)
+          | _pushed("a", _slope("a", "sphi * s.w8 - s.w1"))
+          | _pushed("b", _slope("b", "-s.e1 - stheta * s.e8"))
+          | _pushed("c", _slope("c", "phi * s.w8 - s.w7"))
+          | _pushed("d", _slope("d", "-s.e7 - theta * s.e8"))
+          | {"n": "s.n + 1", "sse": "s.sse + CASE WHEN s.n > 1 THEN s.e1 * s.e1 ELSE 0 END"}
+          | {f"g{i}": f"s.g{i} + s.e1 * s.{v}1" for i, v in enumerate("abcd", 1)}
+          | {f"h{i}{j}": f"s.h{i}{j} + s.{v}1 * s.{u}1" for i, v in enumerate("abcd", 1)
+             for j, u in enumerate("abcd"[:i], 1)})
+
+
+def _folded(fields, values):
+    zeros = _named_fields({k: ZERO for k in fields})
+    return f"list_reduce({values}, lambda s, x: {_named_fields(fields)}, {zeros})"
+
+
+def _differences(fields):
+    start = {k: ZERO for k in fields} | {"w1": "y[i] - y[i - 1] - y[i - 7] + y[i - 8]"}
+    return f"list_transform(range(9, len(y) + 1), lambda i: {_named_fields(start)})"
+
+
+def _arima(source, where="true", horizon=30):
+    """CTEs ``best``: parameters and state per series, and ``path``: means and psi weights ahead."""
+    axis = "(SELECT unnest([-0.6, 0.0, 0.6]) AS v, generate_subscripts([1, 2, 3], 1) AS i)"
+    fixed = [f"({p} <= -0.98 AND g.g{i} > 0 OR {p} >= 0.98 AND g.g{i} < 0)"
+             for i, p in enumerate(POINT, 1)]
+    masked = [f"CASE WHEN f{i} THEN 0 ELSE g.g{i} END AS z{i}" for i in range(1, 5)]
+    for i in range(1, 5):
+        masked += [f"CASE WHEN f{i} OR f{j} THEN 0 ELSE g.h{i}{j} END AS m{i}{j}"
+                   for j in range(1, i)]
+        masked.append(f"CASE WHEN f{i} THEN 1 ELSE g.h{i}{i} * (1 + damp) + 1e-12 END AS m{i}{i}")
+    solved = """m11 AS d1, m21 / d1 AS l21, m31 / d1 AS l31, m41 / d1 AS l41,
+      m22 - l21 * l21 * d1 AS d2, (m32 - l31 * l21 * d1) / d2 AS l32,
+      (m42 - l41 * l21 * d1) / d2 AS l42, m33 - l31 * l31 * d1 - l32 * l32 * d2 AS d3,
+      (m43 - l41 * l31 * d1 - l42 * l32 * d2) / d3 AS l43,
+      m44 - l41 * l41 * d1 - l42 * l42 * d2 - l43 * l43 * d3 AS d4,
+      z1 AS y1, z2 - l21 * y1 AS y2, z3 - l31 * y1 - l32 * y2 AS y3,
+      z4 - l41 * y1 - l42 * y2 - l43 * y3 AS y4,
+      y4 / d4 AS x4, y3 / d3 - l43 * x4 AS x3, y2 / d2 - l32 * x3 - l42 * x4 AS x2,
+      y1 / d1 - l21 * x2 - l31 * x3 - l41 * x4 AS x1"""
+    moved = ", ".join(f"greatest(-0.98, least(0.98, {p} - x{i})) AS {p}"
+                      for i, p in enumerate(POINT, 1))
+    names = ", ".join(POINT)
+    held = ", ".join(f"CASE WHEN better THEN {p} ELSE old_{p} END AS {p}" for p in POINT)
+    olds = ", ".join(f"{p} AS old_{p}" for p in POINT)
+    last = "[" + ", ".join(f"t.{{0}}{i}" for i in range(8, 0, -1)) + "]"
+    return f""", ys AS (
+  SELECT series_key, list(CAST(y AS DOUBLE) ORDER BY ds) AS y, max(ds) AS last_day FROM {source}
+  WHERE {where} GROUP BY 1),
+ws AS MATERIALIZED (
+  SELECT series_key, y, last_day, {_differences(ERRORS)} AS w, {_differences(SLOPES)} AS wide FROM ys
+  WHERE len(y) >= 28),
+grid AS (
+  SELECT CAST(a.v AS DOUBLE) AS phi, CAST(b.v AS DOUBLE) AS theta, CAST(c.v AS DOUBLE) AS sphi,
+    CAST(d.v AS DOUBLE) AS stheta, a.i * 27 + b.i * 9 + c.i * 3 + d.i AS corner
+  FROM {axis} a, {axis} b, {axis} c, {axis} d),
+starts AS MATERIALIZED (
+  SELECT * FROM (SELECT series_key, {names}, row_number() OVER (
+      PARTITION BY series_key ORDER BY {_folded(ERRORS, "w")}.sse, corner) AS start FROM grid, ws)
+  WHERE start <= 4),
+descents AS MATERIALIZED (
+  WITH RECURSIVE r AS (
+    SELECT series_key, start, 0 AS round, {names},
+      {_folded(SLOPES, "list_append(wide, wide[1])")} AS g, CAST(0.001 AS DOUBLE) AS damp,
+      true AS open FROM starts JOIN ws USING (series_key)
+    UNION ALL
+    SELECT series_key, start, round + 1, {held}, CASE WHEN better THEN t ELSE g END AS g,
+      CASE WHEN better THEN damp / 5 ELSE damp * 4 END AS damp,
+      NOT (better AND 1 - t.sse / g.sse < 1e-12 OR NOT better AND damp * 4 > 1e9) AS open
+    FROM (SELECT *, t.sse < g.sse AS better FROM (
+      SELECT series_key, start, round, {names}, {", ".join(f"old_{p}" for p in POINT)}, g, damp,
+        {_folded(SLOPES, "list_append(wide, wide[1])")} AS t
+      FROM (SELECT series_key, start, round, g, damp, {olds}, {moved} FROM (
+        SELECT *, {solved} FROM (SELECT *, {", ".join(masked)} FROM (
+          SELECT *, {", ".join(f"{f} AS f{i}" for i, f in enumerate(fixed, 1))}
+          FROM r WHERE open AND round < 60)))) JOIN ws USING (series_key))))
+  SELECT * FROM r),
+best AS MATERIALIZED (
+  SELECT series_key, {names}, last_day, y, {_folded(ERRORS, "w")} AS t FROM (
+    SELECT series_key, {names}, row_number() OVER (PARTITION BY series_key ORDER BY g.sse, start)
+      AS place FROM (SELECT *, row_number() OVER (PARTITION BY series_key, start
+        ORDER BY round DESC) AS back FROM descents) WHERE back = 1)
+  JOIN ws USING (series_key) WHERE place = 1),
+path AS (
+  WITH RECURSIVE r AS (
+    SELECT series_key, {names}, 'mean' AS kind, 0 AS h, {last.format("w")} AS w,
+      {last.format("e")} AS e, y[len(y) - 7:] AS v FROM best
+    UNION ALL
+    SELECT series_key, {names}, 'psi', 0, u, u, u FROM best,
+      (SELECT CAST([0, 0, 0, 0, 0, 0, 0, 1] AS DOUBLE[]) AS u)
+    UNION ALL
+    SELECT series_key, {names}, kind, h + 1, list_append(w[2:], next), list_append(e[2:], {ZERO}),
+      list_append(v[2:], next + v[8] + v[2] - v[1]) FROM (
+      SELECT *, phi * w[8] + sphi * w[2] - phi * sphi * w[1] + theta * e[8] + stheta * e[2]
+        + theta * stheta * e[1] AS next FROM r WHERE h < {horizon}))
+  SELECT series_key, kind, h, v[8] AS value FROM r)"""
+
+
+def _arima_ahead(source):
+    return _arima(source) + """,
+ahead AS (
+  SELECT series_key, last_day, h, value AS mean, 1.959964 * sqrt(t.late / (t.n - 8) * (
+    SELECT sum(value * value) FROM path q WHERE q.series_key = p.series_key AND kind = 'psi'
+      AND q.h < p.h)) AS reach
+  FROM path p JOIN best USING (series_key) WHERE kind = 'mean' AND h > 0),
+fcs AS (
+  SELECT series_key, strftime(last_day + CAST(h AS INTEGER), '%Y-%m-%d') AS forecast_date,
+    CAST(round(mean) AS BIGINT) AS predicted_demand,
+    CAST(round(greatest(mean - reach, 0)) AS BIGINT) AS lower_ci_95,
+    CAST(round(mean + reach) AS BIGINT) AS upper_ci_95 FROM ahead),
+fc AS (SELECT * EXCLUDE (series_key) FROM fcs)
+"""
+
+
+#: The platform's next 30 days from the seasonal ARIMA fitted to all of them.
+FORECAST = _arima_ahead("vol_f")
+
+
 def _boxplot():
     q = ", ".join(f"quantile_cont(up_order_rate, {p}) AS {n}" for n, p in
                   [("minimum", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75),
@@ -783,8 +926,23 @@ ORDER BY pair_hash, user_id, product_id LIMIT 20000""",
     "t5_average_backtest": "SELECT * REPLACE (round(predicted, 4) AS predicted, "
                            "CAST(ds AS VARCHAR) AS ds) FROM sma",
     "t6_smoothing_fixed": _smoothing("vol_h"),
-    "t6_smoothing_fitted": _smoothing("vol_h", GRID),
+    "t6_smoothing_forecast": SMOOTHED + "SELECT * FROM fc",
+    "t7_arima": _arima("vol_h", "NOT is_holdout") + """
+SELECT series_key, 'Seasonal ARIMA' AS model, CAST(ds AS VARCHAR) AS ds, CAST(y AS DOUBLE) AS y,
+  round(value, 3) AS predicted
+FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds) AS h FROM vol_h
+  WHERE is_holdout) JOIN path USING (series_key, h) WHERE kind = 'mean'""",
+    "t12_forecast": _arima_ahead("dept_f") + "SELECT *, CAST(NULL AS VARCHAR) AS reason FROM fcs",
     "t8_forecast": FORECAST + "SELECT * FROM fc",
+    "t12_product_series": """, prodvol AS (
+  SELECT product_id, order_date AS ds, count(DISTINCT l.order_id) AS y
+  FROM d_lines l JOIN d_orders o ON l.order_id = o.order_id GROUP BY 1, 2)
+SELECT CAST(product_id AS VARCHAR) AS series_key, CAST(min(ds) AS VARCHAR) AS first_day,
+  CAST((SELECT max(ds) FROM prodvol) - min(ds) + 1 AS BIGINT) AS days,
+  CAST(sum(y) AS BIGINT) AS volume, CAST(count(*) AS BIGINT) AS active_days,
+  CAST(max(y) AS BIGINT) AS largest_day,
+  CASE WHEN (SELECT max(ds) FROM prodvol) - min(ds) + 1 < 28 THEN 'fewer than 28 days' END AS reason
+FROM prodvol GROUP BY 1""",
     "t12_smoothing_aisles": _smoothing("aisle_h"),
     "t9_average_errors": _errors("sma"),
     "t11_horizon": HORIZON.format(days=14),

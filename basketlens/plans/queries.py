@@ -214,12 +214,12 @@ def t6_smoothing_fixed(r):
 
 
 def t6_smoothing_fitted(r):
-    return _models_of(_platform_split(r), (forecasting.SMOOTHING,), refine=True)
+    return _models_of(_platform_split(r), (forecasting.SMOOTHING,))
 
 
 def _all_models(split):
     found = forecasting.average_backtest(split).unionByName(
-        forecasting.model_backtest(split, refine=True).drop("reason"))
+        forecasting.model_backtest(split).drop("reason"))
     return forecasting.forecast_leaderboard(forecasting.forecast_errors(found))
 
 
@@ -481,8 +481,10 @@ CATALOGUE = {
         _platform_split(r), (forecasting.AVERAGE,))),
     "t6_smoothing_fixed": (PRODUCT, t6_smoothing_fixed),
     "t6_smoothing_fitted": (PRODUCT, t6_smoothing_fitted),
-    "t7_arima": (PRODUCT, lambda r: _models_of(
-        _platform_split(r), (forecasting.ARIMA,), refine=True)),
+    "t6_smoothing_forecast": (PRODUCT, lambda r: forecasting.forecast_demand(
+        r.timeline_days, params=forecasting.FIXED).drop("series_key", "reason")),
+    "t7_arima": (PRODUCT, lambda r: _rounded(forecasting.model_backtest(
+        _platform_split(r), (forecasting.ARIMA,)), 3, "predicted").drop("reason")),
     "t8_forecast": (PRODUCT, lambda r: r.demand_forecast),
     "t9_average_errors": (PRODUCT, lambda r: forecasting.forecast_errors(r.backtest)),
     "t10_leaderboard": (PRODUCT, t10_leaderboard),
@@ -494,6 +496,8 @@ CATALOGUE = {
     "t12_leaderboard": (PRODUCT, t12_leaderboard),
     "t12_smoothing_aisles": (PRODUCT, t12_smoothing_aisles),
     "t12_forecast": (PRODUCT, lambda r: forecasting.forecast_arima(r.department_days)),
+    "t12_product_series": (PRODUCT, lambda r: forecasting.series_report(r.product_days)),
+    "t12_product_forecast": (PRODUCT, lambda r: forecasting.forecast_arima(r.product_days)),
     # graph
     "h1_nodes": (PRODUCT, h1_nodes),
     "h2_taxonomy_edges": (PRODUCT, _edges),

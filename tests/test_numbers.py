@@ -7,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from basketlens.functions import seasonal
+from basketlens.functions import fitting, seasonal
+from basketlens.functions.packing import packs
 from basketlens.functions.prefix import exact_quantiles, running_totals, smallest_n
 from basketlens.operators import forecasting, metrics
 
@@ -154,22 +155,56 @@ def test_smoothing_equals_a_plain_loop(spark):
     assert found["predicted"].tolist() == pytest.approx(wanted)
 
 
-def test_fitted_smoothing_is_the_best_candidate(spark):
-    y = weekly(80, noise=4)
-
-    def error(params):
-        level, trend, *season = simple_start(y[:50])
-        total = 0.0
-        for t, v in enumerate(y[:50]):
+def smoothing_error(y, params, start):
+    """Squared one-step errors of additive smoothing in the error-correcting form."""
+    level, trend, *season = start
+    total = 0.0
+    for t, v in enumerate(y):
+        miss = v - level - trend - season[t % 7]
+        level, trend = level + trend + params[0] * miss, trend + params[0] * params[1] * miss
+        season[t % 7] += params[2] * miss
+        total += miss * miss
+    return total
+
+
+def solved_start(y, params):
+    """Starting states of least squared error by brute force: the errors of unit states are linear."""
+    def errors(values, start):
+        level, trend, *season = start
+        found = []
+        for t, v in enumerate(values):
             miss = v - level - trend - season[t % 7]
             level, trend = level + trend + params[0] * miss, trend + params[0] * params[1] * miss
             season[t % 7] += params[2] * miss
-            total += miss * miss
-        return total
+            found.append(miss)
+        return found
+    unit = np.array([errors(np.zeros(len(y)), row) for row in np.eye(9)]).T
+    return np.linalg.lstsq(-unit, np.array(errors(y, np.zeros(9))), rcond=None)[0]
 
-    best = min(seasonal.SMOOTHING_GRID, key=error)
-    wanted = loop_smoothing(y[:50], *best, simple_start(y[:50]), 30)
-    assert backtest(spark, y, forecasting.SMOOTHING)["predicted"].tolist() == pytest.approx(wanted)
+
+def test_fitted_smoothing_beats_every_candidate_and_start(spark):
+    y = weekly(80, noise=4)
+    frame = spark.createDataFrame([("a", y[:50].tolist())], "series_key string, train array<double>")
+    fit = forecasting.fitted(frame, forecasting.SMOOTHING).first()
+    grid = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.05, 0.2) for g in (0.05, 0.2, 0.5)]
+    best = min(smoothing_error(y[:50], p, simple_start(y[:50])) for p in grid)
+    freest = min(smoothing_error(y[:50], p, solved_start(y[:50], p)) for p in grid)
+    found = tuple(fit["p"])
+    start = solved_start(y[:50], found)
+    assert fit["state"]["sse"] == pytest.approx(smoothing_error(y[:50], found, start), rel=1e-6)
+    assert fit["state"]["sse"] <= min(best, freest) * (1 + 1e-9)
+    level, trend, season = (fit["state"][n] for n in ("level", "trend", "season"))
+    ahead = [level + h * trend + season[(h - 1) % 7] for h in range(1, 31)]
+    assert backtest(spark, y, forecasting.SMOOTHING)["predicted"].tolist() == pytest.approx(ahead)
+
+
+def test_smoothing_of_aligned_series_equals_each_alone():
+    rng = np.random.default_rng(4)
+    many = [weekly(n, noise=5, seed=n) for n in (14, 15, 30, 71, 200)] + [rng.poisson(0.2, 90) * 1.0]
+    together = fitting.fit_smoothing(many)
+    for i, y in enumerate(many):
+        for a, b in zip(together, fitting.fit_smoothing([y])):
+            assert a[i] == pytest.approx(b[0], rel=1e-5, abs=1e-5)
 
 
 def loop_arima(y, params, horizon):
@@ -197,25 +232,97 @@ def loop_arima(y, params, horizon):
     return total, y[-horizon:]
 
 
+ARIMA_GRID = [(p, q, sp, sq) for p in (-0.8, -0.4, 0.0, 0.4, 0.8) for q in (-0.8, -0.4, 0.0, 0.4, 0.8)
+              for sp in (-0.8, -0.4, 0.0, 0.4, 0.8) for sq in (-0.8, -0.4, 0.0, 0.4, 0.8)]
+
+
 def test_arima_equals_a_plain_loop(spark):
     y = weekly(90, noise=5)
-    best = min(seasonal.ARIMA_GRID, key=lambda p: loop_arima(y[:60], p, 1)[0])
-    wanted = loop_arima(y[:60], best, 30)[1]
+    frame = spark.createDataFrame([("a", y[:60].tolist())], "series_key string, train array<double>")
+    fit = forecasting.fitted(frame, forecasting.ARIMA).first()
+    error, wanted = loop_arima(y[:60], tuple(fit["p"]), 30)
+    assert fit["state"]["sse"] == pytest.approx(error)
     assert backtest(spark, y, forecasting.ARIMA)["predicted"].tolist() == pytest.approx(wanted)
+    given = forecasting.fitted(frame, forecasting.ARIMA, tuple(fit["p"])).first()["state"]
+    for name in ("w", "e", "sse", "spread"):
+        assert given[name] == pytest.approx(fit["state"][name])
 
 
-def test_arma_recovers_known_parameters(spark):
-    known, rng = (0.6, 0.2, 0.5, -0.3), np.random.default_rng(7)
+def simulated(known, n, seed):
     phi, theta, sphi, stheta = known
-    n = 1500
-    e, w, y = rng.normal(size=n), np.zeros(n), np.zeros(n)
+    e, w, y = np.random.default_rng(seed).normal(size=n), np.zeros(n), np.zeros(n)
     for t in range(8, n):
         w[t] = (phi * w[t - 1] + sphi * w[t - 7] - phi * sphi * w[t - 8] + e[t]
                 + theta * e[t - 1] + stheta * e[t - 7] + theta * stheta * e[t - 8])
         y[t] = w[t] + y[t - 1] + y[t - 7] - y[t - 8]
-    frame = spark.createDataFrame([("a", y.tolist())], "series_key string, train array<double>")
-    found = forecasting.fitted(frame, forecasting.ARIMA, refine=True).first()["p"]
-    assert list(found) == pytest.approx(known, abs=0.1)
+    return y
+
+
+def test_arma_recovers_known_parameters(spark):
+    known = [(0.6, 0.2, 0.5, -0.3), (-0.5, -0.4, 0.2, -0.7), (0.3, -0.8, -0.4, -0.5)]
+    frame = spark.createDataFrame([(str(i), simulated(k, 4000, i + 7).tolist()) for i, k in enumerate(
+        known)], "series_key string, train array<double>")
+    found = forecasting.fitted(frame, forecasting.ARIMA).orderBy("series_key").collect()
+    for row, wanted in zip(found, known):
+        assert list(row["p"]) == pytest.approx(wanted, abs=0.05)
+
+
+def test_arima_beats_the_grid_on_every_series():
+    rng = np.random.default_rng(2)
+    many = [simulated((0.5, -0.4, 0.3, -0.6), 300, 1), weekly(200, noise=8), weekly(28, noise=3),
+            rng.poisson(0.05, 400) * 1.0, np.zeros(60), np.cumsum(rng.normal(size=150)),
+            np.concatenate([[500.0], rng.poisson(3, 100)])]
+    points, errors, *_ = fitting.fit_arima(many)
+    for y, point, error in zip(many, points, errors):
+        best = min(loop_arima(y, p, 0)[0] for p in ARIMA_GRID)
+        assert error <= best * 1.001 + 1e-9
+        assert loop_arima(y, tuple(point), 0)[0] == pytest.approx(error)
+
+
+def test_packs_hold_whole_series_of_like_length_and_equal_work(spark):
+    rng = np.random.default_rng(6)
+    sizes = [(i, int(n)) for i, n in enumerate(rng.integers(1, 100, 3000))] + [(3000, 4000)]
+    found, count = packs(spark.createDataFrame(sizes, "k long, size int"), "k", 5000)
+    work, length = {}, dict(sizes)
+    for row in found.collect():
+        work.setdefault(row["pack"], []).append(length[row["k"]])
+    assert sum(map(len, work.values())) == 3001 and len(work) <= count
+    full = [sum(w) for p, w in sorted(work.items())][:-1]
+    assert all(4800 <= w <= 5200 for w in full[:-1])
+    order = sorted(work)
+    assert all(max(work[a]) <= min(work[b]) for a, b in zip(order, order[1:]))
+
+
+def test_forecasts_by_product_equal_each_alone(spark):
+    rng = np.random.default_rng(9)
+    lengths = [200, 20, 28, 75, 400] * 6
+    made = {str(i): rng.poisson(0.3, n) * 1.0 for i, n in enumerate(lengths)}
+    days = series(spark, [0.0], "x").limit(0)
+    frame = spark.createDataFrame(
+        [(k, y.tolist()) for k, y in made.items()], "series_key string, ys array<double>").select(
+        "series_key", F.posexplode("ys").alias("t", "y")).select(
+        "series_key", F.date_add(F.lit("2025-01-01").cast("date"), F.col("t")).alias("ds"), "y")
+    found = forecasting.forecast_arima(days.unionByName(frame), 5).collect()
+    assert len(found) == 5 * len(made)
+    for row in found:
+        y = made[row["series_key"]]
+        if len(y) < 28:
+            assert row["reason"] == "fewer than 28 days" and row["predicted_demand"] is None
+            continue
+        points = fitting.fit_arima([y])[0][0]
+        assert row["reason"] is None
+        ahead = loop_arima(y, tuple(points), 5)[1]
+        step = (np.datetime64(row["forecast_date"]) - np.datetime64("2025-01-01")).astype(int) - len(y)
+        assert abs(row["predicted_demand"] - ahead[step]) <= 0.51
+
+
+def test_days_without_orders_are_zero_to_the_end(spark):
+    both = series(spark, [1, 2, 3]).where("y <> 2").unionByName(series(spark, [4], "b", "2025-01-05"))
+    found = forecasting.intermittent_days(both)
+    assert rows(found.where("series_key = 'a'"), "y") == [(0.0,), (0.0,), (0.0,), (1.0,), (3.0,)]
+    report = forecasting.series_report(found, 5).orderBy("series_key").collect()
+    assert [(r["days"], r["volume"], r["active_days"], r["reason"]) for r in report] == [
+        (5, 4.0, 2, None), (1, 4.0, 1, "fewer than 5 days")]
 
 
 def test_psi_weights_equal_an_impulse_response(spark):
@@ -236,10 +343,10 @@ def test_arima_forecast_refits_the_whole_series(spark):
     both = series(spark, y).unionByName(series(spark, [3, 4, 5], "b"))
     found = forecasting.forecast_arima(both, 10).orderBy("series_key", "forecast_date").toPandas()
     a, b = found[found["series_key"] == "a"], found[found["series_key"] == "b"]
-    best = min(loop_arima(y, p, 1)[0] for p in seasonal.ARIMA_GRID)
+    best = min(loop_arima(y, p, 1)[0] for p in ARIMA_GRID)
     frame = spark.createDataFrame([("a", [float(v) for v in y])],
                                   "series_key string, train array<double>")
-    fit = forecasting.fitted(frame, forecasting.ARIMA, refine=True).first()
+    fit = forecasting.fitted(frame, forecasting.ARIMA).first()
     assert fit["state"]["sse"] <= best
     assert a["predicted_demand"].tolist() == pytest.approx(
         loop_arima(y, tuple(fit["p"]), 10)[1], abs=0.51)
