@@ -20,10 +20,10 @@ SMOOTHING_BOUNDS, ARIMA_BOUNDS = (0.001, 0.999), (-0.98, 0.98)
 #: Starting points of the descents (every combination), and how many of the best go on.
 SMOOTHING_STARTS = ((0.05, 0.3, 0.8), (0.01, 0.2), (0.05, 0.3))
 ARIMA_STARTS = ((-0.6, 0.0, 0.6),) * 4
-ARIMA_KEPT, SMOOTHING_KEPT = 4, 2
+ARIMA_KEPT, SMOOTHING_KEPT = 2, 2
 ROUNDS = 60
 #: Values of a pack that are worked on at once; more would not stay in a core's cache.
-VALUES = 1 << 17
+VALUES = 1 << 15
 
 
 def aligned(series):
@@ -34,7 +34,7 @@ def aligned(series):
     return wide
 
 
-def descended(model, points, low, high, rounds=ROUNDS, least_gain=1e-12):
+def descended(model, points, low, high, rounds=ROUNDS, least_gain=1e-9):
     """Levenberg-Marquardt inside a box for many problems side by side.
 
     ``model(points, rows)`` gives the residuals (n x days) and their derivatives (n x parameters x

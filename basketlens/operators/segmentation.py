@@ -1,16 +1,13 @@
 """Customer segments: scaling, k-means, personas and profiles."""
 
-from functools import partial
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from basketlens.functions.columns import first_match, share_pct, spread
-from basketlens.functions.parallel import run_all
-from basketlens.functions.prefix import exact_quantiles
+from basketlens.functions import lloyd
+from basketlens.functions.columns import first_match, key_hash, share_pct
+from basketlens.functions.prefix import exact_quantiles, smallest_n
 
 FEATURES = ["user_total_orders", "user_avg_order_interval", "user_avg_basket_size",
             "user_reorder_rate", "user_unique_departments", "user_days_since_last_order"]
@@ -37,67 +34,64 @@ def scale_features(customer_features, columns=tuple(FEATURES)):
         .otherwise(F.lit(0.0)).alias(f"z_{c}") for c in columns])
 
 
-def _vectors(scaled, columns):
-    return VectorAssembler(inputCols=[f"z_{c}" for c in columns],
-                           outputCol="features").transform(scaled)
-
-
-def _best_fits(data, ks, n_init, max_iter, seed, parallelism):
-    """The cheapest of ``n_init`` fits for every k; all fits are submitted side by side."""
-    def fit(k, start):
-        return KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features",
-                      predictionCol="label").fit(data)
-
-    runs = [(k, i) for k in ks for i in range(n_init)]
-    models = run_all(data.sparkSession, [partial(fit, *run) for run in runs], parallelism)
-    best = {}
-    for (k, _), model in zip(runs, models):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
+@contextmanager
+def _held(scaled, columns):
+    """The scaled columns kept while models pass over them; partitions follow the data."""
+    data = scaled.select(*[F.col(f"z_{c}").cast("double").alias(f"z_{c}") for c in columns],
+                         F.xxhash64("user_id").alias(lloyd.HASH)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
 
 
 def evaluate_k(scaled, k_range=range(2, 8), n_init=10, max_iter=300, seed=42,
-               parallelism=8, columns=tuple(FEATURES)):
-    """Inertia and silhouette per k.
+               columns=tuple(FEATURES), sample=lloyd.SAMPLE):
+    """Inertia and two silhouettes per k.
 
-    The silhouette uses squared Euclidean distance, which needs only sums per cluster, so
-    it covers all customers instead of a sample.
+    All starts of all k move in the same passes over the customers. ``silhouette`` has squared
+    distances, which need only sums per cluster, and covers all customers; ``silhouette_euclidean``
+    has plain distances between all pairs of a hashed sample of at most ``sample`` customers.
     """
-    data = (spread(_vectors(scaled, columns).select("user_id", "features"), "user_id")
-            .select("features").persist(StorageLevel.MEMORY_AND_DISK))
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="label")
-    try:
-        best = _best_fits(data, list(k_range), n_init, max_iter, seed, parallelism)
-        rows = run_all(scaled.sparkSession, [
-            lambda k=k, m=model: (k, round(float(m.summary.trainingCost), 2),
-                                  round(float(evaluator.evaluate(m.transform(data))), 4))
-            for k, model in best.items()], parallelism)
-    finally:
-        data.unpersist()
+    names, ks = [f"z_{c}" for c in columns], list(k_range)
+    with _held(scaled, columns) as data:
+        best = lloyd.best_by_k(data, names, ks, n_init, max_iter, seed)
+        models = [best[k][0] for k in ks]
+        squared = lloyd.squared_silhouettes(data, names, models)
+    drawn = smallest_n(scaled.select("user_id", *[F.col(n).cast("double").alias(n) for n in names]),
+                       key_hash("user_id"), sample, ["user_id"])
+    plain = lloyd.euclidean_silhouettes(drawn, names, models)
+
+    def rounded(value, digits):
+        return None if value is None else round(value, digits)
+
+    rows = [(k, rounded(best[k][1], 2), rounded(a, 4), rounded(b, 4))
+            for k, a, b in zip(ks, squared, plain)]
     return scaled.sparkSession.createDataFrame(
-        rows, "k bigint, inertia double, silhouette double")
+        rows, "k bigint, inertia double, silhouette double, silhouette_euclidean double")
 
 
-def fit_clusters(scaled, k=4, n_init=15, max_iter=300, seed=42, parallelism=8,
-                 columns=tuple(FEATURES)):
+def fit_clusters(scaled, k=4, n_init=15, max_iter=300, seed=42, columns=tuple(FEATURES)):
     """Assign a cluster to every customer.
 
     Clusters are renumbered by their centres, largest first feature first, so numbers do
     not depend on the fit's own order.
     """
-    data = (spread(_vectors(scaled, columns).select("user_id", "features"), "user_id")
-            .select("features").persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        model = _best_fits(data, [k], n_init, max_iter, seed, parallelism)[k]
-    finally:
-        data.unpersist()
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i], reverse=True)
-    numbers = F.array(*[F.lit(order.index(i)) for i in range(len(centres))])
+    names = [f"z_{c}" for c in columns]
+    with _held(scaled, columns) as data:
+        centres, _ = lloyd.best_by_k(data, names, [k], n_init, max_iter, seed)[k]
+    return assign_clusters(scaled, sorted(map(tuple, centres.tolist()), reverse=True), columns)
+
+
+def assign_clusters(scaled, centres, columns=tuple(FEATURES)):
+    """Number of the nearest of the given ``centres``, the first of equally near ones."""
+    def distance(centre):
+        return sum((F.pow(F.col(f"z_{c}") - F.lit(v), 2) for c, v in zip(columns, centre)), F.lit(0.0))
+
+    nearest = F.array_min(F.array(*[F.struct(distance(c).alias("distance"), F.lit(i).alias("cluster"))
+                                    for i, c in enumerate(centres)]))
     keep = [c for c in scaled.columns if not c.startswith("z_")]
-    return (model.transform(_vectors(scaled, columns))
-            .select(*keep, F.get(numbers, F.col("label")).alias("cluster")))
+    return scaled.select(*keep, nearest["cluster"].alias("cluster"))
 
 
 def cluster_profile(labelled, columns=tuple(FEATURES)):

@@ -564,7 +564,7 @@ grid AS (
 starts AS MATERIALIZED (
   SELECT * FROM (SELECT series_key, {names}, row_number() OVER (
       PARTITION BY series_key ORDER BY {_folded(ERRORS, "w")}.sse, corner) AS start FROM grid, ws)
-  WHERE start <= 4),
+  WHERE start <= 2),
 descents AS MATERIALIZED (
   WITH RECURSIVE r AS (
     SELECT series_key, start, 0 AS round, {names},
@@ -573,7 +573,7 @@ descents AS MATERIALIZED (
     UNION ALL
     SELECT series_key, start, round + 1, {held}, CASE WHEN better THEN t ELSE g END AS g,
       CASE WHEN better THEN damp / 5 ELSE damp * 4 END AS damp,
-      NOT (better AND 1 - t.sse / g.sse < 1e-12 OR NOT better AND damp * 4 > 1e9) AS open
+      NOT (better AND 1 - t.sse / g.sse < 1e-9 OR NOT better AND damp * 4 > 1e9) AS open
     FROM (SELECT *, t.sse < g.sse AS better FROM (
       SELECT series_key, start, round, {names}, {", ".join(f"old_{p}" for p in POINT)}, g, damp,
         {_folded(SLOPES, "list_append(wide, wide[1])")} AS t
