@@ -5,12 +5,13 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from basketlens.functions import newton
 from basketlens.functions.columns import key_hash, pair_hash, spread
 from basketlens.functions.parallel import run_all
 from basketlens.functions.prefix import smallest_n
@@ -65,22 +66,13 @@ def _ready(rows):
     return rows.na.fill(0, FEATURES)
 
 
-def fit_logistic(train, max_iter=1000, c=1.0):
-    """Standardised logistic regression with balanced class weights.
+def fit_logistic(train, max_iter=100, c=1.0):
+    """Standardised logistic regression with balanced class weights, by Newton steps.
 
-    The scaler is fitted on the training rows only. ``c`` is the inverse L2 strength against
-    the summed loss; Spark averages the loss, hence the division by the row count.
+    Means and deviations come from the training rows only. ``c`` is the inverse L2 strength against
+    the summed loss.
     """
-    sizes = {r["target"]: r["count"] for r in train.groupBy("target").count().collect()}
-    n = sum(sizes.values())
-    weights = [F.lit(x) for t, m in sizes.items() for x in (t, n / (len(sizes) * m))]
-    weighted = _ready(train).withColumn(
-        "weight", F.element_at(F.create_map(*weights), F.col("target")))
-    stages = [_assembler(),
-              StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
-              LogisticRegression(labelCol="target", weightCol="weight", maxIter=max_iter,
-                                 regParam=1.0 / (c * n), standardization=False)]
-    return Pipeline(stages=stages).fit(weighted)
+    return newton.fit_logistic(_ready(train), FEATURES, max_iter, c)
 
 
 def fit_forest(train, trees=80, depth=10, seed=42):
@@ -101,6 +93,9 @@ def fit_boosted(train, rounds=150, rate=0.05, depth=5, seed=42):
 def score(model, rows, name="model"):
     """Purchase probability of every row."""
     keep = [c for c in ("user_id", "product_id", "target") if c in rows.columns]
+    if isinstance(model, newton.LogisticModel):
+        return _ready(rows).select(*keep, F.lit(name).alias("model"),
+                                   model.probability().alias("score"))
     return model.transform(_ready(rows)).select(
         *keep, F.lit(name).alias("model"),
         vector_to_array("probability")[1].alias("score"))
@@ -146,8 +141,16 @@ def feature_importances(spark, model):
 
 
 def save_model(model, path):
-    model.write().overwrite().save(path)
+    if isinstance(model, newton.LogisticModel):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path):
-    return PipelineModel.load(path)
+    """A saved model of either kind; a table of weights has no metadata folder."""
+    spark = SparkSession.active()
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "metadata")
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return PipelineModel.load(path)
+    return newton.LogisticModel.load(path)

@@ -2,13 +2,15 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import functions as F
 
 from basketlens.functions import lloyd
-from basketlens.operators import segmentation
+from basketlens.functions.newton import fit_logistic
+from basketlens.operators import prediction, segmentation
 
 COLUMNS = ["x", "y"]
 
@@ -90,3 +92,36 @@ def test_odd_inputs_of_the_sweep(spark):
     assert [r["silhouette"] for r in segmentation.evaluate_k(none, range(2, 4), n_init=1).collect()] == [
         None, None]
     assert segmentation.fit_clusters(none, k=2, n_init=1).count() == 0
+
+
+def test_newton_equals_sparks_logistic_regression(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(3, 2, 3000), rng.exponential(10, 3000), rng.normal(size=3000)])
+    y = (rng.random(3000) < 1 / (1 + np.exp(3 - 0.5 * x[:, 0] - 0.1 * x[:, 1] + x[:, 2]))).astype(int)
+    frame = spark.createDataFrame([(*map(float, r), int(t)) for r, t in zip(x, y)],
+                                  "a double, b double, c double, target int").repartition(3)
+    model = fit_logistic(frame, ["a", "b", "c"])
+    n, ones = 3000, int(y.sum())
+    weighted = frame.withColumn("weight", F.when(F.col("target") == 1, n / (2 * ones)).otherwise(
+        n / (2 * (n - ones))))
+    scaled = VectorAssembler(inputCols=["a", "b", "c"], outputCol="raw").transform(weighted)
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(scaled)
+    other = LogisticRegression(labelCol="target", weightCol="weight", maxIter=1000, tol=1e-12,
+                               regParam=1.0 / n, standardization=False).fit(scaler.transform(scaled))
+    wanted = other.coefficients.toArray() / scaler.std.toArray()
+    assert model.weights == pytest.approx(wanted.tolist(), abs=1e-4)
+    assert model.intercept == pytest.approx(other.intercept - wanted @ scaler.mean.toArray(), abs=1e-4)
+    scored = frame.select("*", model.probability().alias("p")).collect()
+    assert [r["p"] for r in scored] == pytest.approx(
+        [1 / (1 + np.exp(-model.intercept - np.dot(model.weights, r[:3]))) for r in scored])
+    prediction.save_model(model, str(tmp_path / "m"))
+    again = prediction.load_model(str(tmp_path / "m"))
+    assert (again.features, again.weights, again.intercept) == (
+        model.features, model.weights, model.intercept)
+
+
+def test_newton_on_odd_rows(spark):
+    schema = "a double, b double, target int"
+    for rows in ([], [(1.0, 2.0, 1)], [(1.0, 2.0, 0), (1.0, 2.0, 0)], [(1.0, 5.0, 1), (1.0, -5.0, 0)] * 3):
+        model = fit_logistic(spark.createDataFrame(rows, schema), ["a", "b"])
+        assert np.isfinite([*model.weights, model.intercept]).all()
