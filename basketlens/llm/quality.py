@@ -21,7 +21,8 @@ def chunked(texts):
     """(windows, first chunk of each text) of byte strings; None counts as empty.
 
     A chunk has ``CHUNK`` positions; its window also holds the first bytes of the next chunk, so
-    that windows overlap and every filter position of a text lies in one chunk. Texts end in zeros.
+    that windows overlap and every filter position of a text lies in one chunk. Texts end in zeros,
+    and the last window of a text sees zeros instead of the text that follows.
     """
     sizes = [len(t or b"") for t in texts]
     chunks = np.array([max(1, -(-(n + WIDTH - 1) // CHUNK)) for n in sizes])
@@ -32,7 +33,9 @@ def chunked(texts):
             flat[start * CHUNK:start * CHUNK + len(text)] = text
     flat = np.frombuffer(bytes(flat), np.uint8)
     windows = np.lib.stride_tricks.sliding_window_view(flat, CHUNK + WIDTH - 1)[::CHUNK]
-    return windows[:int(chunks.sum())], starts
+    windows = windows[:int(chunks.sum())].copy()
+    windows[starts + chunks - 1, CHUNK:] = 0
+    return windows, starts
 
 
 def _unfolded(weights, window):

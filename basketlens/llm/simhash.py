@@ -44,14 +44,17 @@ def _fingerprints(batches, width):
     for batch in batches:
         values = [text_fingerprint(x, width) for x in raw_bytes(batch["text"])]
         signed = np.array(values, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(signed)], ["doc_id", "fp"])
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([batch[n] for n in names] + [pa.array(signed)], names + ["fp"])
 
 
-def fingerprints(docs, width=SHINGLE):
-    """(doc_id, fp) of all rows; fp is the fingerprint as a signed long."""
+def fingerprints(docs, width=SHINGLE, hashed=False):
+    """(doc_id, fp) of all rows; fp is the fingerprint as a signed long. ``hashed`` adds the text's hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        partial(_fingerprints, width=width), f"doc_id {kind}, fp long")
+    mark = [F.xxhash64("text").alias("mark")] if hashed else []
+    return docs.select("doc_id", *mark, "text").mapInArrow(
+        partial(_fingerprints, width=width),
+        f"doc_id {kind}, " + "mark long, " * hashed + "fp long")
 
 
 # --- anchors -----------------------------------------------------------------------------------
@@ -190,21 +193,35 @@ def near_duplicates(docs, width=SHINGLE, bits=BITS):
     an empty result. Equal fingerprints become one before the anchors, so copies cost one row.
     """
     marked = written(fingerprints(docs, width), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    labels = components(link_fingerprints(distinct.select("fp"), bits))
-    joined = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label"))
+    joined = _labelled(marked, bits)
     smallest = joined.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = joined.join(smallest, "label").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def _labelled(marked, bits):
+    """(fp, least, label): each fingerprint with its smallest doc_id and its component's label."""
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    labels = components(link_fingerprints(distinct.select("fp"), bits))
+    return distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label"))
+
+
 def keep_representatives(docs, width=SHINGLE, bits=BITS):
-    """The rows of docs that stay: of each group the row with the smallest doc_id.
+    """The rows of docs that stay: one of each group of linked texts.
 
-    Rows without a doc_id stay. Of rows repeated with the same doc_id one stays.
+    It is the row with the smallest doc_id, and of several texts under that id the one whose hash is
+    smallest; rows without a doc_id come last. Of rows equal in id and text one stays. So a row goes
+    only where an equal or linked text stays, also if ids repeat or are missing.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), width, bits)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    marked = written(fingerprints(docs, width, hashed=True), "fingerprints")
+    labels = _labelled(marked, bits).select("fp", "label")
+    # Copies are one row before they meet their label; a group's rows are reduced in the tasks.
+    rows = marked.groupBy("fp").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("first"))
+    chosen = written(rows.join(labels, "fp").groupBy("label").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("_chosen_id"), F.col("first.mark").alias("_chosen_mark")), "chosen")
+    same = (docs["doc_id"].eqNullSafe(chosen["_chosen_id"])
+            & (F.xxhash64(docs["text"]) == chosen["_chosen_mark"]))
+    kept = docs.join(chosen, same, "left_semi").withColumn("_chosen_text", F.xxhash64("text"))
+    return kept.dropDuplicates(["doc_id", "_chosen_text"]).drop("_chosen_text")

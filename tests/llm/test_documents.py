@@ -77,18 +77,39 @@ def test_network_tells_held_out_labels_apart(spark):
     assert found["score"].between(0, 1).all()
 
 
-def test_every_position_lies_in_one_chunk():
+def test_pooling_equals_a_plain_loop_over_positions():
     rng = np.random.default_rng(2)
     weights = quality.train([], [])
-    for size in (0, 1, 5, 250, 251, 256, 257, 1000):
+    for size in (0, 1, 5, 250, 251, 252, 256, 257, 507, 1000):
         text = bytes(rng.integers(1, 256, size).tolist())
-        windows, starts = quality.chunked([b"before", text, b"after"])
+        windows, starts = quality.chunked([b"before", text, b"after" * 100])
         found = quality.pooled(quality.activations(weights, windows)[0], starts)[1]
+        chunks = max(1, math.ceil((size + quality.WIDTH - 1) / quality.CHUNK))
         padded = np.frombuffer(text + b"\0" * 600, np.uint8)
-        at = np.arange(max(size, 1))[:, None] + np.arange(quality.WIDTH)
+        at = np.arange(chunks * quality.CHUNK)[:, None] + np.arange(quality.WIDTH)
         plain = weights["embed"][padded[at]].reshape(len(at), -1) @ weights["filters"]
-        wanted = np.maximum(plain.max(axis=0), 0)
-        assert (found[:quality.FILTERS] >= wanted - 1e-5).all()
+        best = np.maximum(plain.reshape(chunks, quality.CHUNK, -1).max(axis=1), 0)
+        assert found == pytest.approx(np.concatenate((best.max(axis=0), best.mean(axis=0))), abs=1e-5)
+
+
+def test_a_score_does_not_depend_on_the_texts_beside_it(spark):
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(32, 127, int(n)).tolist()) for n in rng.integers(0, 900, 120)]
+    weights = quality.train(texts[:60], rng.integers(0, 2, 60), epochs=2)
+
+    def scores(some):
+        windows, starts = quality.chunked(some)
+        return quality.probability(weights, quality.pooled(
+            quality.activations(weights, windows)[0], starts))
+
+    alone = [scores([t])[0] for t in texts]
+    for _ in range(5):
+        order = rng.permutation(len(texts))
+        assert scores([texts[i] for i in order]) == pytest.approx([alone[i] for i in order], abs=1e-6)
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    spread = [{r["doc_id"]: r["score"] for r in quality.score(docs.repartition(n), weights).collect()}
+              for n in (1, 64)]
+    assert spread[0] == pytest.approx(spread[1], abs=1e-6)
 
 
 def test_quality_on_odd_tables(spark, odd, none):
@@ -204,7 +225,20 @@ def test_near_duplicates_on_odd_tables(odd, none):
     assert simhash.near_duplicates(none).count() == 0
     kept = simhash.keep_representatives(odd)
     assert kept.columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "4", "7", "8", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "4", "7", "8"]
+
+
+def test_a_row_goes_only_where_a_linked_text_stays(spark):
+    other = "Wholly different words stand in this text, which shares an id with some other text."
+    third = "A third text without any id at all, which nobody else has written down so far."
+    rows = [(1, BODY), (1, other), (1, other), (2, other), (None, third), (None, third), (None, BODY),
+            (3, third.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in simhash.keep_representatives(docs).collect())
+    assert kept == sorted([("1", BODY), ("1", other), ("3", third.upper())])
+    nameless = docs.where("doc_id is null")
+    kept = simhash.keep_representatives(nameless).collect()
+    assert sorted(r["text"] for r in kept) == sorted([BODY, third])
 
 
 def test_components_of_a_long_chain(spark):
