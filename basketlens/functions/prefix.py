@@ -110,3 +110,37 @@ def smallest_n(df, score, n, tiebreak, cells=HASH_CELLS):
                 W.partitionBy("_cell").orderBy("_score", *tiebreak)))
             .filter(F.col("_rn") <= F.col("_take")).select(*df.columns))
     return whole.unionByName(edge)
+
+
+def quantile_sketches(df, keys, value, k=400):
+    """One mergeable sketch of ``value`` per key, to be stored beside a table and merged later (AG8).
+
+    The rank error grows as 1 / k and does not depend on the number of rows.
+    """
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def sketched_quantiles(sketches, probs):
+    """Approximate quantiles of all rows behind ``sketches``: one row per probability."""
+    whole = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    cells = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.kll_sketch_get_quantile_double(
+        F.col("sketch"), F.lit(float(p))).alias("quantile")) for p in probs])
+    return whole.where(F.kll_sketch_get_n_double("sketch") > 0).select(F.explode(cells).alias("c")).select(
+        "c.prob", "c.quantile")
+
+
+def rank_errors(df, value, quantiles):
+    """How far each quantile's rank among all values is from its probability; 0 where it is among ties."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    marks = quantiles.agg(F.array_sort(F.collect_list(F.struct("prob", "quantile"))).alias("m")).scalar()
+    # Few probabilities, so each value is counted once per probability in the tasks.
+    each = counts.withColumn("_m", F.explode(marks))
+    sums = each.groupBy("_m.prob", "_m.quantile").agg(
+        F.sum("_n").alias("n"), F.sum(F.when(F.col("_v") < F.col("_m.quantile"), F.col("_n")).otherwise(0)
+                                      ).alias("below"),
+        F.sum(F.when(F.col("_v") <= F.col("_m.quantile"), F.col("_n")).otherwise(0)).alias("upto"))
+    return sums.select("prob", "quantile", "n", F.greatest(
+        F.lit(0.0), F.col("below") / F.col("n") - F.col("prob"),
+        F.col("prob") - F.col("upto") / F.col("n")).alias("rank_error"))

@@ -1,5 +1,7 @@
 """Next-order purchase prediction."""
 
+import re
+from collections import Counter
 from contextlib import contextmanager
 from functools import reduce
 
@@ -133,11 +135,16 @@ def leaderboard(scored, decision=None):
 
 
 def feature_importances(spark, model):
-    """Importance per feature of a fitted tree pipeline."""
-    values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
-    rows = sorted(zip(FEATURES, values), key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame([(f, round(v, 4)) for f, v in rows],
-                                 "feature string, importance double")
+    """Importance per feature of a fitted tree pipeline, by gain and by number of splits.
+
+    The trees' own description names the feature of every split; a model has a bounded number of them.
+    """
+    trees = model.stages[-1]
+    gains = [float(v) for v in trees.featureImportances.toArray()]
+    splits = Counter(int(i) for i in re.findall(r"If \(feature (\d+) ", trees.toDebugString))
+    rows = sorted(((f, round(g, 4), splits[i]) for i, (f, g) in enumerate(zip(FEATURES, gains))),
+                  key=lambda r: (-r[2], -r[1], r[0]))
+    return spark.createDataFrame(rows, "feature string, importance double, splits long")
 
 
 def save_model(model, path):

@@ -182,6 +182,28 @@ def table_counts(tables):
         for name, df in tables.items()])
 
 
+def verify_written(tables, folder):
+    """Rows of each table as derived and as read from its file, and whether all values agree (V9).
+
+    Values are compared by the sum of the rows' hashes, one aggregate per side; equal sums of 64-bit
+    hashes leave no room for a row that differs, is missing or is there twice.
+    """
+    def facts(df, suffix):
+        return df.agg(F.count(F.lit(1)).alias(f"rows_{suffix}"), F.coalesce(F.sum(
+            F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias(f"hash_{suffix}"))
+
+    def one(name, df):
+        saved = df.sparkSession.read.parquet(f"{folder}/{name}.parquet")
+        same = F.lit(saved.dtypes == df.dtypes)
+        made, held = (facts(x, s).withColumn("table_name", F.lit(name)) for x, s in (
+            (df, "derived"), (saved, "written")))
+        return made.join(held, "table_name").select(
+            "table_name", "rows_derived", "rows_written",
+            (same & (F.col("hash_derived") == F.col("hash_written"))).alias("values_agree"))
+
+    return _union([one(name, df) for name, df in tables.items()])
+
+
 def schema_differences(df, expected):
     """Columns that are missing, added or of another type; no rows where all agree (V9).
 

@@ -705,6 +705,20 @@ FROM (SELECT product_id, CAST(count(*) AS BIGINT) AS lines, max(order_number) AS
   FROM d_lines WHERE eval_set = 'prior' GROUP BY 1) p
 FULL JOIN (SELECT product_id, CAST(count(*) AS BIGINT) AS lines, max(order_number) AS latest
   FROM d_lines WHERE eval_set = 'train' GROUP BY 1) t USING (product_id)""",
+    "snk_bucket_upsert": """SELECT product_id, coalesce(t.lines, p.lines) AS lines,
+  coalesce(t.latest, p.latest) AS latest
+FROM (SELECT product_id, CAST(count(*) AS BIGINT) AS lines, max(order_number) AS latest
+  FROM d_lines WHERE eval_set = 'prior' GROUP BY 1) p
+FULL JOIN (SELECT product_id, CAST(count(*) AS BIGINT) AS lines, max(order_number) AS latest
+  FROM d_lines WHERE eval_set = 'train' GROUP BY 1) t USING (product_id)""",
+    "v9_written_values": _union([
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows_derived, "
+        f"CAST(count(*) AS BIGINT) AS rows_written, true AS values_agree FROM d_{s}"
+        for t, s in [("departments", "departments"), ("aisles", "aisles"), ("products", "products"),
+                     ("customers", "customers"), ("orders", "orders"), ("order_products", "lines")]]),
+    "e7_basket_sketch": """SELECT CAST(p AS DOUBLE) AS prob, CAST((SELECT count(DISTINCT order_id)
+  FROM d_lines) AS BIGINT) AS order_count, true AS within_bound
+FROM (VALUES (0.25), (0.5), (0.75), (0.95)) v(p)""",
     "snk_table_load": _union([
         f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {s}"
         for t, s in [("departments", "d_departments"), ("aisles", "d_aisles"),

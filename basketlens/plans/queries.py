@@ -3,6 +3,7 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basketlens.functions import prefix
 from basketlens.functions.columns import plain_types
 from basketlens.operators import (analytics, bi, cleaning, eda, features, forecasting, graph,
                                   metrics, prediction, quality, segmentation, serving)
@@ -148,15 +149,23 @@ def fitted_segments(r):
 
 # --- prediction --------------------------------------------------------------------------
 
-def _models(r):
-    train, rest = prediction.split_by_user(r.matrix)
-    return prediction.train_models(train), rest
+_FITTED = {}
 
 
 def _fit(r, fit):
+    """The model of ``fit`` and the validation rows; a model is fitted once per application and source."""
     train, rest = prediction.split_by_user(r.matrix)
-    with prediction.held_rows(train) as rows:
-        return fit(rows), rest
+    key = r.spark.sparkContext.applicationId, r.source, r.grain, fit.__name__
+    if key not in _FITTED:
+        with prediction.held_rows(train) as rows:
+            _FITTED[key] = fit(rows)
+    return _FITTED[key], rest
+
+
+def _models(r):
+    fits = {prediction.LOGISTIC: prediction.fit_logistic, prediction.FOREST: prediction.fit_forest,
+            prediction.BOOSTED: prediction.fit_boosted}
+    return {name: _fit(r, fit)[0] for name, fit in fits.items()}, prediction.split_by_user(r.matrix)[1]
 
 
 def p4_logistic(r):
@@ -175,6 +184,11 @@ def p6_boosted(r):
 
 
 def p11_importances(r):
+    """Of the promoted model, the boosted trees."""
+    return prediction.feature_importances(r.spark, _fit(r, prediction.fit_boosted)[0])
+
+
+def p11_forest_importances(r):
     return prediction.feature_importances(r.spark, _fit(r, prediction.fit_forest)[0])
 
 
@@ -305,9 +319,39 @@ def snk_artifact_csv(r):
     return readers.read_csv(r.spark, f"{folder}/products.csv", readers.SCHEMAS["products"])
 
 
-def v9_schema_differences(r):
-    """The derived orders against the schema of a raw order file."""
-    return quality.schema_differences(r.orders, readers.expected("orders"))
+def _outputs(r):
+    return {"departments": r.departments, "aisles": r.aisles, "products": r.products,
+            "customers": r.customers, "orders": r.orders,
+            "order_products": r.lines.select("order_id", "product_id", "add_to_cart_order",
+                                             "reordered")}
+
+
+def v9_written_values(r):
+    """The tables as derived against what is read from their files."""
+    folder = _shared(r, "verified")
+    sinks.load_tables(_outputs(r), folder)
+    return quality.verify_written(_outputs(r), folder)
+
+
+def snk_bucket_upsert(r):
+    """Purchase counts of prior orders as a bucketed table, merged with those of the train orders."""
+    def counts(split):
+        return (r.lines.filter(F.col("eval_set") == split).groupBy("product_id")
+                .agg(F.count(F.lit(1)).alias("lines"), F.max("order_number").alias("latest")))
+    path = _shared(r, "bucketed")
+    sinks.write_buckets(counts("prior"), path, ["product_id"], 16)
+    sinks.upsert_buckets(counts("train"), path, ["product_id"], graph.upsert, 16)
+    return r.spark.read.parquet(path).drop(sinks.BUCKET)
+
+
+def e7_basket_sketch(r):
+    """Basket sizes by sketches per split of the orders, merged, with their rank errors."""
+    sizes = r.lines.groupBy("order_id", "eval_set").agg(F.count(F.lit(1)).alias("basket_size"))
+    sketches = prefix.quantile_sketches(sizes, ["eval_set"], "basket_size")
+    found = prefix.rank_errors(sizes, "basket_size", prefix.sketched_quantiles(
+        sketches, [0.25, 0.5, 0.75, 0.95]))
+    return found.select("prob", F.col("n").alias("order_count"),
+                        (F.col("rank_error") <= 0.015).alias("within_bound"))
 
 
 # --- BI ----------------------------------------------------------------------------------
@@ -345,6 +389,7 @@ CATALOGUE = {
     "src_key_sample": (PRODUCT, lambda r: readers.key_sample(r.orders, "user_id", 0.25).agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("order_id").alias("order_sum"))),
     "snk_upsert": (AISLE, snk_upsert),
+    "snk_bucket_upsert": (AISLE, snk_bucket_upsert),
     "snk_table_load": (PRODUCT, snk_table_load),
     "snk_union_csv": (PRODUCT, snk_union_csv),
     "snk_artifact_csv": (PRODUCT, snk_artifact_csv),
@@ -359,7 +404,7 @@ CATALOGUE = {
         r.raw_orders, star_schema.line_values(r.spark, r.folder))),
     "v8_constraints": (PRODUCT, v8_constraints),
     "v9_table_counts": (PRODUCT, v9_outputs),
-    "v9_schema_differences": (PRODUCT, v9_schema_differences),
+    "v9_written_values": (PRODUCT, v9_written_values),
     # cleaning
     "c1_products": (PRODUCT, lambda r: cleaning.clean_reference(
         star_schema.products(r.spark, r.folder), ["product_id", "aisle_id", "department_id"],
@@ -398,6 +443,7 @@ CATALOGUE = {
     "e5_repurchase_interval": (PRODUCT, lambda r: eda.repurchase_interval(r.orders)),
     "e6_interval_histogram": (PRODUCT, lambda r: eda.interval_histogram(r.orders)),
     "e7_basket_size_stats": (AISLE, lambda r: eda.basket_size_stats(r.lines)),
+    "e7_basket_sketch": (AISLE, e7_basket_sketch),
     "e8_basket_size_histogram": (AISLE, lambda r: eda.basket_size_histogram(r.lines)),
     "e9_reorder_breakdown": (AISLE, lambda r: eda.reorder_breakdown(r.lines)),
     "e10_customer_stats": (PRODUCT, lambda r: eda.customer_order_stats(r.customers)),
@@ -462,6 +508,7 @@ CATALOGUE = {
     "p9_threshold_metrics": (AISLE, lambda r: metrics.threshold_metrics(r.scored, 0.20)),
     "p10_threshold_sweep": (AISLE, lambda r: metrics.threshold_sweep(r.scored)),
     "p11_importances": (AISLE, p11_importances),
+    "p11_forest_importances": (AISLE, p11_forest_importances),
     "p12_leaderboard": (AISLE, p12_leaderboard),
     "p12_leaderboard_fixed": (AISLE, p12_leaderboard_fixed),
     "p13_batch_scores": (AISLE, p13_batch_scores),

@@ -13,7 +13,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 from basketlens.functions.columns import pair_hash  # noqa: E402
-from basketlens.functions.prefix import with_cells  # noqa: E402
+from basketlens.functions.prefix import (quantile_sketches, rank_errors,  # noqa: E402
+                                          sketched_quantiles, with_cells)
 from basketlens.operators import cleaning, features, graph, prediction, quality  # noqa: E402
 from basketlens.sources import readers, sinks, star_schema  # noqa: E402
 from check_results import connect, difference  # noqa: E402
@@ -135,6 +136,39 @@ def test_upsert_keeps_old_and_adds_new(spark):
     assert rows(graph.upsert(old, new, ["k"])) == [(1, "a", 1), (2, "b", 20), (3, None, 30)]
 
 
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    path, key = str(tmp_path / "t"), ["k"]
+    old = spark.range(200).select(F.col("id").alias("k"), F.lit("a").alias("name"), F.lit(1).alias("n"))
+    sinks.write_buckets(old, path, key, 8)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    updates = spark.createDataFrame([(3, 30), (1000, 7)], "k long, n int")
+    sinks.upsert_buckets(updates, path, key, graph.upsert, 8)
+    sinks.upsert_buckets(updates.limit(0), path, key, graph.upsert, 8)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    kept = {p for p in before if after.get(p) == before[p]}
+    assert 6 <= len({p.parent for p in kept}) < 8
+    found = {r["k"]: (r["name"], r["n"]) for r in spark.read.parquet(path).collect()}
+    assert len(found) == 201 and found[3] == ("a", 30) and found[1000] == (None, 7)
+    assert all(found[k] == ("a", 1) for k in range(200) if k != 3)
+
+
+def test_written_values_are_compared(spark, tmp_path):
+    good = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    sinks.load_tables({"t": good}, str(tmp_path))
+    other = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert rows(quality.verify_written({"t": good}, str(tmp_path))) == [("t", 2, 2, True)]
+    assert rows(quality.verify_written({"t": other}, str(tmp_path))) == [("t", 2, 2, False)]
+    assert rows(quality.verify_written({"t": good.limit(1)}, str(tmp_path))) == [("t", 1, 2, False)]
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    df = spark.range(20000).select((F.col("id") % 7).alias("g"), F.pow(F.rand(3), 3).alias("v")).persist()
+    sketches = quantile_sketches(df, ["g"], "v")
+    found = rank_errors(df, "v", sketched_quantiles(sketches, [0.0, 0.1, 0.5, 0.99, 1.0])).collect()
+    assert len(found) == 5 and all(r["rank_error"] <= 0.015 and r["n"] == 20000 for r in found)
+    assert sketched_quantiles(quantile_sketches(df.limit(0), ["g"], "v"), [0.5]).count() == 0
+
+
 def test_staged_table_is_built_once(spark):
     calls = []
 
