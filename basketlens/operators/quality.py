@@ -188,20 +188,24 @@ def verify_written(tables, folder):
     Values are compared by the sum of the rows' hashes, one aggregate per side; equal sums of 64-bit
     hashes leave no room for a row that differs, is missing or is there twice.
     """
-    def facts(df, suffix):
-        return df.agg(F.count(F.lit(1)).alias(f"rows_{suffix}"), F.coalesce(F.sum(
-            F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias(f"hash_{suffix}"))
-
-    def one(name, df):
+    def facts(name, df, written, alike):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(
+            F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias("hash")).select(
+            F.lit(name).alias("table_name"), F.lit(written).alias("written"), "n", "hash",
+            F.lit(alike).alias("alike"))
+
+    parts = []
+    for name, df in tables.items():
         saved = df.sparkSession.read.parquet(f"{folder}/{name}.parquet")
-        same = F.lit(saved.dtypes == df.dtypes)
-        made, held = (facts(x, s).withColumn("table_name", F.lit(name)) for x, s in (
-            (df, "derived"), (saved, "written")))
-        return made.join(held, "table_name").select(
-            "table_name", "rows_derived", "rows_written",
-            (same & (F.col("hash_derived") == F.col("hash_written"))).alias("values_agree"))
+        alike = saved.dtypes == df.dtypes
+        parts += [facts(name, df, False, alike), facts(name, saved, True, alike)]
 
-    return _union([one(name, df) for name, df in tables.items()])
+    def of(column, written):
+        return F.max(F.when(F.col("written") == written, F.col(column)))
+
+    return _union(parts).groupBy("table_name").agg(
+        of("n", False).alias("rows_derived"), of("n", True).alias("rows_written"),
+        (F.min("alike") & (of("hash", False) == of("hash", True))).alias("values_agree"))
 
 
 def schema_differences(df, expected):

@@ -48,8 +48,9 @@ def test_skewed_source_agrees_with_sql(spark, skewed, name):
 def test_no_plan_pairs_tables_without_a_key(spark):
     """Model fits aside, no query uses a cross product or a nested loop."""
     fitted = {"g2_g3_k_sweep", "g4_clusters", "g7_fitted_summary", "p4_logistic_scores",
-              "p5_forest_scores", "p6_boosted_scores", "p11_importances", "p12_leaderboard",
-              "p13_batch_scores"}
+              "p5_forest_scores", "p6_boosted_scores", "p11_importances",
+              "p11_forest_importances", "p12_leaderboard", "p13_batch_scores",
+              "t12_product_forecast"}
     for name in set(queries.CATALOGUE) - fitted:
         plan = queries.build(name)(spark, SOURCE)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
