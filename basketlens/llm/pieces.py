@@ -24,8 +24,9 @@ from basketlens.llm.common import opened, share, sliced
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-#: Units a task remembers.
-MEMORY = 600_000
+#: Units a task remembers, and bytes of text whose units it holds as Python strings at once.
+MEMORY = 300_000
+SLICE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 19
 
@@ -290,7 +291,7 @@ def _rows(batches, shared, width):
     pieces = opened(shared)
     encoder = Encoder(pieces)
     for whole in batches:
-        for batch in sliced(whole, "text", 4 << 20):
+        for batch in sliced(whole, "text", SLICE):
             texts = [t or "" for t in batch["text"].to_pylist()]
             ids, offsets = encoder.encode(texts)
             back = _decoded(pieces, ids, offsets)
