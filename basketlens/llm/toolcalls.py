@@ -1,6 +1,7 @@
 """Tool calls of conversations: linked to their results, ordered, validated and serialised."""
 
 import json
+import re
 
 import pandas as pd
 import pyarrow as pa
@@ -15,6 +16,7 @@ from basketlens.llm.common import components, written
 BUCKET = 512
 #: Calls of a conversation that is ordered in one task, and of each range of a larger one.
 NEAR, RANGE = 20_000, 200_000
+_SURROGATES = re.compile("[\ud800-\udfff]")
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list,
           "object": dict, "null": type(None)}
 
@@ -23,64 +25,160 @@ def _no_constant(name):
     raise ValueError(f"{name} is not JSON")
 
 
+class BadSchema(ValueError):
+    """A schema that says nothing that could be checked."""
+
+
+def _is(value, kind):
+    return isinstance(value, _KINDS[kind]) and (kind == "boolean" or not isinstance(value, bool))
+
+
+def _same(a, b):
+    """Equality of JSON values: true is not 1."""
+    return a == b and isinstance(a, bool) == isinstance(b, bool)
+
+
+def _kinds(schema):
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if not isinstance(kinds, list) or any(not isinstance(k, str) or k not in _KINDS for k in kinds):
+        raise BadSchema("unknown type")
+    return kinds
+
+
+def _bounds(schema, name):
+    bound = schema.get(name)
+    if bound is not None and not _is(bound, "number"):
+        raise BadSchema(f"{name} is no number")
+    return bound
+
+
+def compiled(schema):
+    """A schema as a function (value, its name, errors) that adds what is wrong with the value.
+
+    Understood are type (one or several), enum, minimum, maximum, properties, required,
+    additionalProperties, items, anyOf and the schemas true and false, nested to any depth. Others are
+    ignored. A schema of another form raises BadSchema.
+    """
+    if isinstance(schema, bool):
+        return lambda value, name, found: None if schema else found.append(f"{name} is not allowed")
+    if not isinstance(schema, dict):
+        raise BadSchema("no object")
+    kinds, allowed = _kinds(schema), schema.get("enum")
+    low, high = (_bounds(schema, n) for n in ("minimum", "maximum"))
+    properties, required = schema.get("properties", {}), schema.get("required", [])
+    if allowed is not None and not isinstance(allowed, list):
+        raise BadSchema("enum is no array")
+    if not isinstance(properties, dict):
+        raise BadSchema("properties are no object")
+    if not isinstance(required, list) or any(not isinstance(r, str) for r in required):
+        raise BadSchema("required is no array of names")
+    rules = {name: compiled(rule) for name, rule in properties.items()}
+    other = compiled(schema.get("additionalProperties", True))
+    strict = schema.get("additionalProperties", True) is False
+    items = compiled(schema["items"]) if "items" in schema else None
+    choices = schema.get("anyOf")
+    if choices is not None and not isinstance(choices, list):
+        raise BadSchema("anyOf is no array")
+    choices = [compiled(c) for c in choices or []]
+
+    def fits(rule, value):
+        wrong = []
+        rule(value, "", wrong)
+        return not wrong
+
+    def check(value, name, found):
+        if kinds and not any(_is(value, k) for k in kinds):
+            found.append(f"{name or 'arguments'} is no {' or '.join(kinds)}")
+            return
+        if allowed is not None and not any(_same(value, a) for a in allowed):
+            found.append(f"{name} is not allowed")
+        if _is(value, "number"):
+            if low is not None and value < low:
+                found.append(f"{name} is too small")
+            if high is not None and value > high:
+                found.append(f"{name} is too large")
+        if choices and not any(fits(c, value) for c in choices):
+            found.append(f"{name} fits no alternative")
+        if isinstance(value, dict):
+            path = f"{name}." if name else ""
+            found += [f"missing {path}{r}" for r in sorted(set(required) - set(value))]
+            for key in sorted(value):
+                if key not in rules and strict:
+                    found.append(f"unknown {path}{key}")
+                else:
+                    rules.get(key, other)(value[key], path + key, found)
+        if items and isinstance(value, list):
+            for i, part in enumerate(value):
+                items(part, f"{name}[{i}]", found)
+
+    return check
+
+
 def problems(arguments, schema):
-    """What is wrong with parsed ``arguments``, in order; a schema has properties and required."""
-    found = []
+    """What is wrong with parsed ``arguments``, in order; ``schema`` is a compiled or a parsed one."""
     if not isinstance(arguments, dict):
         return ["arguments are no object"]
-    properties = schema.get("properties", {})
-    for name in sorted(set(schema.get("required", [])) - set(arguments)):
-        found.append(f"missing {name}")
-    for name in sorted(arguments):
-        rule = properties.get(name)
-        if rule is None:
-            if not schema.get("additionalProperties", True):
-                found.append(f"unknown {name}")
-            continue
-        value, kind = arguments[name], rule.get("type")
-        right = kind is None or isinstance(value, _KINDS[kind]) and (
-            kind == "boolean" or not isinstance(value, bool))
-        if not right:
-            found.append(f"{name} is no {kind}")
-            continue
-        if "enum" in rule and value not in rule["enum"]:
-            found.append(f"{name} is not allowed")
-        if "minimum" in rule and value < rule["minimum"]:
-            found.append(f"{name} is too small")
-        if "maximum" in rule and value > rule["maximum"]:
-            found.append(f"{name} is too large")
+    found = []
+    (schema if callable(schema) else compiled(schema))(arguments, "", found)
     return found
 
 
+def _rule(text):
+    """(compiled schema, None) of a schema's text, or (None, what is wrong with it)."""
+    try:
+        return compiled(json.loads(text, parse_constant=_no_constant)), None
+    except BadSchema as wrong:
+        return None, f"bad schema: {wrong}"
+    except (ValueError, RecursionError):
+        return None, "bad schema: no JSON"
+
+
+def escaped(text):
+    """Lone surrogates, which JSON may spell but UTF-8 cannot hold, as JSON escapes."""
+    return _SURROGATES.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
 def canonical(value):
-    """JSON with sorted keys and no white space, non-ASCII characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False,
-                      allow_nan=False)
+    """JSON with sorted keys and no white space, non-ASCII characters as they are but for surrogates."""
+    return escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False,
+                              allow_nan=False))
+
 
+def examined(tool, text, schema, call_id, result, rules=None):
+    """(errors, canonical JSON) of one call; arguments that are no JSON are kept as a string.
 
-def examined(tool, text, schema, call_id, result):
-    """(errors, canonical JSON) of one call; arguments that are no JSON are kept as a string."""
-    errors = []
+    ``rules`` remembers the compiled schemas of a task by their text. A schema that cannot be read is an
+    error of the call.
+    """
+    errors, rules = [], {} if rules is None else rules
     try:
         arguments = json.loads(text, parse_constant=_no_constant) if text is not None else None
     except (ValueError, RecursionError):
         arguments, errors = text, ["arguments are no JSON"]
     if schema is None:
         errors.append("unknown tool")
-    elif not errors:
-        errors = problems(arguments, json.loads(schema))
+    else:
+        if schema not in rules:
+            rules[schema] = _rule(schema)
+        rule, wrong = rules[schema]
+        if wrong:
+            errors.append(wrong)
+        elif not errors:
+            errors = problems(arguments, rule)
     try:
         line = canonical({"arguments": arguments, "id": call_id, "name": tool, "result": result})
     except (ValueError, RecursionError):
         line = canonical({"arguments": text, "id": call_id, "name": tool, "result": result})
-    return errors, line
+    return [escaped(e) for e in errors], line
 
 
 def _examined(batches):
+    rules = {}
     for batch in batches:
         columns = [batch[n].to_pylist() for n in
                    ("tool", "arguments", "schema", "call_id", "result")]
-        found = [examined(*row) for row in zip(*columns)]
+        found = [examined(*row, rules) for row in zip(*columns)]
         names = [n for n in batch.schema.names if n not in ("arguments", "schema", "result")]
         yield pa.RecordBatch.from_arrays(
             [batch[n] for n in names]
@@ -232,8 +330,8 @@ def link(calls, results, schemas):
 
     Of calls with one call_id the earliest by (conv_id, turn) counts, of results the smallest text;
     rows without call_id take no part. Dependencies on unknown calls are errors and order nothing; a
-    call on a cycle or behind one has no level and rank and is an error. A null tool or one without
-    a schema is an error; of several schemas of a tool the smallest text counts. Other columns are
+    call on a cycle or behind one has no level and rank and is an error. A null tool, one without a
+    schema and one whose schema cannot be read are errors; of several schemas of a tool the smallest text counts. Other columns are
     ignored; repeated rows count once; empty tables give no rows.
     """
     first = F.min_by(F.struct("conv_id", "turn", "tool", "arguments", "depends_on"),

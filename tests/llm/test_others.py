@@ -242,3 +242,38 @@ def test_stages_take_odd_documents(spark, odd, none, name, stage):
         assert found.count() <= docs.count()
         if name != corpus_pipeline.STAGES[-1][0]:
             assert found.columns == docs.columns
+
+
+# --- hostile calls and schemas --------------------------------------------------------------
+
+HOSTILE = [
+    ('{"a": "\\ud800x"}', '{"properties": {"a": {"type": "string"}}}', []),
+    ('{"a": null, "b": 1}', '{"properties": {"a": {"type": ["string", "null"]}, '
+     '"b": {"type": ["string", "null"]}}}', ["b is no string or null"]),
+    ('{"a": 1}', '{"properties": {"a": {"type": "date"}}}', ["bad schema: unknown type"]),
+    ('{"a": 1}', "no json", ["bad schema: no JSON"]),
+    ('{"a": 1}', "[1]", ["bad schema: no object"]),
+    ('{"a": "x", "b": true, "c": 3}', '{"properties": {"a": {"minimum": 5}, "b": {"minimum": 5}, '
+     '"c": {"minimum": 5}}}', ["c is too small"]),
+    ('{"o": {"x": [1, "2"], "y": 1}}', '{"properties": {"o": {"type": "object", "required": ["z"], '
+     '"additionalProperties": false, "properties": {"x": {"items": {"type": "integer"}}}}}}',
+     ["missing o.z", "o.x[1] is no integer", "unknown o.y"]),
+    ('{"v": [true, 1, "s"]}', '{"properties": {"v": {"items": {"anyOf": [{"enum": [1]}, '
+     '{"type": "string"}]}}}}', ["v[0] fits no alternative"]),
+    ('{"\\udc00": 1}', '{"additionalProperties": false}', ["unknown \\udc00"]),
+    ('{"a": 1, "b": 2}', '{"properties": {"b": false}}', ["b is not allowed"]),
+    ('{"a": 1}', '{"required": "a"}', ["bad schema: required is no array of names"]),
+    ("[" * 100000, "{}", ["arguments are no JSON"])]
+
+
+def test_hostile_arguments_and_schemas(spark):
+    calls = spark.createDataFrame(
+        [(1, i, f"c{i:02d}", f"t{i:02d}", a, []) for i, (a, _, _) in enumerate(HOSTILE)],
+        "conv_id long, turn long, call_id string, tool string, arguments string, depends_on array<string>")
+    schemas = spark.createDataFrame([(f"t{i:02d}", s) for i, (_, s, _) in enumerate(HOSTILE)],
+                                    "tool string, schema string")
+    results = spark.createDataFrame([], "call_id string, result string")
+    found = sorted(toolcalls.link(calls, results, schemas).collect(), key=lambda r: r["call_id"])
+    assert [r["errors"] for r in found] == [e for _, _, e in HOSTILE]
+    assert json.loads(found[0]["json"])["arguments"] == {"a": "\ud800x"}
+    assert all(r["valid"] == (not r["errors"]) for r in found)
