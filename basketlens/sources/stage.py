@@ -50,6 +50,12 @@ def fingerprint(spark, paths):
     return "|".join(marks)
 
 
+def tasks_for(spark, path, size):
+    """Tasks that take about ``size`` bytes each of a table's files, and one per core at least."""
+    place, system = _place(spark, path)
+    return max(spark.sparkContext.defaultParallelism, -(-system.getContentSummary(place).getLength() // size))
+
+
 def stage_path(spark, source, name):
     """Place of a staged table, or None where the cluster names no shared folder."""
     root = shared_root(spark)

@@ -9,10 +9,12 @@ number and split, so that later jobs need no second join of lines with orders.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketlens.functions.prefix import running_totals
+from basketlens.sources.stage import tasks_for
 
 #: Order ids that one chunk of a user's day spans.
 IDS_PER_CHUNK = 100000
+#: Bytes of the source's files per task of the order and line tables.
+ORDER_BYTES_PER_TASK, LINE_BYTES_PER_TASK = 3 << 20, 8 << 20
 
 # Department numbers by product type.
 DEPARTMENT_IDS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
@@ -58,28 +60,32 @@ def products(spark, folder, grain="product"):
 def orders(spark, folder):
     """Orders as a raw source would deliver them: the first gap of a user is null.
 
-    Orders are counted per user and day first. A user's days are bounded by the calendar, and
-    the orders of one day are numbered in chunks of order ids, so that neither a user nor a
-    user's day is windowed over as a whole.
+    Orders are numbered within chunks of order ids of a user's day. A user's chunks, one row each, give
+    the number of earlier orders and the previous day, so that neither a user nor a user's day is
+    windowed over as a whole.
     """
     raw = _read(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").cast("date").alias("order_date"))
-    along = W.partitionBy("user_id").orderBy("order_date")
-    days = (raw.groupBy("user_id", "order_date").agg(F.count(F.lit(1)).alias("day_orders"))
-            .select("user_id", "order_date", "day_orders",
-                    F.coalesce(F.sum("day_orders").over(
-                        along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"),
-                    F.lag("order_date").over(along).alias("previous_day"),
-                    F.lead("order_date").over(along).isNull().alias("last_day")))
+    tasks = tasks_for(spark, f"{folder}/orders.parquet", ORDER_BYTES_PER_TASK)
+    chunk = ["user_id", "order_date", "chunk"]
     chunked = raw.withColumn("chunk", F.floor(F.col("order_id") / IDS_PER_CHUNK))
-    numbered = running_totals(chunked, ["user_id", "order_date"], "chunk", ["order_id"],
-                              {"in_day": F.lit(1)}).join(days, ["user_id", "order_date"])
-    number = F.col("earlier") + F.col("in_day")
-    is_last = F.col("last_day") & (F.col("in_day") == F.col("day_orders"))
+    along = W.partitionBy("user_id").orderBy("order_date", "chunk")
+    placed = (chunked.groupBy(*chunk).agg(F.count(F.lit(1)).alias("chunk_orders"))
+              .repartition(tasks, "user_id")
+              .select(*chunk, "chunk_orders",
+                      F.coalesce(F.sum("chunk_orders").over(
+                          along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"),
+                      F.lag("order_date").over(along).alias("previous_day"),
+                      F.lead(F.lit(1)).over(along).isNull().alias("last_chunk")))
+    in_chunk = F.row_number().over(W.partitionBy(*chunk).orderBy("order_id"))
+    numbered = (chunked.repartition(tasks, *chunk).withColumn("in_chunk", in_chunk)
+                .join(placed.repartition(tasks, *chunk), chunk))
+    number = F.col("earlier") + F.col("in_chunk")
+    is_last = F.col("last_chunk") & (F.col("in_chunk") == F.col("chunk_orders"))
     split = (F.when(~is_last, "prior")
              .when(F.pmod(F.col("user_id"), F.lit(3)) != 0, "train").otherwise("test"))
-    gap = (F.when(F.col("in_day") > 1, F.lit(0))
+    gap = (F.when((F.col("in_chunk") > 1) | (F.col("previous_day") == F.col("order_date")), F.lit(0))
            .otherwise(F.date_diff("order_date", "previous_day")))
     return numbered.select(
         "order_id", "user_id", split.alias("eval_set"), number.alias("order_number"),
@@ -105,10 +111,10 @@ def line_values(spark, folder):
 def order_lines(spark, folder, order_table, grain="product"):
     """Deduplicated lines of all splits, with their order's user, number and split.
 
-    Lines are reduced to one per (order, product) before any grouping by order, so an
-    order's window is bounded by the catalogue. The reorder flag compares with the first
-    purchase per (user, product): a minimum that needs no dedupe and combines before its
-    shuffle, and a left join whose hot keys adaptive execution can split.
+    Lines are shuffled twice: by order, where they lose their duplicates, get their position and meet
+    their order, and by (user, product), where the reorder flag compares with the first purchase. Both
+    are running windows over sorted rows, which hold no group in memory. The number of tasks follows
+    the size of the source, so that a task's share does not grow with it.
     """
     lines = raw_lines(spark, folder)
     if grain == "aisle":
@@ -116,16 +122,20 @@ def order_lines(spark, folder, order_table, grain="product"):
         lines = (lines.join(shelf, "product_id")
                  .select("order_id", F.col("aisle_id").cast("bigint").alias("product_id"),
                          "add_to_cart_order"))
-    single = lines.groupBy("order_id", "product_id").agg(
-        F.min("add_to_cart_order").alias("position"))
+    tasks = tasks_for(spark, f"{folder}/lineitem.parquet", LINE_BYTES_PER_TASK)
+    copy = F.row_number().over(W.partitionBy("order_id", "product_id").orderBy(
+        F.asc_nulls_last("add_to_cart_order")))
+    single = (lines.repartition(tasks, "order_id").withColumn("copy", copy).filter(F.col("copy") == 1)
+              .select("order_id", "product_id", F.col("add_to_cart_order").alias("position")))
     cart = F.row_number().over(W.partitionBy("order_id").orderBy("position", "product_id"))
     context = order_table.select("order_id", "user_id", "order_number", "eval_set")
     placed = (single.withColumn("add_to_cart_order", cart).drop("position")
-              .join(context, "order_id"))
-    first = (lines.select("order_id", "product_id").join(context.drop("eval_set"), "order_id")
-             .groupBy("user_id", "product_id")
-             .agg(F.min("order_number").alias("first_number")))
-    return placed.join(first, ["user_id", "product_id"], "left").select(
-        "order_id", "product_id", "add_to_cart_order",
-        (F.col("order_number") > F.col("first_number")).cast("int").alias("reordered"),
+              .join(context.repartition(tasks, "order_id"), "order_id"))
+    so_far = (W.partitionBy("user_id", "product_id").orderBy("order_number")
+              .rowsBetween(W.unboundedPreceding, W.currentRow))
+    # Lines without a user or a product have no earlier purchase to compare with.
+    known = F.col("user_id").isNotNull() & F.col("product_id").isNotNull()
+    again = F.when(known, (F.col("order_number") > F.min("order_number").over(so_far)).cast("int"))
+    return placed.repartition(tasks, "user_id", "product_id").select(
+        "order_id", "product_id", "add_to_cart_order", again.alias("reordered"),
         "user_id", "order_number", "eval_set")
