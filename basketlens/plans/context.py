@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from basketlens.operators import (cleaning, features, forecasting, graph, prediction,
                                   segmentation, serving)
 from basketlens.sources import star_schema
-from basketlens.sources.stage import fingerprint, staged
+from basketlens.sources.stage import fingerprint, staged, tasks_for
 
 # Persona thresholds for the star-schema source, whose gaps are months rather than days.
 STAR_THRESHOLDS = {"loyal_orders": 9, "loyal_reorder": 0.05, "bulk_basket": 4,
@@ -148,11 +148,26 @@ class Retail:
         return self._staged("department_days", lambda: forecasting.fill_days(
             forecasting.daily_volume_by(self.orders, self.lines, self.products)))
 
+    @cached_property
+    def product_volume(self):
+        """Daily orders of every product on the days that have any."""
+        return self._staged("product_volume", lambda: forecasting.daily_volume_by(
+            self.orders, self.lines, self.products, "product_id"))
+
+    @cached_property
+    def line_tasks(self):
+        """Number of tasks among which tables of the size of the lines are dealt."""
+        return tasks_for(self.spark, f"{self.folder}/lineitem.parquet", star_schema.LINE_BYTES_PER_TASK)
+
     @cached_property
     def product_days(self):
         """Daily orders of every product, days without orders included."""
-        return self._staged("product_days", lambda: forecasting.intermittent_days(
-            forecasting.daily_volume_by(self.orders, self.lines, self.products, "product_id")))
+        return forecasting.intermittent_days(self.product_volume, self.line_tasks)
+
+    @cached_property
+    def product_series(self):
+        """The product days as one array per product, in packs for a fit."""
+        return forecasting.intermittent_series(self.product_volume, self.line_tasks)
 
     @cached_property
     def backtest(self):

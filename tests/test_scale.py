@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 
+from basketlens.operators import forecasting
 from basketlens.sources import star_schema
 
 
@@ -59,3 +60,30 @@ def test_tasks_of_the_line_table_follow_its_source(spark, folder, monkeypatch):
     monkeypatch.setattr(star_schema, "LINE_BYTES_PER_TASK", 10)
     lines = star_schema.order_lines(spark, folder, star_schema.orders(spark, folder))
     assert lines.rdd.getNumPartitions() > 50
+
+
+def test_days_without_orders_are_not_shuffled(spark):
+    series = spark.createDataFrame(
+        [(key, datetime.date(1995, 1, 1) + datetime.timedelta(days=n), y)
+         for key, n, y in [("a", 0, 2), ("a", 3, 1), ("b", 2, 4), ("c", 40, 1), (None, 38, 5)]],
+        "series_key string, ds date, y long")
+    report = forecasting.series_report(forecasting.intermittent_days(series, 3), 5)
+    # Days with orders go by series once; neither the window nor the report moves them again.
+    assert report._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    found = {r["series_key"]: (r["days"], r["volume"], r["active_days"]) for r in report.collect()}
+    assert found == {"a": (41, 3, 2), "b": (39, 4, 1), "c": (1, 1, 1), None: (3, 0, 0)}
+
+
+def test_arrays_of_intermittent_series_equal_their_days(spark):
+    series = spark.createDataFrame(
+        [(key, datetime.date(1995, 1, 1) + datetime.timedelta(days=n), 1 + n % 3)
+         for key, step in [("a", 1), ("b", 5), ("c", 17)] for n in range(0, 60, step)],
+        "series_key string, ds date, y long")
+    days = forecasting.intermittent_days(series)
+    dense = {}
+    for r in days.orderBy("series_key", "ds").collect():
+        dense.setdefault(r["series_key"], []).append(float(r["y"]))
+    made = forecasting.intermittent_series(series, 2)
+    assert {r["series_key"]: r["train"] for r in made.collect()} == dense
+    plain = forecasting.forecast_arima(days).orderBy("series_key", "forecast_date").collect()
+    assert forecasting.forecast_arima(made).orderBy("series_key", "forecast_date").collect() == plain
