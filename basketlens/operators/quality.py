@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketlens.functions.columns import dealt
+
 
 def _union(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -67,42 +69,47 @@ RELATIONS = {
     "train_product": "train_lines.product_id -> products.product_id"}
 
 
+def _number(name):
+    """The number of a relation, which stands for its name in the rows that are shuffled."""
+    return F.lit(list(RELATIONS).index(name)).cast("tinyint")
+
+
 def _keys(df, **columns):
     """Rows (relation, key), one per named relation and row; every table is read once."""
-    cells = [F.struct(F.lit(RELATIONS[name]).alias("relation"),
+    cells = [F.struct(_number(name).alias("relation"),
                       F.col(column).cast("bigint").alias("key"))
              for name, column in columns.items()]
     return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").filter("key is not null")
 
 
-def foreign_keys(products, aisles, departments, orders, prior_lines, train_lines):
+def foreign_keys(products, aisles, departments, orders, prior_lines, train_lines, tasks=None):
     """The six relations, lines against the orders of their own split (V4, V5).
 
-    Child keys of all relations are counted together before they meet the parents.
+    Child keys of all relations are counted together before they meet the parents in ``tasks`` tasks.
     """
     children = (_keys(products, aisle="aisle_id", department="department_id")
                 .unionByName(_keys(prior_lines, prior_order="order_id",
                                    prior_product="product_id"))
                 .unionByName(_keys(train_lines, train_order="order_id",
                                    train_product="product_id")))
-    of_split = F.when(F.col("eval_set") == "prior", RELATIONS["prior_order"]).when(
-        F.col("eval_set") == "train", RELATIONS["train_order"])
-    parents = (_keys(aisles, aisle="aisle_id")
-               .unionByName(_keys(departments, department="department_id"))
-               .unionByName(_keys(products, prior_product="product_id",
-                                  train_product="product_id"))
-               .unionByName(orders.select(of_split.alias("relation"),
-                                          F.col("order_id").cast("bigint").alias("key"))
-                            .filter("relation is not null"))
-               .distinct().withColumn("known", F.lit(True)))
+    of_split = F.when(F.col("eval_set") == "prior", _number("prior_order")).when(
+        F.col("eval_set") == "train", _number("train_order"))
+    listed = (_keys(aisles, aisle="aisle_id")
+              .unionByName(_keys(departments, department="department_id"))
+              .unionByName(_keys(products, prior_product="product_id",
+                                 train_product="product_id"))
+              .unionByName(orders.select(of_split.alias("relation"),
+                                         F.col("order_id").cast("bigint").alias("key"))
+                           .filter("relation is not null")))
+    parents = dealt(listed, tasks, "relation", "key").distinct().withColumn("known", F.lit(True))
     uses = children.groupBy("relation", "key").agg(F.count(F.lit(1)).alias("uses"))
-    found = uses.join(parents, ["relation", "key"], "left").groupBy("relation").agg(
+    found = dealt(uses, tasks, "relation", "key").join(parents, ["relation", "key"], "left").groupBy("relation").agg(
         F.sum("uses").alias("rows"), F.count_if(F.col("known").isNull()).alias("orphans"))
     every = products.sparkSession.range(1).select(
-        F.explode(F.array(*map(F.lit, RELATIONS.values()))).alias("relation"))
+        F.posexplode(F.array(*map(F.lit, RELATIONS.values()))).alias("relation", "foreign_key"))
     orphans = F.coalesce("orphans", F.lit(0))
     return every.join(found, "relation", "left").select(
-        F.col("relation").alias("foreign_key"),
+        "foreign_key",
         F.when(orphans == 0, "PASS").otherwise("FAIL").alias("status"),
         orphans.alias("orphan_count"), F.coalesce("rows", F.lit(0)).alias("rows_checked"))
 

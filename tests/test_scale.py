@@ -4,9 +4,11 @@ import datetime
 
 import pytest
 
-from basketlens.operators import forecasting
+from basketlens.operators import forecasting, quality
 from basketlens.sources import star_schema
 
+from conftest import LINE, ORDER, rows
+
 
 def day(number):
     return datetime.datetime(1995, 1, 1) + datetime.timedelta(days=number)
@@ -87,3 +89,30 @@ def test_arrays_of_intermittent_series_equal_their_days(spark):
     assert {r["series_key"]: r["train"] for r in made.collect()} == dense
     plain = forecasting.forecast_arima(days).orderBy("series_key", "forecast_date").collect()
     assert forecasting.forecast_arima(made).orderBy("series_key", "forecast_date").collect() == plain
+
+
+@pytest.fixture
+def history(spark):
+    """Orders and lines with repeats, nulls, a user without a past and one without a train order."""
+    orders = [(1, 7, "prior", 1), (2, 7, "prior", 2), (3, 7, "train", 3), (4, 8, "prior", 1),
+              (5, 8, "test", 2), (6, 9, "train", 1), (7, None, "test", 1)]
+    places = {o: (u, n, s) for o, u, s, n in orders}
+    bought = [(1, 50, 1, 0), (1, 51, 2, 0), (2, 50, 1, 1), (2, None, 2, None), (3, 50, 3, 1), (3, 50, 3, 1),
+              (3, None, 1, None), (3, 52, 2, 0), (4, 50, 1, 0), (6, 50, 1, 0), (7, 50, 1, None)]
+    return (spark.createDataFrame([(o, u, s, n, 0, 0, 0.0) for o, u, s, n in orders], ORDER),
+            spark.createDataFrame([(o, p, c, r, *places[o]) for o, p, c, r in bought], LINE))
+
+
+def test_keys_meet_their_parents_in_the_given_tasks(history, products, aisles, departments):
+    orders, lines = history
+    prior, train = (lines.filter(lines["eval_set"] == split) for split in ("prior", "train"))
+    plain = quality.foreign_keys(products, aisles, departments, orders, prior, train)
+    found = quality.foreign_keys(products, aisles, departments, orders, prior, train, 61)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Both sides of the join have the given tasks.
+    assert plan.count(", 61), REPARTITION_BY_NUM") == 2
+    assert rows(found) == rows(plain)
+    assert {r["foreign_key"]: (r["status"], r["orphan_count"], r["rows_checked"]) for r in found.collect()} == {
+        quality.RELATIONS["aisle"]: ("PASS", 0, 4), quality.RELATIONS["department"]: ("PASS", 0, 4),
+        quality.RELATIONS["prior_order"]: ("PASS", 0, 5), quality.RELATIONS["prior_product"]: ("FAIL", 2, 4),
+        quality.RELATIONS["train_order"]: ("PASS", 0, 5), quality.RELATIONS["train_product"]: ("FAIL", 2, 4)}
