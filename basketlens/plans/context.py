@@ -92,7 +92,7 @@ class Retail:
     @cached_property
     def pair_features(self):
         return self._staged(f"pair_features_{self.grain}", lambda: features.user_product_features(
-            self.orders, self.lines))
+            self.orders, self.lines, tasks=self.line_tasks))
 
     @cached_property
     def labelled(self):

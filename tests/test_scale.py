@@ -4,7 +4,7 @@ import datetime
 
 import pytest
 
-from basketlens.operators import forecasting, quality
+from basketlens.operators import features, forecasting, quality
 from basketlens.sources import star_schema
 
 from conftest import LINE, ORDER, rows
@@ -103,6 +103,15 @@ def history(spark):
             spark.createDataFrame([(o, p, c, r, *places[o]) for o, p, c, r in bought], LINE))
 
 
+def test_pairs_meet_their_users_in_the_given_tasks(history):
+    orders, lines = history
+    found = features.user_product_features(orders, lines, tasks=60)
+    assert found.rdd.getNumPartitions() == 60
+    wanted = [(7, 50, 2, 1.0, 0, 1.0, 1), (7, 51, 1, 0.5, 1, 2.0, 0), (7, None, 0, 0.0, 0, None, 0)]
+    assert rows(found) == rows(features.user_product_features(orders, lines)) == sorted(wanted, key=repr)
+    assert rows(features.user_product_features(orders, lines, 1)) == sorted(wanted, key=repr)
+
+
 def test_keys_meet_their_parents_in_the_given_tasks(history, products, aisles, departments):
     orders, lines = history
     prior, train = (lines.filter(lines["eval_set"] == split) for split in ("prior", "train"))
