@@ -87,7 +87,7 @@ class Retail:
     @cached_property
     def customer_features(self):
         return self._staged(f"customer_features_{self.grain}", lambda: features.customer_features(
-            self.orders, self.lines, self.products))
+            self.orders, self.lines, self.products, tasks=self.line_tasks))
 
     @cached_property
     def pair_features(self):

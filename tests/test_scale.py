@@ -112,6 +112,13 @@ def test_pairs_meet_their_users_in_the_given_tasks(history):
     assert rows(features.user_product_features(orders, lines, 1)) == sorted(wanted, key=repr)
 
 
+def test_item_stats_meet_in_the_given_tasks(history, products):
+    _, lines = history
+    found = features.customer_item_stats(lines, products, 60)
+    assert found.rdd.getNumPartitions() == 60
+    assert rows(found) == rows(features.customer_item_stats(lines, products))
+
+
 def test_keys_meet_their_parents_in_the_given_tasks(history, products, aisles, departments):
     orders, lines = history
     prior, train = (lines.filter(lines["eval_set"] == split) for split in ("prior", "train"))
