@@ -12,6 +12,8 @@ from basketlens.llm.common import opened, share, sliced
 Q, EDITS = 8, 0.1
 #: Characters of benchmark items that are broadcast at once; more items take more passes.
 BLOCK_CHARS = 4 << 20
+#: Bytes of text searched at once, and shared q-grams that are counted at once.
+TEXT_BYTES, POSTINGS = 2 << 20, 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
 _BLANKS = str.maketrans("\n\r\t\f\v ", "      ")
@@ -65,23 +67,44 @@ class Index:
         Band b of an item holds the diagonals from b to b + 2 steps, a step being one more than its
         edits: bands overlap by half, so that all diagonals of an occurrence lie in one band.
         """
-        hashes = grams(flat)
-        at = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
-        if not len(at) or not len(self.keys):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        spot = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
-        real = self.keys[spot] == hashes[at]
-        at, spot = at[real], spot[real]
+        at, spot = self._shared(flat)
         if not len(at):
             return at, at
+        shift = int(self.lengths.max())
+        width = len(flat) + shift + 3
+        # All q-grams of a band lie within ``reach``: windows that overlap by it hold each band whole.
+        reach = shift + 2 * self.gap
+        ends = np.cumsum(self.counts[spot])
+        bands, first = [], 0
+        while True:
+            last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + POSTINGS, side="right"))
+            last = max(last, int(np.searchsorted(at, at[first] + 2 * reach, side="right")))
+            bands.append(self._bands(at[first:last], spot[first:last], width, shift))
+            if last >= len(at):
+                break
+            first = int(np.searchsorted(at, at[last] - reach))
+        bands = np.unique(np.concatenate(bands))
+        item = bands // width
+        return item, (bands % width - 1) * self.step[item] - shift
+
+    def _shared(self, flat):
+        """Positions of flat whose q-gram an item has, and its place among the keys."""
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for start in range(0, len(flat) if len(self.keys) else 0, POSTINGS):
+            hashes = grams(flat[start:start + POSTINGS + Q - 1])
+            at = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
+            spot = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+            real = self.keys[spot] == hashes[at]
+            parts.append((at[real] + start, spot[real]))
+        return [np.concatenate(p) for p in zip(*parts)]
+
+    def _bands(self, at, spot, width, shift):
+        """item * width + band + 1 of the bands that the q-grams at some positions show to be full."""
         many = self.counts[spot]
         ends = np.cumsum(many)
-        total = int(ends[-1]) if len(ends) else 0
-        posting = np.repeat(self.first[spot] - ends + many, many) + np.arange(total)
+        posting = np.repeat(self.first[spot] - ends + many, many) + np.arange(ends[-1])
         item = self.item[posting]
-        shift = int(self.lengths.max())
         half = (np.repeat(at, many) - self.place[posting] + shift) // self.step[item]
-        width = len(flat) + shift + 3
         # The lemma counts an item's q-grams, so that a text that repeats one counts it once.
         span = int(self.lengths.max())
         key = np.sort((item * width + half + 1) * span + self.place[posting])
@@ -91,9 +114,7 @@ class Index:
         first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
         total = np.diff(np.append(first, len(both)))
         bands = both[first]
-        bands = bands[total >= self.bound[bands // width]]
-        item = bands // width
-        return item, (bands % width - 1) * self.step[item] - shift
+        return bands[total >= self.bound[bands // width]]
 
     def verified(self, flat, item, start):
         """(edits, end) of the best alignment of each item within its band; edits too many: -1."""
@@ -167,7 +188,7 @@ def _search(batches, shared, keep, name):
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()),
                                ("end", pa.int32())]))
     for whole in batches:
-        for batch in sliced(whole, "text", 6 << 20):
+        for batch in sliced(whole, "text", TEXT_BYTES):
             found = index.matches(batch["text"].to_pylist())
             lists = [old + [{"item_id": i, "edits": e, "end": p} for i, (e, p) in own.items()]
                      for old, own in zip(batch[name].to_pylist(), found)]

@@ -368,6 +368,26 @@ def test_matches_equal_the_plain_recursion(spark):
                 assert i not in found
 
 
+def test_shared_grams_are_counted_in_windows(monkeypatch):
+    rng = random.Random(5)
+    items = [(i, "".join(rng.choices("ab", k=rng.choice([9, 40, 120])))) for i in range(30)]
+    texts = ["".join(rng.choices("ab", k=60)) + items[i % 30][1] + "ab" * 40 for i in range(60)] + [
+        "", None, "ab" * 9000, "".join(rng.choices("ab", k=5000)) + items[3][1]]
+    index, counted, whole = decontaminate.Index(items), [], decontaminate.Index._bands
+    monkeypatch.setattr(decontaminate, "POSTINGS", 1 << 30)
+    wanted = index.matches(texts)
+    monkeypatch.setattr(decontaminate, "POSTINGS", 50)
+
+    def bands(self, at, spot, width, shift):
+        counted.append(at[-1] - at[0])
+        return whole(self, at, spot, width, shift)
+
+    monkeypatch.setattr(decontaminate.Index, "_bands", bands)
+    assert index.matches(texts) == wanted and sum(map(bool, wanted)) >= 61
+    # A window spans little more than an item, however long the texts are.
+    assert max(counted) <= 2 * (120 + 2 * index.gap) and len(counted) > 50
+
+
 def test_decontamination_on_odd_tables(spark, odd, none):
     bench = spark.createDataFrame(
         [(1, BODY.upper()), (2, None), (3, ""), (None, BODY), (4, "abc"), (5, BODY[:-9] + "\n")],
