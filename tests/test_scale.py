@@ -3,7 +3,9 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from basketlens.functions.prefix import smallest_n
 from basketlens.operators import features, forecasting, quality
 from basketlens.sources import star_schema
 
@@ -132,3 +134,16 @@ def test_keys_meet_their_parents_in_the_given_tasks(history, products, aisles, d
         quality.RELATIONS["aisle"]: ("PASS", 0, 4), quality.RELATIONS["department"]: ("PASS", 0, 4),
         quality.RELATIONS["prior_order"]: ("PASS", 0, 5), quality.RELATIONS["prior_product"]: ("FAIL", 2, 4),
         quality.RELATIONS["train_order"]: ("PASS", 0, 5), quality.RELATIONS["train_product"]: ("FAIL", 2, 4)}
+
+
+def test_a_sample_by_score_joins_no_rows(spark):
+    marks = [None, None, 0.9, 0.5, 0.5, 0.5, 0.51, 0.1, 0.1, 0.0]
+    df = spark.createDataFrame(list(enumerate(marks)), "id long, mark double")
+    drawn = smallest_n(df, F.col("mark"), 6, ["id"], cells=10)
+    assert "Join" not in drawn._jdf.queryExecution().executedPlan().toString()
+    # Rows without a score count but are never drawn; ties go to the smaller id.
+    for n, wanted in [(0, []), (2, []), (3, [9]), (5, [7, 8, 9]), (7, [3, 4, 7, 8, 9]),
+                      (8, [3, 4, 5, 7, 8, 9]), (9, [3, 4, 5, 6, 7, 8, 9]), (99, [2, 3, 4, 5, 6, 7, 8, 9])]:
+        found = smallest_n(df, F.col("mark"), n, ["id"], cells=10)
+        assert sorted(r["id"] for r in found.collect()) == wanted
+    assert smallest_n(df.limit(0), F.col("mark"), 3, ["id"]).count() == 0
