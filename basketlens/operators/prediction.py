@@ -32,11 +32,13 @@ LOGISTIC, FOREST, BOOSTED = ("Logistic Regression (Baseline)", "Random Forest",
 DECISION = {LOGISTIC: 0.50, FOREST: 0.20, BOOSTED: 0.20}
 
 
-#: Pairs that a model is fitted on at most; validation and scoring take all pairs.
-FIT_ROWS = 500000
+#: Pairs that a model is fitted on at most; None takes every training pair.
+FIT_ROWS = None
+#: Tasks that hold a fit's rows at least. Learners draw per task: the number follows the rows, not the cores.
+FIT_TASKS = 8
 
 
-def sample_pairs(pairs, n=FIT_ROWS):
+def sample_pairs(pairs, n=500000):
     """A repeatable sample of ``n`` pairs by a hash of both keys."""
     return smallest_n(pairs, pair_hash("user_id", "product_id"), n,
                       ["user_id", "product_id"])
@@ -104,19 +106,23 @@ def score(model, rows, name="model"):
 
 
 @contextmanager
-def held_rows(train, n=None):
-    """A sample of the training rows, spread over the cluster and kept while models are fitted."""
-    rows = spread(sample_pairs(train, n or FIT_ROWS).select("user_id", "product_id", "target", *FEATURES),
-                  "user_id", "product_id").persist(StorageLevel.MEMORY_AND_DISK)
+def held_rows(train, n=None, tasks=FIT_TASKS):
+    """All training rows, spread over ``tasks`` tasks and kept while models are fitted.
+
+    Only a caller that names ``n`` fits on a sample.
+    """
+    n = n or FIT_ROWS
+    rows = spread((sample_pairs(train, n) if n else train).select("user_id", "product_id", "target", *FEATURES),
+                  "user_id", "product_id", partitions=tasks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
     finally:
         rows.unpersist()
 
 
-def train_models(train, trees=80, rounds=150):
+def train_models(train, trees=80, rounds=150, tasks=FIT_TASKS):
     """The three models by name, fitted side by side on the same held rows."""
-    with held_rows(train) as rows:
+    with held_rows(train, tasks=tasks) as rows:
         fits = {LOGISTIC: lambda: fit_logistic(rows), FOREST: lambda: fit_forest(rows, trees),
                 BOOSTED: lambda: fit_boosted(rows, rounds)}
         return dict(zip(fits, run_all(train.sparkSession, list(fits.values()))))

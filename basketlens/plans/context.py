@@ -120,7 +120,7 @@ class Retail:
 
     @cached_property
     def matrix(self):
-        """Every candidate pair with its features; only fits draw a sample of it."""
+        """Every candidate pair with its features; fits take all those of training users."""
         return prediction.training_matrix(self.pair_features, self.customer_features,
                                           self.product_features)
 
@@ -159,6 +159,12 @@ class Retail:
         """Number of tasks among which tables of the size of the lines are dealt."""
         return tasks_for(self.spark, f"{self.folder}/lineitem.parquet", star_schema.LINE_BYTES_PER_TASK)
 
+    @cached_property
+    def fit_tasks(self):
+        """Number of tasks that hold the rows of a model fit, the same on clusters of any size."""
+        return tasks_for(self.spark, f"{self.folder}/lineitem.parquet", star_schema.LINE_BYTES_PER_TASK,
+                         least=prediction.FIT_TASKS)
+
     @cached_property
     def product_days(self):
         """Daily orders of every product, days without orders included."""

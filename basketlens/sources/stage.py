@@ -50,10 +50,10 @@ def fingerprint(spark, paths):
     return "|".join(marks)
 
 
-def tasks_for(spark, path, size):
-    """Tasks that take about ``size`` bytes each of a table's files, and one per core at least."""
+def tasks_for(spark, path, size, least=None):
+    """Tasks that take about ``size`` bytes each of a table's files, and ``least`` or one per core at least."""
     place, system = _place(spark, path)
-    return max(spark.sparkContext.defaultParallelism, -(-system.getContentSummary(place).getLength() // size))
+    return max(least or spark.sparkContext.defaultParallelism, -(-system.getContentSummary(place).getLength() // size))
 
 
 def stage_path(spark, source, name):

@@ -1,5 +1,7 @@
 """K-means passes, silhouettes and logistic regression against brute force and Spark's own fits."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from basketlens.functions import lloyd
 from basketlens.functions.newton import fit_logistic
 from basketlens.operators import prediction, segmentation
+from basketlens.plans import queries
 
 COLUMNS = ["x", "y"]
 
@@ -125,3 +128,29 @@ def test_newton_on_odd_rows(spark):
     for rows in ([], [(1.0, 2.0, 1)], [(1.0, 2.0, 0), (1.0, 2.0, 0)], [(1.0, 5.0, 1), (1.0, -5.0, 0)] * 3):
         model = fit_logistic(spark.createDataFrame(rows, schema), ["a", "b"])
         assert np.isfinite([*model.weights, model.intercept]).all()
+
+
+@pytest.fixture
+def many_pairs(spark):
+    """A source of more training pairs than the 500,000 that fits were once cut to."""
+    matrix = spark.range(700000).select(
+        F.col("id").alias("user_id"), F.when(F.col("id") % 7 > 0, F.col("id") % 150).alias("product_id"),
+        (F.col("id") % 10 == 0).cast("int").alias("target"),
+        *[((F.col("id") * (i + 3)) % 101).cast("double").alias(c) for i, c in enumerate(prediction.FEATURES)])
+    return SimpleNamespace(spark=spark, source="many pairs", grain="aisle", matrix=matrix, fit_tasks=11)
+
+
+@pytest.mark.parametrize("query, fit", [("p11_forest_importances", "fit_forest")])
+def test_fits_take_all_training_pairs(many_pairs, monkeypatch, query, fit):
+    seen = {}
+
+    def counted(rows):
+        seen.update(rows=rows.count(), parts=rows.rdd.getNumPartitions())
+
+    counted.__name__ = f"counted_{query}"
+    monkeypatch.setattr(prediction, fit, counted)
+    monkeypatch.setattr(prediction, "feature_importances", lambda spark, model: spark.range(1))
+    monkeypatch.setattr(prediction, "score", lambda model, rows, name: rows)
+    queries.CATALOGUE[query][1](many_pairs)
+    assert seen == {"rows": prediction.split_by_user(many_pairs.matrix)[0].count(), "parts": 11}
+    assert seen["rows"] > 500000
