@@ -140,7 +140,7 @@ def many_pairs(spark):
     return SimpleNamespace(spark=spark, source="many pairs", grain="aisle", matrix=matrix, fit_tasks=11)
 
 
-@pytest.mark.parametrize("query, fit", [("p11_forest_importances", "fit_forest")])
+@pytest.mark.parametrize("query, fit", [("p11_forest_importances", "fit_forest"), ("p11_importances", "fit_boosted")])
 def test_fits_take_all_training_pairs(many_pairs, monkeypatch, query, fit):
     seen = {}
 
