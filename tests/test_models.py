@@ -140,7 +140,8 @@ def many_pairs(spark):
     return SimpleNamespace(spark=spark, source="many pairs", grain="aisle", matrix=matrix, fit_tasks=11)
 
 
-@pytest.mark.parametrize("query, fit", [("p11_forest_importances", "fit_forest"), ("p11_importances", "fit_boosted")])
+@pytest.mark.parametrize("query, fit", [("p11_forest_importances", "fit_forest"), ("p11_importances", "fit_boosted"),
+                                        ("p4_logistic_scores", "fit_logistic")])
 def test_fits_take_all_training_pairs(many_pairs, monkeypatch, query, fit):
     seen = {}
 
@@ -154,3 +155,14 @@ def test_fits_take_all_training_pairs(many_pairs, monkeypatch, query, fit):
     queries.CATALOGUE[query][1](many_pairs)
     assert seen == {"rows": prediction.split_by_user(many_pairs.matrix)[0].count(), "parts": 11}
     assert seen["rows"] > 500000
+
+
+def test_registered_scores_are_those_of_a_fit_to_all_pairs(many_pairs):
+    """Weights as of one fit to the training rows themselves, which no sample has."""
+    train, rest = prediction.split_by_user(many_pairs.matrix)
+    weights = fit_logistic(train.na.fill(0, prediction.FEATURES), prediction.FEATURES)
+    some = queries.p4_logistic(many_pairs).filter("user_id % 7000 = 0")
+    wanted = {r["user_id"]: r["p"] for r in rest.filter("user_id % 7000 = 0").select(
+        "user_id", weights.probability().alias("p")).collect()}
+    found = {r["user_id"]: r["score"] for r in some.collect()}
+    assert found == pytest.approx(wanted, abs=1e-6) and found
