@@ -141,7 +141,7 @@ def many_pairs(spark):
 
 
 @pytest.mark.parametrize("query, fit", [("p11_forest_importances", "fit_forest"), ("p11_importances", "fit_boosted"),
-                                        ("p4_logistic_scores", "fit_logistic")])
+                                        ("p4_logistic_scores", "fit_logistic"), ("p5_forest_scores", "fit_forest")])
 def test_fits_take_all_training_pairs(many_pairs, monkeypatch, query, fit):
     seen = {}
 
