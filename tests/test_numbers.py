@@ -248,6 +248,37 @@ def test_arima_equals_a_plain_loop(spark):
         assert given[name] == pytest.approx(fit["state"][name])
 
 
+def test_a_fit_undoes_few_factors(monkeypatch):
+    """The grid of starts shares its inverted factors, and so do a descent's errors and derivatives."""
+    done, undo = [], fitting._undone
+
+    def counted(values, *args):
+        done.append(values.size)
+        return undo(values, *args)
+
+    monkeypatch.setattr(fitting, "_undone", counted)
+    monkeypatch.setattr(fitting, "descended", lambda model, points, *args: (points, np.arange(len(points)) * 1.0))
+    y = weekly(90, noise=5)
+    fitting.fit_arima([y])
+    assert sum(done) <= 14 * (len(y) - 8)
+    done.clear()
+    fitting.arima_slopes(fitting.differenced(y[None]), np.full((1, 4), 0.4))
+    assert sum(done) <= 4 * (len(y) - 8)
+
+
+def test_the_grid_and_the_slopes_equal_the_errors():
+    w = fitting.differenced(np.stack([weekly(90, noise=5), np.r_[np.zeros(20), weekly(70, noise=9)]]))
+    grid = fitting._grid(fitting.ARIMA_STARTS)
+    plain = [(fitting.arima_errors(w, np.tile(p, (2, 1))) ** 2).sum(-1) for p in grid]
+    assert fitting.arima_grid(w) == pytest.approx(np.stack(plain, 1))
+    point = np.array([[0.3, -0.7, 0.5, -0.98], [-0.2, 0.9, 0.1, 0.4]])
+    errors, slopes = fitting.arima_slopes(w, point)
+    assert errors == pytest.approx(fitting.arima_errors(w, point))
+    for i, unit in enumerate(np.eye(4) * 1e-6):
+        near = (fitting.arima_errors(w, point + unit) - fitting.arima_errors(w, point - unit)) / 2e-6
+        assert slopes[:, i] == pytest.approx(near, rel=1e-5, abs=1e-5 * np.abs(near).max())
+
+
 def simulated(known, n, seed):
     phi, theta, sphi, stheta = known
     e, w, y = np.random.default_rng(seed).normal(size=n), np.zeros(n), np.zeros(n)
